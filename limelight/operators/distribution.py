@@ -66,9 +66,9 @@ def exact_quantiles(
 
     A quantile sketch cuts each metric just below and just above every wanted quantile.
     Exact counts of the resulting ranges tell which range holds each wanted rank, whatever
-    the sketch's error, and only those narrow ranges are sorted. Values are reduced to
-    (metric, value, count) first, so a value that fills a third of the table is one row.
-    No task ever sees a whole column.
+    the sketch's error, and only the rows of those narrow ranges are grouped by value and
+    sorted. The three passes over the data shuffle a few rows per task; no task ever sees
+    a whole column, and a value that fills a third of the table is one counted row.
     """
     values = _long_form(df, columns)
     edges = sorted({
@@ -78,13 +78,9 @@ def exact_quantiles(
     cuts = values.groupBy("metric").agg(
         F.percentile_approx("value", edges, accuracy).alias("cuts")
     )
-    placed = (
-        values.groupBy("metric", "value").agg(F.count("*").alias("n"))
-        .join(F.broadcast(cuts), "metric")
-        .select(
-            "metric", "value", "n",
-            F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("range"),
-        )
+    placed = values.join(F.broadcast(cuts), "metric").select(
+        "metric", "value",
+        F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("range"),
     )
     in_order = Window.partitionBy("metric").orderBy("range")
     position = (F.col("total") - 1) * F.col("probability")
@@ -94,7 +90,7 @@ def exact_quantiles(
 
     # a handful of rows: ranges x probabilities per metric
     targets = (
-        placed.groupBy("metric", "range").agg(F.sum("n").alias("size"))
+        placed.groupBy("metric", "range").agg(F.count("*").alias("size"))
         .withColumns({
             "before": F.sum("size").over(in_order) - F.col("size"),
             "total": F.sum("size").over(Window.partitionBy("metric")),
@@ -110,15 +106,21 @@ def exact_quantiles(
             within("lower_rank", F.col("before"), F.col("before") + F.col("size"))
             | within("upper_rank", F.col("before"), F.col("before") + F.col("size"))
         )
+        .groupBy("metric", "range").agg(
+            F.first("before").alias("before"),
+            F.collect_list(F.struct("probability", "position", "lower_rank", "upper_rank"))
+            .alias("wanted"),
+        )
     )
-    needed = targets.select("metric", "range", "before").distinct()
+    counted = placed.join(F.broadcast(targets), ["metric", "range"]).groupBy(
+        "metric", "range", "before", "wanted", "value"
+    ).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.partitionBy("metric", "range").orderBy("value"))
-    ranked = placed.join(F.broadcast(needed), ["metric", "range"]).withColumn(
-        "end", F.col("before") + running
-    ).drop("before")
-    start, end = F.col("end") - F.col("n"), F.col("end")
+    end = F.col("before") + F.col("up_to")
+    start = end - F.col("n")
     picked = (
-        ranked.join(F.broadcast(targets), ["metric", "range"])
+        counted.withColumn("up_to", running)
+        .select("metric", "value", "n", "before", "up_to", F.inline("wanted"))
         .groupBy("metric", "probability").agg(
             F.max(F.col("position") - F.col("lower_rank")).alias("fraction"),
             F.max(F.when(within("lower_rank", start, end), F.col("value"))).alias("low"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import HANDLE_VIDEOS, MIN_CHANNEL_MATCH, MIN_PROFILE_FOLLOWERS, SEARCH_RESULTS
 from ..functions import text
@@ -85,22 +85,21 @@ def handle_candidates(
     named = artists.select("artist_id", "artist_name")
     channel = largest_channel(
         search, channels.select("channel_id", "description", "subscribers")
-    ).select("artist_id", "channel_id", "description")
-    from_channel = channel.join(named, "artist_id").select(
-        "artist_id", "artist_name", F.lit(0).alias("source_ord"),
-        F.posexplode(text.extract_handles(F.col("description"))).alias("position", "handle"),
-    )
-    newest = recent_videos(
-        videos.select("channel_id", "video_id", "published_at", "description"),
-        HANDLE_VIDEOS, rank="source_ord",
-    ).drop("published_at", "video_id")
-    from_videos = (
-        newest.join(channel.drop("description"), "channel_id")
-        .join(named, "artist_id")
-        .select(
-            "artist_id", "artist_name", "source_ord",
+    ).select("artist_id", "channel_id", "description").join(named, "artist_id")
+
+    def handles(texts: DataFrame, source_ord: Column) -> DataFrame:
+        return texts.select(
+            "artist_id", "artist_name", source_ord.alias("source_ord"),
             F.posexplode(text.extract_handles(F.col("description"))).alias("position", "handle"),
         )
+
+    newest = recent_videos(
+        videos.select("channel_id", "video_id", "published_at", "description"),
+        HANDLE_VIDEOS, rank="place",
+    )
+    from_channel = handles(channel, F.lit(0))
+    from_videos = handles(
+        newest.join(channel.drop("description"), "channel_id"), F.col("place")
     )
     from_name = named.select(
         "artist_id", "artist_name", F.lit(HANDLE_VIDEOS + 1).alias("source_ord"),

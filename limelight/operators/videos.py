@@ -23,10 +23,10 @@ def recent_video_mean(videos: DataFrame, n: int = RECENT_VIDEOS) -> DataFrame:
     return newest.groupBy("channel_id").agg(F.rint(F.avg("views")).alias("recent_mean_views"))
 
 
-def channel_stats(channels: DataFrame) -> DataFrame:
+def channel_stats(channels: DataFrame, *keep: str) -> DataFrame:
     """Channels of acceptable size with their lifetime views per video."""
     return channel_size_filter(channels).select(
-        F.col("channel_id").alias("youtube_channel_id"),
+        *keep, F.col("channel_id").alias("youtube_channel_id"),
         F.col("subscribers").alias("youtube_subscribers"),
         F.col("views").alias("youtube_total_views"),
         F.col("videos").alias("youtube_video_count"),

@@ -55,14 +55,8 @@ def video_channels(
     best = matching.best_channel(
         matching.artist_channel_candidates(artists, search, channels)
     )
-    chosen = best.select(
-        "artist_id", "artist_name", F.col("channel_id").alias("youtube_channel_id")
-    )
-    stats = video_ops.channel_stats(best.select("channel_id", "subscribers", "views", "videos")
-                                    .distinct())
-    return chosen.join(
-        video_ops.with_recent_mean(stats, videos), "youtube_channel_id"
-    ).select(*schemas.names(schemas.VIDEO))
+    stats = video_ops.channel_stats(best, "artist_id", "artist_name")
+    return video_ops.with_recent_mean(stats, videos).select(*schemas.names(schemas.VIDEO))
 
 
 def song_catalogue(

@@ -222,18 +222,19 @@ def quota_prefix(
         costed, ["collection_date"], [F.asc("attempt_ord")], stop // search + 1
     )
     running = F.sum("units").over(Window.partitionBy("collection_date").orderBy("attempt_ord"))
+    # one row per calendar day, so both broadcasts are bounded by the calendar
     crossing = (
         early.withColumn("spent", running).where(F.col("spent") > stop)
         .groupBy("collection_date").agg(F.min("attempt_ord").alias("crossed_at"))
     )
     rejected = F.col("matched") & ~F.col("accepted")
     stops = (
-        costed.join(crossing, "collection_date")
+        costed.join(F.broadcast(crossing), "collection_date")
         .where((F.col("attempt_ord") >= F.col("crossed_at")) & ~rejected)
         .groupBy("collection_date").agg(F.min("attempt_ord").alias("stopped_at"))
     )
     return (
-        costed.join(stops, "collection_date", "left")
+        costed.join(F.broadcast(stops), "collection_date", "left")
         .where(F.col("stopped_at").isNull() | (F.col("attempt_ord") <= F.col("stopped_at")))
         .drop("stopped_at")
     )

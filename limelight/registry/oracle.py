@@ -254,7 +254,8 @@ CTES: dict[str, str] = {
         FROM fx_upload GROUP BY ALL) USING (k)""",
     "fx_search": """
       SELECT artist_id, channel_id,
-        list_position(['AF', 'AO', 'NF', 'NO', 'RF', 'RO'], l_returnflag || l_linestatus) AS search_rank
+        CAST(list_position(['AF', 'AO', 'NF', 'NO', 'RF', 'RO'], l_returnflag || l_linestatus) AS BIGINT)
+          AS search_rank
       FROM (SELECT DISTINCT k, channel_id, l_returnflag, l_linestatus FROM fx_upload)
       JOIN fx_customer USING (k)""",
     "fx_channel_video": """
@@ -763,7 +764,7 @@ BODIES: dict[str, str] = {
         AND instagram_engagement_rate >= 2.0)"""),
     "stream_upsert": LATEST,
     "batch_stats": f"""
-      WITH b AS (SELECT artist_id, CASE WHEN batch < DATE '{SPLIT_DAY}' THEN 0 ELSE 1 END AS batch FROM fx_batch)
+      WITH b AS (SELECT artist_id, CAST(CASE WHEN batch < DATE '{SPLIT_DAY}' THEN 0 ELSE 1 END AS BIGINT) AS batch FROM fx_batch)
       SELECT batch, 'listening' AS source, count(*) AS arrived, count(DISTINCT artist_id) AS artists,
         count(DISTINCT artist_id) FILTER (batch = 0 OR artist_id NOT IN (SELECT artist_id FROM b WHERE batch = 0))
           AS new_artists
