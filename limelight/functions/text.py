@@ -73,22 +73,18 @@ def mentions_any(text: Column, wanted: Column) -> Column:
 
 def profile_matches(name: Column, full_name: Column, biography: Column) -> Column:
     """A name word or a music keyword appears in the profile's name or biography."""
-    full = F.lower(F.coalesce(full_name, F.lit("")))
-    bio = F.lower(F.coalesce(biography, F.lit("")))
-    wanted = profile_name_words(name)
+    # neither words nor keywords contain a line break, so one text serves for both
+    profile = F.lower(F.concat_ws("\n", full_name, biography))
     keywords = F.array(*[F.lit(k) for k in MUSIC_KEYWORDS])
-    return (
-        mentions_any(full, wanted) | mentions_any(bio, wanted)
-        | mentions_any(full, keywords) | mentions_any(bio, keywords)
-    )
+    return mentions_any(profile, F.concat(profile_name_words(name), keywords))
 
 
 def channel_match_score(
-    name: Column, title: Column, description: Column, subscribers: Column
+    wanted: Column, title: Column, description: Column, subscribers: Column
 ) -> Column:
+    """How well a channel fits an artist, given the words of the artist's name."""
     title = F.lower(title)
     description = F.lower(F.coalesce(description, F.lit("")))
-    wanted = channel_name_words(name)
     low, high = CHANNEL_SUBSCRIBERS
 
     def hits(text: Column) -> Column:

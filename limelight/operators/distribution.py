@@ -39,7 +39,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     edges = spark.range(bins).select(F.col("id").alias("bin")).withColumn("b", spread)
     step = (F.col("b")["high"] - F.col("b")["low"]) / bins
     return (
-        edges.join(counts, "bin", "left")
+        edges.join(F.broadcast(counts), "bin", "left")  # at most `bins` rows
         .select(
             "bin",
             (F.col("b")["low"] + F.col("bin") * step).alias("lower_edge"),

@@ -22,6 +22,15 @@ def first_n_per_group(
     return out if rank else out.drop(name)
 
 
+def spread_nulls(key: Column, unique: Column) -> Column:
+    """Key for an outer join whose NULLs match nothing.
+
+    Each NULL gets a value of its own that no real key has, so that they do not all meet
+    in one shuffle partition.
+    """
+    return F.coalesce(key, F.concat(F.lit("\u0000"), unique))
+
+
 def first_hit_per_artist(hits: DataFrame) -> DataFrame:
     """Keep each artist's first discovery hit, in query order."""
     return first_n_per_group(

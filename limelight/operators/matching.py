@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import HANDLE_VIDEOS, MIN_CHANNEL_MATCH, MIN_PROFILE_FOLLOWERS, SEARCH_RESULTS
 from ..functions import text
 from .filters import channel_candidates_filter
-from .groups import first_n_per_group
+from .groups import first_n_per_group, spread_nulls
 from .videos import recent_videos
 
 
@@ -43,12 +43,15 @@ def artist_channel_candidates(
 ) -> DataFrame:
     """Every searched channel of every artist with its match score."""
     found = channel_candidates_filter(found_channels(search, channels))
-    return found.join(artists.select("artist_id", "artist_name"), "artist_id").withColumn(
+    named = artists.select(
+        "artist_id", "artist_name", text.channel_name_words(F.col("artist_name")).alias("_words")
+    )
+    return found.join(named, "artist_id").withColumn(
         "match_score",
         text.channel_match_score(
-            F.col("artist_name"), F.col("title"), F.col("description"), F.col("subscribers")
+            F.col("_words"), F.col("title"), F.col("description"), F.col("subscribers")
         ),
-    )
+    ).drop("_words")
 
 
 def best_channel(candidates: DataFrame, minimum: int = MIN_CHANNEL_MATCH) -> DataFrame:
@@ -80,32 +83,48 @@ def handle_candidates(
     """All handles to try per artist, numbered in the order they are tried.
 
     The channel's own text comes first, then its newest videos, then guesses made from
-    the name.
+    the name. Each artist carries its few texts in one row, so every input is read and
+    shuffled once.
     """
-    named = artists.select("artist_id", "artist_name")
     channel = largest_channel(
         search, channels.select("channel_id", "description", "subscribers")
-    ).select("artist_id", "channel_id", "description").join(named, "artist_id")
-
-    def handles(texts: DataFrame, source_ord: Column) -> DataFrame:
-        return texts.select(
-            "artist_id", "artist_name", source_ord.alias("source_ord"),
-            F.posexplode(text.extract_handles(F.col("description"))).alias("position", "handle"),
-        )
-
-    newest = recent_videos(
+    ).select("artist_id", "channel_id", "description")
+    # at most HANDLE_VIDEOS texts per channel
+    video_texts = recent_videos(
         videos.select("channel_id", "video_id", "published_at", "description"),
-        HANDLE_VIDEOS, rank="place",
+        HANDLE_VIDEOS, rank="source_ord",
+    ).groupBy("channel_id").agg(
+        F.collect_list(F.struct("source_ord", "description")).alias("texts")
     )
-    from_channel = handles(channel, F.lit(0))
-    from_videos = handles(
-        newest.join(channel.drop("description"), "channel_id"), F.col("place")
+
+    def source(source_ord: Column, handles: Column) -> Column:
+        return F.struct(source_ord.alias("source_ord"), handles.alias("handles"))
+
+    name_source = F.lit(HANDLE_VIDEOS + 1)
+    from_channel = F.array(source(F.lit(0), text.extract_handles(F.col("description"))))
+    from_videos = F.transform(
+        "texts", lambda t: source(t["source_ord"], text.extract_handles(t["description"]))
     )
-    from_name = named.select(
-        "artist_id", "artist_name", F.lit(HANDLE_VIDEOS + 1).alias("source_ord"),
-        F.posexplode(text.name_handle_variants(F.col("artist_name"))).alias("position", "handle"),
+    from_name = F.array(source(name_source, text.name_handle_variants(F.col("artist_name"))))
+    return (
+        artists.select("artist_id", "artist_name")
+        .join(channel, "artist_id", "left")
+        .withColumn("channel_id", spread_nulls(F.col("channel_id"), F.col("artist_id")))
+        .join(video_texts, "channel_id", "left")
+        .select(
+            "artist_id", "artist_name",
+            F.inline(F.concat(
+                from_channel,
+                F.when(F.col("texts").isNotNull(), from_videos)
+                .otherwise(F.slice(from_name, 1, 0)),
+                from_name,
+            )),
+        )
+        .select(
+            "artist_id", "artist_name", "source_ord",
+            F.posexplode("handles").alias("position", "handle"),
+        )
     )
-    return from_channel.unionByName(from_videos).unionByName(from_name)
 
 
 def resolve_handle(candidates: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..config import RELEASE_POSTS, RELEASE_WINDOW_DAYS, TOP_TRACKS
 from ..functions import text
-from .groups import first_n_per_group
+from .groups import first_n_per_group, spread_nulls
 from .posts import latest_posts
 
 POST_FIELDS = (
@@ -85,10 +85,8 @@ def release_posts(
     produced. A track without a release date is matched on the caption alone.
     """
     by_handle = _recent_posts_by_handle(posts, newest)
-    # Tracks without a handle get a key of their own that matches nothing, instead of all
-    # sharing the NULL key and its one partition.
     keyed = tracks.withColumns({
-        "_handle": F.coalesce("instagram_handle", F.concat(F.lit("?"), F.col("track_id"))),
+        "_handle": spread_nulls(F.col("instagram_handle"), F.col("track_id")),
         "_title": F.lower("track_name"),
         "_words": text.caption_words(F.col("track_name")),
     })

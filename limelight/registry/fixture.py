@@ -318,7 +318,7 @@ class Fixture:
         return self.table("events").select(F.concat(
             F.lit("["), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("] ["), level,
             F.lit("] "), message,
-        ).alias("value"))
+        ).alias("value"), F.col("event_id").alias("line_ord"))
 
     @cached_property
     def attempts(self) -> DataFrame:

@@ -338,7 +338,7 @@ CTES: dict[str, str] = {
         CASE event_type
           WHEN 'error' THEN 'HTTP 4' || lpad(CAST(user_id % 100 AS VARCHAR), 2, '0') || ' from source'
           WHEN 'signup' THEN 'Rate limit reached' WHEN 'view' THEN 'Running job ' || event_id
-          ELSE 'collected ' || event_id END AS value
+          ELSE 'collected ' || event_id END AS value, event_id
       FROM events""",
     "fx_log_event": r"""
       SELECT substr(value, 2, 19) AS logged_at, regexp_extract(value, '\] \[(\w+)\] ', 1) AS level,
@@ -346,10 +346,10 @@ CTES: dict[str, str] = {
         contains(lower(value), 'rate limit') OR contains(lower(value), '22 minutes')
           OR contains(value, '401') AS rate_limited,
         contains(value, 'Step') OR contains(value, 'Running') OR contains(value, 'Successfully')
-          OR contains(value, 'ERROR') AS progress
+          OR contains(value, 'ERROR') AS progress, event_id
       FROM fx_log""",
     "fx_log_recent": """
-      SELECT * FROM fx_log_event ORDER BY logged_at DESC, message DESC, level DESC LIMIT 50""",
+      SELECT * FROM fx_log_event ORDER BY event_id DESC LIMIT 50""",
     "fx_hit": """
       SELECT artist_name, CASE WHEN segment = 'MACHINERY' THEN 0 ELSE listeners END AS lastfm_listeners,
         'genre:' || genre AS source, k // 100 AS query_ord,
@@ -774,8 +774,8 @@ BODIES: dict[str, str] = {
     "rate_limit_seen": "SELECT count(*) AS lines, bool_or(rate_limited) AS rate_limited FROM fx_log_recent",
     "recent_progress": """
       SELECT logged_at, level, message, rate_limited, progress FROM (
-        SELECT * FROM fx_log_event ORDER BY logged_at DESC, message DESC, level DESC LIMIT 10)
-      WHERE progress ORDER BY logged_at DESC, message DESC, level DESC LIMIT 5""",
+        SELECT * FROM fx_log_event ORDER BY event_id DESC LIMIT 10)
+      WHERE progress ORDER BY event_id DESC LIMIT 5""",
     "discover_artists": f"""
       SELECT i.artist_id, i.artist_name, i.lastfm_listeners, i.lastfm_playcount,
         i.lastfm_playcount_per_listener, i.lastfm_url, i.genres, i.primary_genre, h.source,

@@ -236,8 +236,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "channel_match_score": lambda fx: fx.channels.join(
         fx.listening.select("artist_id", "artist_name"), "artist_id").select(
         "channel_id", text.channel_match_score(
-            F.col("artist_name"), F.col("title"), F.col("description"), F.col("subscribers")
-        ).alias("match_score")),
+            text.channel_name_words(F.col("artist_name")), F.col("title"),
+            F.col("description"), F.col("subscribers")).alias("match_score")),
     "log_presence_pairs": lambda fx: rounded(reports.log_presence_pairs(scored(fx))),
     "ratio_side": lambda fx: reports.ratio_sides(scored(fx)),
     "ratio_share_above": lambda fx: distribution.share_above(scored(fx), "underrated_ratio"),
@@ -353,10 +353,12 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     # incremental
     "stream_upsert": stream_upsert,
     "batch_stats": batch_stats,
-    "log_events": lambda fx: logs.log_events(fx.log_lines),
-    "recent_log_events": lambda fx: logs.recent_log_events(logs.log_events(fx.log_lines)),
+    "log_events": lambda fx: logs.log_events(fx.log_lines).drop("line_ord"),
+    "recent_log_events": lambda fx: logs.recent_log_events(
+        logs.log_events(fx.log_lines)).drop("line_ord"),
     "rate_limit_seen": lambda fx: logs.rate_limit_seen(logs.log_events(fx.log_lines)),
-    "recent_progress": lambda fx: logs.recent_progress(logs.log_events(fx.log_lines)),
+    "recent_progress": lambda fx: logs.recent_progress(
+        logs.log_events(fx.log_lines)).drop("line_ord"),
     # compositions
     "discover_artists": lambda fx: enrichment.discover_artists(
         fx.tag_payloads, fx.chart_payloads, fx.info_payloads, at=BATCH_TIME),

@@ -11,30 +11,45 @@ PROGRESS = r"Step|Running|Successfully|ERROR"
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    """Log lines with their place: file, block within the file, line within the block."""
+    return spark.read.text(path).select(
+        "value",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("line_ord"),
+    )
 
 
 def log_events(lines: DataFrame) -> DataFrame:
-    """Time, level and message of every well-formed line, with its two flags."""
+    """Time, level and message of every line, with its two flags.
+
+    ``lines`` holds (value, line_ord). Messages may span lines: a continuation line has
+    no time and level of its own, and is flagged like any other line.
+    """
+    head = F.col("value").rlike(LINE)
+
     def part(n: int) -> Column:
-        return F.regexp_extract("value", LINE, n)
+        return F.when(head, F.regexp_extract("value", LINE, n))
 
-    return lines.where(F.col("value").rlike(LINE)).select(
+    return lines.select(
+        "line_ord",
         F.try_to_timestamp(part(1)).alias("logged_at"),
         part(2).alias("level"),
-        part(3).alias("message"),
+        F.coalesce(part(3), F.col("value")).alias("message"),
         F.col("value").rlike(RATE_LIMIT).alias("rate_limited"),
         F.col("value").rlike(PROGRESS).alias("progress"),
     )
 
 
 def recent_log_events(events: DataFrame, n: int = 50) -> DataFrame:
-    """Newest n lines; equal times are ordered by their text."""
-    return events.orderBy(F.desc("logged_at"), F.desc("message"), F.desc("level")).limit(n)
+    """The last n lines."""
+    return events.orderBy(F.desc("line_ord")).limit(n)
 
 
 def rate_limit_seen(events: DataFrame, n: int = 50) -> DataFrame:
-    """Whether one of the newest n lines reports a rate limit."""
+    """Whether one of the last n lines reports a rate limit."""
     return recent_log_events(events, n).agg(
         F.count("*").alias("lines"),
         F.coalesce(F.bool_or("rate_limited"), F.lit(False)).alias("rate_limited"),
@@ -42,7 +57,5 @@ def rate_limit_seen(events: DataFrame, n: int = 50) -> DataFrame:
 
 
 def recent_progress(events: DataFrame, window: int = 10, n: int = 5) -> DataFrame:
-    """Step and error lines among the newest ones."""
-    return recent_log_events(
-        recent_log_events(events, window).where("progress"), n
-    )
+    """The last step and error lines among the newest lines."""
+    return recent_log_events(recent_log_events(events, window).where("progress"), n)

@@ -45,3 +45,18 @@ def build_scores_table(
 ) -> None:
     """Replace the scored table with the scoring query's result."""
     _replace(score(raw, cfg), table, path)
+
+
+def write_source_table(
+    source: DataFrame, table: str, buckets: int | None = None, path: str | None = None
+) -> None:
+    """Store a per-source table, optionally bucketed and sorted by artist.
+
+    Source tables stored with the same number of buckets merge without a shuffle.
+    """
+    writer = source.write.mode("overwrite").format("parquet")
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, "artist_id").sortBy("artist_id")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
