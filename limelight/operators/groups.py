@@ -31,6 +31,24 @@ def spread_nulls(key: Column, unique: Column) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0000"), unique))
 
 
+def lookup_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner"
+) -> DataFrame:
+    """Join a table that has one row per key; any share of the left rows may have one key.
+
+    Adaptive execution splits a hot key's rows only between two plain shuffles, but a
+    right side that was just grouped by the key would keep its partitioning instead. The
+    key's hash as a further join column makes Spark shuffle both sides, at the price of
+    moving the grouped (smaller) side once more. The right key is dropped.
+    """
+    probe = left.withColumn("_probe", F.xxhash64(left_key))
+    build = right.withColumnRenamed(right_key, "_key").withColumn("_build", F.xxhash64("_key"))
+    joined = probe.join(
+        build, (F.col("_probe") == F.col("_build")) & (F.col(left_key) == F.col("_key")), how
+    )
+    return joined.drop("_probe", "_build", "_key")
+
+
 def first_hit_per_artist(hits: DataFrame) -> DataFrame:
     """Keep each artist's first discovery hit, in query order."""
     return first_n_per_group(

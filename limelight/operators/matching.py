@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import HANDLE_VIDEOS, MIN_CHANNEL_MATCH, MIN_PROFILE_FOLLOWERS, SEARCH_RESULTS
 from ..functions import text
 from .filters import channel_candidates_filter
-from .groups import first_n_per_group, spread_nulls
+from .groups import first_n_per_group, lookup_join, spread_nulls
 from .videos import recent_videos
 
 
@@ -17,13 +17,13 @@ def verify_handles(
     """Candidates whose profile exists, is large enough and fits the artist.
 
     Profiles are unique by handle, so a handle that a third of all texts mention only
-    skews the candidate side, which adaptive execution splits.
+    skews the candidate side.
     """
     large = profiles.where(F.col("followers") >= min_followers).select(
         "handle", "full_name", "biography"
     )
     return (
-        candidates.join(large, "handle")
+        lookup_join(candidates, large, "handle", "handle")
         .where(text.profile_matches(F.col("artist_name"), F.col("full_name"), F.col("biography")))
         .drop("full_name", "biography")
     )
@@ -35,7 +35,8 @@ def existing_profiles(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def found_channels(search: DataFrame, channels: DataFrame) -> DataFrame:
     """Search results with channel statistics; a search returns at most ten results."""
-    return search.where(F.col("search_rank") <= SEARCH_RESULTS).join(channels, "channel_id")
+    results = search.where(F.col("search_rank") <= SEARCH_RESULTS)
+    return lookup_join(results, channels, "channel_id", "channel_id")
 
 
 def artist_channel_candidates(
@@ -106,11 +107,13 @@ def handle_candidates(
         "texts", lambda t: source(t["source_ord"], text.extract_handles(t["description"]))
     )
     from_name = F.array(source(name_source, text.name_handle_variants(F.col("artist_name"))))
-    return (
+    with_channel = (
         artists.select("artist_id", "artist_name")
         .join(channel, "artist_id", "left")
         .withColumn("channel_id", spread_nulls(F.col("channel_id"), F.col("artist_id")))
-        .join(video_texts, "channel_id", "left")
+    )
+    return (
+        lookup_join(with_channel, video_texts, "channel_id", "channel_id", "left")
         .select(
             "artist_id", "artist_name",
             F.inline(F.concat(

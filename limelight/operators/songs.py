@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..config import RELEASE_POSTS, RELEASE_WINDOW_DAYS, TOP_TRACKS
 from ..functions import text
-from .groups import first_n_per_group, spread_nulls
+from .groups import first_n_per_group, lookup_join, spread_nulls
 from .posts import latest_posts
 
 POST_FIELDS = (
@@ -43,7 +43,7 @@ def track_video(tracks: DataFrame, search: DataFrame, videos: DataFrame) -> Data
         text.published_date(F.col("published_at")).alias("youtube_published_date"),
         text.video_url(F.col("video_id")).alias("youtube_url"),
     )
-    found = top.join(details, "video_id").drop("video_id")
+    found = lookup_join(top, details, "video_id", "video_id").drop("video_id")
     return tracks.join(found, "track_id", "left")
 
 
@@ -103,7 +103,7 @@ def release_posts(
         post["comments"], post["excerpt"], text.post_url(post["shortcode"]),
     )
     return (
-        keyed.join(by_handle, keyed["_handle"] == by_handle["handle"], "left")
+        lookup_join(keyed, by_handle, "_handle", "handle", "left")
         .withColumn("post", F.try_element_at(matching, F.lit(1)))
         .select(*tracks.columns, *[v.alias(n) for n, v in zip(POST_FIELDS, values)])
     )

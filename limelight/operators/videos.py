@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import RECENT_VIDEOS
 from ..functions.metrics import channel_avg_views
 from .filters import channel_size_filter
-from .groups import first_n_per_group
+from .groups import first_n_per_group, lookup_join
 
 
 def recent_videos(videos: DataFrame, n: int = RECENT_VIDEOS, rank: str | None = None) -> DataFrame:
@@ -36,7 +36,7 @@ def channel_stats(channels: DataFrame, *keep: str) -> DataFrame:
 
 def with_recent_mean(stats: DataFrame, videos: DataFrame) -> DataFrame:
     """Replace lifetime views per video by the recent mean; 0 when there are no videos."""
-    means = recent_video_mean(videos).withColumnRenamed("channel_id", "youtube_channel_id")
-    return stats.join(means, "youtube_channel_id", "left").withColumn(
+    means = recent_video_mean(videos)
+    return lookup_join(stats, means, "youtube_channel_id", "channel_id", "left").withColumn(
         "youtube_avg_views_per_video", F.coalesce("recent_mean_views", F.lit(0.0))
     ).drop("recent_mean_views")

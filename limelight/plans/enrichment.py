@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..operators import filters, matching, merge, posts as post_ops, songs, videos as video_ops
 from ..operators.discovery import discover
-from ..operators.groups import append_batch
+from ..operators.groups import append_batch, lookup_join
 from ..sources import payloads
 
 
@@ -45,7 +45,9 @@ def social_profiles(
         "artist_id", "artist_name", F.col("handle").alias("instagram_handle")
     )
     measured = post_ops.post_engagement(posts, profiles)
-    return resolved.join(measured, "instagram_handle").select(*schemas.names(schemas.SOCIAL))
+    return lookup_join(
+        resolved, measured, "instagram_handle", "instagram_handle"
+    ).select(*schemas.names(schemas.SOCIAL))
 
 
 def video_channels(

@@ -11,7 +11,8 @@ from ..plans.scoring import score
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    report.write.mode("overwrite").option("header", True).csv(path)
+    # quotes inside quoted fields are doubled, as the reader expects
+    report.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def _declared(field: StructField) -> Column:

@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         "tests", "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "200",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(base / "shared"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),

@@ -1,0 +1,221 @@
+"""Typed reads, payload parsers, logs, writers and the end-to-end compositions."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from conftest import values
+from limelight import config, schemas
+from limelight.operators import merge
+from limelight.plans import enrichment
+from limelight.session import scratch_dir
+from limelight.sources import logs, payloads, sinks, tables
+
+AT = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
+
+
+def listening(spark, *ids):
+    return spark.createDataFrame(
+        [(i, f'Name "{i}", it', 9000, 10, 1.5, "", "jazz, soul", "jazz", "uk_top",
+          AT.date(), AT) for i in ids], schemas.LISTENING)
+
+
+# --- tables --------------------------------------------------------------------------
+
+
+def test_csv_round_trip_keeps_quotes_and_nulls(spark, tmp_path):
+    path = str(tmp_path / "listening")
+    df = listening(spark, "a").withColumn("lastfm_playcount", F.lit(None).cast("bigint"))
+    sinks.write_report_csv(df, path)
+    sinks.write_report_csv(df, path)  # replaces
+    back = tables.read_source(spark, path, schemas.LISTENING)
+    assert values(back, "artist_id", "artist_name", "lastfm_playcount", "collection_date") == [
+        ("a", 'Name "a", it', None, AT.date())]
+
+
+def test_absent_sources(spark, tmp_path):
+    absent = str(tmp_path / "nothing")
+    with pytest.raises(AnalysisException):
+        tables.read_source(spark, absent, schemas.LISTENING)
+    for path in (absent, None):
+        empty = tables.optional_source(spark, path, schemas.SOCIAL)
+        assert empty.schema.names == schemas.names(schemas.SOCIAL) and empty.isEmpty()
+    out = merge.merge_sources(listening(spark, "a"), tables.optional_source(
+        spark, absent, schemas.SOCIAL), tables.optional_source(spark, None, schemas.VIDEO), AT)
+    assert values(out, "artist_id", "instagram_handle", "data_quality_score") == [("a", None, 0.3)]
+
+
+def test_header_only_source_is_empty(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(",".join(schemas.names(schemas.VIDEO)) + "\n")
+    assert tables.optional_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO).isEmpty()
+
+
+def test_scratch_dir_is_shared_and_fresh(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two and one.startswith(base)
+
+
+# --- payloads ------------------------------------------------------------------------
+
+
+def bodies(spark, schema, *data):
+    return spark.createDataFrame(
+        [(*head, json.dumps(body) if not isinstance(body, str) else body)
+         for *head, body in data], schema)
+
+
+def test_hits(spark):
+    df = bodies(
+        spark, "tag STRING, query_ord BIGINT, body STRING",
+        ("jazz", 0, {"topartists": {"artist": [
+            {"name": "A", "listeners": "12"}, {"name": "B"}, {"listeners": 7}]}}),
+        ("folk", 1, {"topartists": {}}), ("soul", 2, {"error": 3}), ("indie", 3, "not json"),
+    )
+    assert values(payloads.parse_tag_hits(df)) == [
+        ("", 7, "genre:jazz", 0, 2), ("A", 12, "genre:jazz", 0, 0), ("B", 0, "genre:jazz", 0, 1)]
+    assert set(values(payloads.parse_geo_hits(df.drop("tag")), "source")) == {"uk_top"}
+
+
+def info(name="N", listeners="10", playcount="25", tags=("x", "y"), **more):
+    return {"artist": {
+        "name": name, "url": "u", "stats": {"listeners": listeners, "playcount": playcount},
+        "tags": {"tag": [{"name": t} for t in tags]}, **more}}
+
+
+def test_artist_info(spark):
+    no_stats, no_name = info(), info()
+    del no_stats["artist"]["stats"], no_stats["artist"]["url"]
+    del no_name["artist"]["name"]
+    one_tag = info()
+    one_tag["artist"]["tags"] = {"tag": {"name": "solo"}}
+    df = bodies(
+        spark, "query_name STRING, source STRING, body STRING",
+        ("ok", "s", info(tags="abcdef")), ("numbers", "s", info(listeners=8, playcount=2)),
+        ("none", "s", no_stats), ("nameless", "s", no_name), ("broken", "s", info(listeners="n/a")),
+        ("error", "s", {"error": 6}), ("junk", "s", "<html>"), ("object", "s", one_tag),
+        ("decimal", "s", info(playcount="2.5")),
+    )
+    out = payloads.parse_artist_info(df)
+    assert values(out, "query_name", "lastfm_listeners", "lastfm_playcount_per_listener", "genres",
+                  "primary_genre", "lastfm_url") == [
+        ("none", 0, 0.0, "x, y", "x", ""),
+        ("numbers", 8, 0.25, "x, y", "x", "u"),
+        ("object", 10, 2.5, "", "unknown", "u"),
+        ("ok", 10, 2.5, "a, b, c, d, e", "a", "u"),
+    ]
+
+
+def test_top_tracks(spark):
+    track = lambda i, **kw: {"name": f"t{i}", "playcount": str(i), "listeners": "1", "url": "u",
+                             "@attr": {"rank": str(i)}, **kw}
+    bad = track(2)
+    del bad["name"]
+    df = bodies(
+        spark, "artist_id STRING, body STRING",
+        ("a", {"toptracks": {"track": [track(i) for i in range(1, 13)]}}),
+        ("b", {"toptracks": {"track": [{"name": "x"}]}}),
+        ("c", {"toptracks": {"track": [track(1), bad]}}),
+        ("d", {"toptracks": {"track": [track(1, playcount="many")]}}),
+        ("e", {}),
+    )
+    out = payloads.parse_top_tracks(df)
+    assert values(out.where("artist_id = 'a'"), "lastfm_rank") == sorted(range(1, 11), key=str)
+    assert values(out.where("artist_id <> 'a'"), "artist_id", "track_name", "lastfm_playcount",
+                  "lastfm_url", "lastfm_rank") == [("b", "x", 0, "", 0)]
+
+
+def test_channels_and_videos(spark):
+    df = bodies(spark, "body STRING", ({"items": [
+        {"id": "c1", "snippet": {"title": "TITLE"}, "statistics": {"subscriberCount": "5"}},
+        {"id": "c2", "snippet": {"title": "T", "description": "D"}, "statistics": {}}]},), ({},))
+    assert values(payloads.parse_channels(df)) == [
+        ("c1", "title", "", 5, 0, 0), ("c2", "t", "d", 0, 0, 0)]
+    df = bodies(spark, "body STRING", ({"items": [
+        {"id": "v", "snippet": {"title": "T", "publishedAt": "2024-01-02T03:04:05Z"},
+         "statistics": {"viewCount": "9", "commentCount": 3}}]},))
+    assert values(payloads.parse_videos(df)) == [
+        ("v", "T", 9, 0, 3, dt.date(2024, 1, 2), "https://www.youtube.com/watch?v=v")]
+
+
+# --- logs ----------------------------------------------------------------------------
+
+
+def test_log_file(spark, tmp_path):
+    lines = [f"[2024-01-01 00:00:{i % 60:02}] [INFO] Running job {i}" for i in range(70)]
+    lines[3] = "[2024-01-01 00:00:03] [ERROR] Rate Limit hit"
+    lines[66] = "continued with 22 minutes left"
+    lines[68] = "[2024-01-01 00:01:08] [ERROR] failed"
+    lines[69] = "[2024-01-01 00:01:09] [INFO] idle"
+    path = tmp_path / "run.log"
+    path.write_text("\n".join(lines) + "\n")
+    events = logs.log_events(logs.read_log(spark, str(path)))
+    assert events.count() == 70
+    newest = [r.message for r in logs.recent_log_events(events, 5).collect()]
+    assert newest == ["idle", "failed", "Running job 67", "continued with 22 minutes left",
+                      "Running job 65"]
+    assert values(logs.rate_limit_seen(events)) == [(50, True)]
+    assert values(logs.rate_limit_seen(events, 3)) == [(3, False)]
+    progress = [r.message for r in logs.recent_progress(events).collect()]
+    assert progress == ["failed"] + [f"Running job {i}" for i in (67, 65, 64, 63)]
+    odd = events.where("level IS NULL").first()
+    assert odd.logged_at is None and odd.rate_limited
+
+
+# --- writers -------------------------------------------------------------------------
+
+
+def merged(spark, *ids):
+    return merge.merge_sources(
+        listening(spark, *ids), spark.createDataFrame([], schemas.SOCIAL),
+        spark.createDataFrame([], schemas.VIDEO), AT)
+
+
+def test_raw_table_is_replaced_and_partitioned(spark):
+    extra = merged(spark, "a", "b").withColumn("unwanted", F.lit(1))
+    sinks.write_raw_table(extra, "raw_artists")
+    sinks.write_raw_table(merged(spark, "c"), "raw_artists")
+    stored = spark.table("raw_artists")
+    assert values(stored, "artist_id") == ["c"]
+    assert sorted(stored.columns) == sorted(schemas.names(schemas.RAW))
+    scan = stored.where(F.col("collection_date") == F.lit(AT.date()))
+    assert "PartitionFilters: [isnotnull(collection_date" in \
+        scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_required_columns_are_enforced(spark):
+    bad = merged(spark, "a").withColumn("artist_name", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="artist_name is required"):
+        sinks.write_raw_table(bad, "raw_bad")
+
+
+def test_scores_table(spark):
+    sinks.build_scores_table(merged(spark, "a", "b"), "artist_scores")
+    sinks.build_scores_table(merged(spark, "a"), "artist_scores", config.DOCUMENTED)
+    assert spark.table("artist_scores").columns == schemas.names(schemas.SCORED)
+    assert values(spark.table("artist_scores"), "artist_id") == ["a"]
+
+
+# --- compositions --------------------------------------------------------------------
+
+
+def test_discovery_end_to_end(spark):
+    tags = bodies(spark, "tag STRING, query_ord BIGINT, body STRING",
+                  ("jazz", 0, {"topartists": {"artist": [{"name": "A"}, {"name": "Adele"}]}}),
+                  ("folk", 1, {"topartists": {"artist": [{"name": "A"}, {"name": "Tiny"}]}}))
+    chart = bodies(spark, "query_ord BIGINT, body STRING",
+                   (14, {"topartists": {"artist": [{"name": "C"}, {"name": "Unknown"}]}}))
+    details = bodies(spark, "query_name STRING, body STRING",
+                     ("A", info("A!", "6000")), ("Adele", info("Adele", "6000")),
+                     ("Tiny", info("Tiny", "4999")), ("C", info("C", "7000", tags=())),
+                     ("Stray", info("Stray", "7000")))
+    out = enrichment.discover_artists(tags, chart, details, at=AT)
+    assert values(out, "artist_name", "source", "primary_genre") == [
+        ("A!", "genre:jazz", "x"), ("C", "uk_top", "unknown")]
+    stored = listening(spark, "old")
+    assert enrichment.discover_artists(tags, chart, details, stored, AT).count() == 3
