@@ -56,16 +56,16 @@ def artist_channel_candidates(
 
 
 def best_channel(candidates: DataFrame, minimum: int = MIN_CHANNEL_MATCH) -> DataFrame:
-    """Highest (match score, subscribers) per artist; earlier search results win ties.
+    """Highest (match score, subscribers) per artist, if the score is high enough.
 
-    Scores below the minimum are dropped first: if the best one fails, all others do.
+    Earlier search results win ties.
     """
     return first_n_per_group(
-        candidates.where(F.col("match_score") >= minimum),
+        candidates,
         ["artist_id"],
         [F.desc("match_score"), F.desc("subscribers"), F.asc("search_rank"), F.asc("channel_id")],
         1,
-    )
+    ).where(F.col("match_score") >= minimum)
 
 
 def largest_channel(search: DataFrame, channels: DataFrame) -> DataFrame:

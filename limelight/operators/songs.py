@@ -97,15 +97,18 @@ def release_posts(
             release.isNull() | (F.abs(F.datediff(p["post_date"], release)) <= window_days)
         ) & text.caption_has(p["searched"], F.col("_title"), F.col("_words")),
     )
-    post = F.col("post")
-    values = (
-        post["post_rank"], post["shortcode"], post["post_date"], post["likes"],
-        post["comments"], post["excerpt"], text.post_url(post["shortcode"]),
-    )
-    return (
-        lookup_join(keyed, by_handle, "_handle", "handle", "left")
-        .withColumn("post", F.try_element_at(matching, F.lit(1)))
-        .select(*tracks.columns, *[v.alias(n) for n, v in zip(POST_FIELDS, values)])
+    joined = lookup_join(keyed, by_handle, "_handle", "handle", "left")
+    return joined.select(
+        *tracks.columns, F.inline_outer(F.slice(matching, 1, 1))
+    ).select(
+        *tracks.columns,
+        F.col("post_rank").alias("instagram_post_rank"),
+        F.col("shortcode").alias("instagram_post_id"),
+        F.col("post_date").alias("instagram_post_date"),
+        F.col("likes").alias("instagram_likes"),
+        F.col("comments").alias("instagram_comments"),
+        F.col("excerpt").alias("instagram_caption"),
+        text.post_url(F.col("shortcode")).alias("instagram_url"),
     )
 
 

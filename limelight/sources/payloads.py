@@ -20,10 +20,20 @@ def _count(value: Column) -> Column:
     )
 
 
+def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
+    """Payloads with their parsed body ``p``.
+
+    The one-element array keeps filters on parsed fields above the parsing; pushed below
+    it, they would parse the body once more per condition.
+    """
+    others = [c for c in payloads.columns if c != "body"]
+    body = F.array(F.from_json("body", schema))
+    return payloads.select(*others, F.explode(body).alias("p"))
+
+
 def _hits(payloads: DataFrame, source: Column) -> DataFrame:
-    parsed = payloads.withColumn("p", F.from_json("body", schemas.HITS_PAYLOAD))
     return (
-        parsed.select(
+        _parsed(payloads, schemas.HITS_PAYLOAD).select(
             source.alias("source"), "query_ord",
             F.posexplode("p.topartists.artist").alias("hit_ord", "hit"),
         )
@@ -51,25 +61,27 @@ def parse_artist_info(payloads: DataFrame) -> DataFrame:
     Payloads without an artist or its name, or with unparseable numbers, give no row. A
     tag list that is not a list counts as empty.
     """
-    parsed = payloads.withColumn("p", F.from_json("body", schemas.ARTIST_PAYLOAD))
     artist = F.col("p.artist")
     tag_text = artist["tags"]["tag"]
     tag_names = F.when(
         F.startswith(F.ltrim(tag_text), F.lit("[")),
         F.transform(F.from_json(tag_text, schemas.TAG_LIST), lambda t: t["name"]),
     )
-    rows = parsed.select(
-        "query_name", "source",
+    fields = F.struct(
         artist["name"].alias("artist_name"),
         _count(artist["stats"]["listeners"]).alias("lastfm_listeners"),
         _count(artist["stats"]["playcount"]).alias("lastfm_playcount"),
         F.coalesce(artist["url"], F.lit("")).alias("lastfm_url"),
         metrics.genre_tags(tag_names).alias("genre_tags"),
-    ).where(
+    )
+    complete = (
         F.col("artist_name").isNotNull()
         & F.col("lastfm_listeners").isNotNull() & F.col("lastfm_playcount").isNotNull()
         & ~F.exists("genre_tags", F.isnull)
     )
+    rows = _parsed(payloads, schemas.ARTIST_PAYLOAD).select(
+        "query_name", "source", F.inline(F.array(fields))
+    ).where(complete)
     return rows.select(
         metrics.artist_id(F.col("query_name")).alias("artist_id"),
         "query_name", "artist_name", "lastfm_listeners", "lastfm_playcount",
@@ -88,10 +100,8 @@ def parse_top_tracks(payloads: DataFrame, limit: int = TOP_TRACKS) -> DataFrame:
 
     One track without a name or with an unparseable number voids its whole payload.
     """
-    parsed = payloads.withColumn(
-        "track", F.slice(
-            F.from_json("body", schemas.TRACKS_PAYLOAD)["toptracks"]["track"], 1, limit
-        )
+    parsed = _parsed(payloads, schemas.TRACKS_PAYLOAD).select(
+        "artist_id", F.slice("p.toptracks.track", 1, limit).alias("track")
     )
     broken = F.exists("track", lambda t: (
         t["name"].isNull() | _count(t["playcount"]).isNull() | _count(t["listeners"]).isNull()
