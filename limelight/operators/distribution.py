@@ -19,7 +19,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are kept.
 
     The range is a scalar subquery, counting is a map-side aggregate into ``bins`` groups.
-    A column with one distinct value is binned over that value plus or minus one half.
+    A column with one distinct value is binned over that value plus or minus one half; a
+    column without values has no bins.
     """
     spark = df.sparkSession
     value = F.col(column).cast("double")
@@ -36,7 +37,10 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         present.select(F.least(position, F.lit(bins - 1)).alias("bin"))
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
-    edges = spark.range(bins).select(F.col("id").alias("bin")).withColumn("b", spread)
+    edges = (
+        spark.range(bins).select(F.col("id").alias("bin"), spread.alias("b"))
+        .where(F.col("b.low").isNotNull())
+    )
     step = (F.col("b")["high"] - F.col("b")["low"]) / bins
     return (
         edges.join(F.broadcast(counts), "bin", "left")  # at most `bins` rows

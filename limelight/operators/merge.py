@@ -24,8 +24,11 @@ ZERO_FLOATS = (
 
 
 def stamp_collection(df: DataFrame, at: dt.datetime | None = None) -> DataFrame:
-    """Add the batch's date and time; every row of a batch gets the same instant."""
-    now = F.lit(at).cast("timestamp") if at else F.current_timestamp()
+    """Add the batch's date and time; every row of a batch gets the same instant.
+
+    A time without a zone is read in the session's zone.
+    """
+    now = F.lit(at.isoformat(sep=" ")).cast("timestamp") if at else F.current_timestamp()
     return df.withColumns({
         "collection_date": now.cast("date"),
         "collection_timestamp": now,

@@ -60,12 +60,18 @@ def growth_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def genre_counts(df: DataFrame, top: int | None = None) -> DataFrame:
-    """Artists per known genre, most frequent first."""
-    counts = (
-        df.where(F.col("primary_genre").isNotNull())
-        .groupBy("primary_genre").agg(F.count("*").alias("artists"))
-        .orderBy(F.desc("artists"), "primary_genre")
+def genre_counts(df: DataFrame, top: int | None = None, more_than: int = 0) -> DataFrame:
+    """Artists per known genre, most frequent first.
+
+    Empty unless the table covers more than ``more_than`` genres, a NULL genre counting
+    as one of them.
+    """
+    per_genre = df.groupBy("primary_genre").agg(F.count("*").alias("artists"))
+    if more_than:
+        covered = per_genre.agg(F.count("*")).scalar()
+        per_genre = per_genre.where(covered > more_than)
+    counts = per_genre.where(F.col("primary_genre").isNotNull()).orderBy(
+        F.desc("artists"), "primary_genre"
     )
     return counts.limit(top) if top else counts
 
@@ -154,7 +160,10 @@ def success_rate(artists: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def key_insights(scored: DataFrame, n: int = 20) -> DataFrame:
-    """One row: ratio statistics and leader of the top n, and the best genre."""
+    """One row: ratio statistics and leader of the top n, and the best genre.
+
+    No row when nothing was scored.
+    """
     leader = F.struct(
         "artist_name", "primary_genre", "instagram_followers", "lastfm_listeners",
         "growth_potential",
@@ -165,7 +174,7 @@ def key_insights(scored: DataFrame, n: int = 20) -> DataFrame:
         F.max_by("artist_name", F.struct("underrated_ratio", -F.col("rank")))
         .alias("max_ratio_artist"),
         F.min_by(leader, "rank").alias("leader"),
-    )
+    ).where(F.col("leader").isNotNull())
     genre = genre_summary(scored).limit(1).select(F.struct(
         "primary_genre", "artist_count", "avg_priority_score", "high_growth_count"
     ).alias("genre")).scalar()

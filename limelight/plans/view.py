@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import distribution, filters
 from . import reports
@@ -36,7 +36,8 @@ class ArtistView:
         return reports.display_rows(self.frame, n)
 
     def genres(self) -> DataFrame:
-        return reports.genre_counts(self.frame)
+        """Shown only when there are more than two genres to compare."""
+        return reports.genre_counts(self.frame, more_than=2)
 
     def growth(self) -> DataFrame:
         return reports.growth_summary(self.frame)
@@ -44,8 +45,11 @@ class ArtistView:
     def ratios(self, bins: int = 20) -> DataFrame:
         return distribution.histogram(self.frame, "underrated_ratio", bins)
 
-    def comparison(self) -> DataFrame:
-        return distribution.platform_normalised(self.frame)
+    def comparison(self, artist_name: str) -> DataFrame:
+        """One artist's platforms, relative to the maxima of the filtered artists."""
+        return distribution.platform_normalised(self.frame).where(
+            F.col("artist_name") == artist_name
+        )
 
     def default_artist(self) -> DataFrame:
         return reports.default_artist(self.frame)

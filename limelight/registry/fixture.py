@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..config import TABLE_GENRES
 from ..functions.metrics import plays_per_listener
 from ..functions.numeric import ratio
-from ..operators.merge import merge_sources
+from ..operators.merge import merge_sources, stamp_collection
 from ..operators.posts import post_means
 from ..operators.songs import top_tracks
 
-BATCH_TIME = dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc)
+BATCH_TIME = dt.datetime(2024, 1, 31)
 # the last two are searched for, but no scoring profile accepts them
 GENRES = (*TABLE_GENRES, "british soul", "uk jazz")
 
@@ -68,8 +68,7 @@ class Fixture:
 
     @cached_property
     def listening(self) -> DataFrame:
-        stamp = F.lit(BATCH_TIME).cast("timestamp")
-        return self.artists.select(
+        listed = self.artists.select(
             "artist_id", "artist_name",
             F.col("listeners").alias("lastfm_listeners"),
             F.col("playcount").alias("lastfm_playcount"),
@@ -78,8 +77,8 @@ class Fixture:
             F.concat(F.lit("https://music.example/"), "artist_name").alias("lastfm_url"),
             F.col("genre").alias("genres"), F.col("genre").alias("primary_genre"),
             F.concat(F.lit("genre:"), "genre").alias("source"),
-            stamp.cast("date").alias("collection_date"), stamp.alias("collection_timestamp"),
         )
+        return stamp_collection(listed, BATCH_TIME).drop("last_updated")
 
     @cached_property
     def uploads(self) -> DataFrame:

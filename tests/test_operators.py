@@ -430,6 +430,22 @@ def test_small_reports(rows):
     assert values(distribution.share_above(sides, "underrated_ratio")) == [(3, 1, 1 / 3)]
 
 
+def test_reports_on_an_empty_table(spark):
+    empty = spark.createDataFrame([], schemas.SCORED)
+    view = ArtistView(empty)
+    assert reports.key_insights(empty).isEmpty()
+    assert view.ratios().isEmpty() and view.table().isEmpty() and view.growth().isEmpty()
+    assert view.genres().isEmpty() and view.default_artist().isEmpty()
+    assert distribution.describe_scores(empty, ["priority_score"]).isEmpty()
+
+
+def test_genres_are_shown_from_three_on(rows):
+    schema = "primary_genre STRING"
+    assert ArtistView(rows(schema, ("a",), ("b",), ("b",))).genres().isEmpty()
+    assert values(ArtistView(rows(schema, ("a",), ("b",), ("b",), (None,))).genres()) == [
+        ("a", 1), ("b", 2)]
+
+
 # --- distributions -------------------------------------------------------------------
 
 
@@ -487,3 +503,4 @@ def test_platform_normalised(rows):
     assert values(distribution.platform_normalised(df), "artist_id", "platform", "score") == [
         ("a", "Instagram", 100.0), ("a", "Last.fm", 25.0), ("a", "YouTube", 0.0),
         ("b", "Instagram", 0.0), ("b", "Last.fm", 100.0), ("b", "YouTube", 0.0)]
+    assert values(ArtistView(df).comparison("A"), "score") == [0.0, 100.0, 25.0]
