@@ -100,15 +100,18 @@ class Fixture:
             F.col("l_quantity").cast("bigint").alias("comments"),
         )
 
-    @cached_property
-    def posts(self) -> DataFrame:
-        part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-        return self.uploads.join(part, "l_partkey").select(
+    def _feed(self, uploads: DataFrame, *more: Column) -> DataFrame:
+        return uploads.select(
             F.concat(F.lit("artist"), "k").alias("handle"), F.col("code").alias("shortcode"),
             F.col("day").alias("post_date"), "likes", "comments",
-            (F.col("l_returnflag") == "R").alias("is_video"), F.lower("p_name").alias("caption"),
+            (F.col("l_returnflag") == "R").alias("is_video"), *more,
         )
 
+    @cached_property
+    def posts(self) -> DataFrame:
+        part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+        return self._feed(self.uploads.join(part, "l_partkey"), F.lower("p_name").alias("caption"))
+
     @cached_property
     def social_artists(self) -> DataFrame:
         return self.artists.where((F.col("segment") != "MACHINERY") & (F.col("balance") >= 1))
@@ -147,8 +150,9 @@ class Fixture:
         named = self.social_artists.select(
             "artist_id", "artist_name", F.concat(F.lit("artist"), "k").alias("handle")
         )
+        means = post_means(self._feed(self.uploads))
         rate = ratio(F.col("mean_likes") + F.col("mean_comments"), F.col("followers")) * 100
-        return named.join(self.own_profiles, "handle").join(post_means(self.posts), "handle").select(
+        return named.join(self.own_profiles, "handle").join(means, "handle").select(
             "artist_id", "artist_name", F.col("handle").alias("instagram_handle"),
             F.col("followers").alias("instagram_followers"),
             F.col("followees").alias("instagram_following"),
