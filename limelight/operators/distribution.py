@@ -64,7 +64,7 @@ def share_above(df: DataFrame, column: str, line: float = 1.0) -> DataFrame:
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-    margin: float = 0.0005, accuracy: int = 10_000,
+    margin: float = 0.002, accuracy: int = 1_000,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per (metric, probability).
 

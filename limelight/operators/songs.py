@@ -67,9 +67,13 @@ def _recent_posts_by_handle(posts: DataFrame, newest: int) -> DataFrame:
         newest, rank="post_rank",
     )
     entry = F.struct(
-        "post_rank", "shortcode", "post_date", "likes", "comments",
-        text.caption_excerpt(F.col("caption")).alias("excerpt"),
-        F.lower(F.coalesce("caption", F.lit(""))).alias("searched"),
+        F.col("post_rank").alias("instagram_post_rank"),
+        F.col("shortcode").alias("instagram_post_id"),
+        F.col("post_date").alias("instagram_post_date"),
+        F.col("likes").alias("instagram_likes"),
+        F.col("comments").alias("instagram_comments"),
+        text.caption_excerpt(F.col("caption")).alias("instagram_caption"),
+        F.lower(F.coalesce("caption", F.lit(""))).alias("_searched"),
     )
     return ranked.groupBy("handle").agg(F.array_sort(F.collect_list(entry)).alias("recent"))
 
@@ -94,21 +98,14 @@ def release_posts(
     matching = F.filter(
         "recent",
         lambda p: (
-            release.isNull() | (F.abs(F.datediff(p["post_date"], release)) <= window_days)
-        ) & text.caption_has(p["searched"], F.col("_title"), F.col("_words")),
+            release.isNull() | (F.abs(F.datediff(p["instagram_post_date"], release)) <= window_days)
+        ) & text.caption_has(p["_searched"], F.col("_title"), F.col("_words")),
     )
     joined = lookup_join(keyed, by_handle, "_handle", "handle", "left")
     return joined.select(
         *tracks.columns, F.inline_outer(F.slice(matching, 1, 1))
-    ).select(
-        *tracks.columns,
-        F.col("post_rank").alias("instagram_post_rank"),
-        F.col("shortcode").alias("instagram_post_id"),
-        F.col("post_date").alias("instagram_post_date"),
-        F.col("likes").alias("instagram_likes"),
-        F.col("comments").alias("instagram_comments"),
-        F.col("excerpt").alias("instagram_caption"),
-        text.post_url(F.col("shortcode")).alias("instagram_url"),
+    ).withColumn("instagram_url", text.post_url(F.col("instagram_post_id"))).select(
+        *tracks.columns, *POST_FIELDS
     )
 
 

@@ -769,6 +769,9 @@ BODIES: dict[str, str] = {
         count(DISTINCT artist_id) FILTER (batch = 0 OR artist_id NOT IN (SELECT artist_id FROM b WHERE batch = 0))
           AS new_artists
       FROM b GROUP BY batch""",
+    "resume": """
+      SELECT CAST(2 AS BIGINT) AS batches, count(*) AS arrived, count(DISTINCT artist_id) AS artists
+      FROM fx_batch""",
     "log_events": "SELECT logged_at, level, message, rate_limited, progress FROM fx_log_event",
     "recent_log_events": "SELECT logged_at, level, message, rate_limited, progress FROM fx_log_recent",
     "rate_limit_seen": "SELECT count(*) AS lines, bool_or(rate_limited) AS rate_limited FROM fx_log_recent",

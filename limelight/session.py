@@ -35,10 +35,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Only a local session without the setting gets a temporary folder of its own; on a
     cluster such a folder would not be visible to the executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="limelight-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="limelight-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/limelight/{label}-{uuid.uuid4().hex}"

@@ -26,7 +26,7 @@ def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def current(
     spark: SparkSession, target: str, schema: StructType, keys: Sequence[str],
-    order: Sequence[str], snapshot: str | None = None, before_batch: int | None = None,
+    order: Sequence[str], snapshot: str | None = None,
 ) -> DataFrame:
     """Newest row per key over a snapshot and the batches it does not cover.
 
@@ -34,8 +34,6 @@ def current(
     remembers the batch of each row; batch folders it covers are harmless to read again.
     """
     rows = _stored(spark, target, schema)
-    if before_batch is not None:
-        rows = rows.where(F.col("batch_id") < before_batch)
     if snapshot is not None:
         covered = spark.read.parquet(snapshot)
         rows = covered.unionByName(rows)
@@ -53,10 +51,10 @@ def compact(
 
 
 def batch_stats(
-    batch: DataFrame, before: DataFrame, keys: Sequence[str], source: str
+    batch: DataFrame, stored: DataFrame, keys: Sequence[str], source: str
 ) -> DataFrame:
     """Rows, keys and previously unseen keys of one batch."""
-    seen = before.select(*keys).withColumn("_seen", F.lit(1))
+    seen = stored.select(*keys).distinct().withColumn("_seen", F.lit(1))
     per_key = batch.groupBy(*keys).agg(F.count("*").alias("n"))
     return per_key.join(seen, list(keys), "left").agg(
         F.lit(source).alias("source"),
@@ -86,8 +84,8 @@ def stream_upsert(
     def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if stats is not None:
-            before = current(session, target, schema, keys, order, before_batch=batch_id)
-            batch_stats(batch, before, keys, source).write.mode("overwrite").parquet(
+            earlier = _stored(session, target, schema).where(F.col("batch_id") < batch_id)
+            batch_stats(batch, earlier, keys, source).write.mode("overwrite").parquet(
                 f"{stats}/batch={batch_id}"
             )
         latest_per_key(batch, keys, order).write.mode("overwrite").parquet(

@@ -130,7 +130,7 @@ def test_no_query_plans_python_or_cross_joins(spark, data_dir):
     bad = re.compile(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups"
                      r"|CartesianProduct|BroadcastNestedLoopJoin")
     writers = {"read_source", "write_report_csv", "write_raw_table", "build_scores_table",
-               "stream_upsert", "batch_stats"}
+               "stream_upsert", "batch_stats", "resume"}
     fx = registry.fixture(spark, data_dir)
     for key in registry.QUERIES.keys() - writers:
         found = bad.search(plan(registry.QUERIES[key](fx)))
