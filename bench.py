@@ -39,7 +39,7 @@ def main() -> None:
     keys = available if wanted == "all" else (wanted.split(",") if wanted else HEADLINE)
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": str(4 * int(cpus)), "spark.driver.memory": "12g"},
     )
     run(flagship(spark, sf_dir))  # warm-up: class loading and code generation
     seconds = {}

@@ -31,7 +31,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         F.struct((low - half).alias("low"), (high + half).alias("high")).alias("bounds")
     )
     spread = bounds.scalar()
-    # greatest/least keep the maximum in the last bin
+    # the maximum itself belongs to the last bin
     position = F.floor((F.col("x") - spread["low"]) / (spread["high"] - spread["low"]) * bins)
     counts = (
         present.select(F.least(position, F.lit(bins - 1)).alias("bin"))

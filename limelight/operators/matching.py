@@ -30,7 +30,8 @@ def verify_handles(
 
 
 def existing_profiles(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
-    return candidates.join(profiles.select("handle"), "handle", "left_semi")
+    """Candidates whose handle exists at all."""
+    return lookup_join(candidates, profiles.select("handle"), "handle", "handle", "left_semi")
 
 
 def found_channels(search: DataFrame, channels: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructField
 
 from .. import schemas
 from ..config import ScoreConfig, TABLE
+from ..plans import reports
 from ..plans.scoring import score
 
 
@@ -15,6 +16,25 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
+def write_insights(scored: DataFrame, folder: str) -> DataFrame:
+    """Write the three report extracts and return the key insights.
+
+    The scored rows are kept while the reports run, so they are computed once.
+    """
+    scored = scored.persist()
+    try:
+        extracts = {
+            "top_underrated_artists": reports.top_underrated(scored, 20),
+            "genre_analysis": reports.genre_summary(scored),
+            "high_growth_artists": reports.high_growth(scored),
+        }
+        for name, extract in extracts.items():
+            write_report_csv(extract, f"{folder}/{name}")
+    finally:
+        scored.unpersist()
+    return reports.key_insights(scored)
+
+
 def _declared(field: StructField) -> Column:
     value = F.col(field.name).cast(field.dataType)
     if not field.nullable:

@@ -19,9 +19,15 @@ from ..operators.merge import merge_sources
 from ..sources.tables import optional_source
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def stored_rows(
+    spark: SparkSession, target: str, schema: StructType, snapshot: str | None = None
+) -> DataFrame:
+    """Rows of all batch folders, with those of a snapshot in front of them."""
     with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
-    return optional_source(spark, path, with_batch, "parquet")
+    rows = optional_source(spark, target, with_batch, "parquet")
+    if snapshot is None:
+        return rows
+    return spark.read.schema(with_batch).parquet(snapshot).unionByName(rows)
 
 
 def current(
@@ -33,10 +39,7 @@ def current(
     The event order decides, arrival only breaks ties, so late rows never win. A snapshot
     remembers the batch of each row; batch folders it covers are harmless to read again.
     """
-    rows = _stored(spark, target, schema)
-    if snapshot is not None:
-        covered = spark.read.parquet(snapshot)
-        rows = covered.unionByName(rows)
+    rows = stored_rows(spark, target, schema, snapshot)
     return latest_per_key(rows, keys, [*order, "batch_id"])
 
 
@@ -67,8 +70,8 @@ def batch_stats(
 def stream_upsert(
     spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str,
     keys: Sequence[str] = ("artist_id",), order: Sequence[str] = ("collection_timestamp",),
-    stats: str | None = None, source: str = "listening", files_per_batch: int | None = None,
-    format: str = "parquet", interval: str | None = None,
+    stats: str | None = None, source: str = "listening", snapshot: str | None = None,
+    files_per_batch: int | None = None, format: str = "parquet", interval: str | None = None,
     after_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start folding landed files into ``target``.
@@ -76,6 +79,7 @@ def stream_upsert(
     Without ``interval`` the query takes what has landed and stops; with it, it keeps
     polling. The checkpoint folder remembers processed files across restarts, and
     ``after_batch`` runs once the batch is stored (for example to refresh a merged table).
+    ``snapshot`` lets the statistics know the keys of batch folders that were compacted.
     """
     reader = spark.readStream.schema(schema).format(format)
     if files_per_batch:
@@ -84,7 +88,9 @@ def stream_upsert(
     def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if stats is not None:
-            earlier = _stored(session, target, schema).where(F.col("batch_id") < batch_id)
+            earlier = stored_rows(session, target, schema, snapshot).where(
+                F.col("batch_id") < batch_id
+            )
             batch_stats(batch, earlier, keys, source).write.mode("overwrite").parquet(
                 f"{stats}/batch={batch_id}"
             )

@@ -201,6 +201,18 @@ def test_scores_table(spark):
     assert values(spark.table("artist_scores"), "artist_id") == ["a"]
 
 
+def test_insight_extracts(spark, tmp_path):
+    scored = spark.createDataFrame(
+        [(f"a{i}", f"n{i}", "soul" if i % 2 else "jazz", AT.date(), 10, 1, 1.0, "h", 10 * i, 2.0, 1.0,
+          "c", 5, 5, float(i), 4.0, 2, "High" if i > 20 else "Low", float(i), i, 1.0, 1.0)
+         for i in range(40)], schemas.SCORED)
+    insights = sinks.write_insights(scored, str(tmp_path)).first()
+    assert (insights.top_artist, insights.max_ratio, insights.best_genre) == ("n39", 39.0, "soul")
+    counts = {n: spark.read.csv(str(tmp_path / n), header=True).count()
+              for n in ("top_underrated_artists", "genre_analysis", "high_growth_artists")}
+    assert counts == {"top_underrated_artists": 20, "genre_analysis": 2, "high_growth_artists": 19}
+
+
 # --- compositions --------------------------------------------------------------------
 
 

@@ -114,6 +114,20 @@ def test_snapshot_plus_later_batches(spark, places, tmp_path):
     assert values(spark.read.parquet(second), "artist_id", "v") == EXPECTED
 
 
+def test_compacted_folders_still_count_as_known(spark, places, tmp_path):
+    snapshot = str(tmp_path / "snapshot")
+    schema = places.land(BATCHES[0])
+    places.fold(schema)
+    upsert.compact(spark, places.target, schema, KEYS, ORDER, snapshot)
+    places.target = str(tmp_path / "emptied")  # the covered folder is gone
+    places.land(BATCHES[1])
+    places.fold(schema, snapshot=snapshot)
+    stats = spark.read.parquet(places.stats).where("batch = 1")
+    assert values(stats, "arrived", "artists", "new_artists") == [(2, 2, 1)]
+    assert values(places.current(schema, snapshot=snapshot), "artist_id", "v") == [
+        ("a", "a3"), ("b", "b1"), ("c", "c2")]
+
+
 def test_refresh_merged_after_each_batch(spark, tmp_path):
     def listening(day, *ids):
         stamp = dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc)
