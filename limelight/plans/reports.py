@@ -255,6 +255,36 @@ def display_rank(scored: DataFrame, n: int = 50) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*score_order())))
 
 
+def full_rank(scored: DataFrame, ranges: int = 256) -> DataFrame:
+    """Rank 1..n over all scored artists, without sorting them in one task.
+
+    A few artists picked by the hash of their id cut the order into ranges. The cuts hold
+    score and id, so equal or missing scores, however many, are cut as well. A rank is the
+    size of the ranges before plus the place within the range.
+    """
+    key = F.struct(
+        F.col("priority_score").isNull(), -F.coalesce("priority_score", F.lit(0.0)), "artist_id"
+    )
+    # a generator, so that the key is built once per row and not once per comparison
+    keyed = scored.select("*", F.explode(F.array(key)).alias("_key"))
+    cuts = keyed.orderBy(F.xxhash64("artist_id"), "artist_id").limit(ranges - 1).agg(
+        F.collect_list("_key")
+    ).scalar()
+    placed = keyed.withColumn("_cuts", cuts).withColumn(
+        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
+    ).drop("_key", "_cuts")
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    # at most `ranges` rows
+    offsets = sizes.select(
+        "_range",
+        (F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")).alias("_before"),
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*score_order()))
+    return placed.join(F.broadcast(offsets), "_range", "left").withColumn(
+        "rank", F.col("_before") + place
+    ).drop("_range", "_before")
+
+
 def top3_flag(ranked: DataFrame) -> DataFrame:
     return ranked.withColumn("highlighted", F.col("rank") <= 3)
 

@@ -711,6 +711,9 @@ BODIES: dict[str, str] = {
     "display_rank": f"""
       SELECT row_number() OVER (ORDER BY {BY_SCORE}) AS rank, artist_id, artist_name, priority_score
       FROM fx_scored QUALIFY rank <= 50""",
+    "full_rank": f"""
+      SELECT row_number() OVER (ORDER BY {BY_SCORE}) AS rank, artist_id, artist_name, priority_score
+      FROM fx_scored""",
     "latest_posts": f"""
       SELECT handle, shortcode, row_number() OVER ({NEWEST_POST}) AS newest FROM fx_post QUALIFY newest <= 12""",
     "largest_channel": "SELECT artist_id, channel_id, subscribers FROM fx_largest_channel",

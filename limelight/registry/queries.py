@@ -331,6 +331,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
         "artist_id", "event_id", "source", "value"),
     "display_rank": lambda fx: reports.display_rank(scored(fx)).select(
         "rank", "artist_id", "artist_name", "priority_score"),
+    "full_rank": lambda fx: reports.full_rank(scored(fx)).select(
+        "rank", "artist_id", "artist_name", "priority_score"),
     "latest_posts": lambda fx: post_ops.latest_posts(fx.posts, rank="newest").select(
         "handle", "shortcode", "newest"),
     "largest_channel": lambda fx: matching.largest_channel(

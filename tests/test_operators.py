@@ -368,6 +368,17 @@ def test_default_artist_and_detail(rows):
         (1, "1", True), (2, "2", True), (3, "3", True), (4, "4", False)]
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7, 256])
+def test_full_rank_equals_a_sort(rows, ranges):
+    rng = random.Random(ranges)
+    data = [(f"id{i:04}", rng.choice([None, 1.5, 1.5, rng.uniform(-5, 5)])) for i in range(1500)]
+    want = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0.0), r[0]))
+    out = reports.full_rank(rows("artist_id STRING, priority_score DOUBLE", *data), ranges)
+    got = sorted(out.collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in got] == list(range(1, len(data) + 1))
+    assert [r.artist_id for r in got] == [r[0] for r in want]
+
+
 def budget_loop(attempts, stop=9000):
     """The collection loop, one attempt after another."""
     kept, spent = [], 0
