@@ -58,7 +58,7 @@ class Fixture:
         cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
         return self.orders.groupBy(F.col("o_custkey").alias("k")).agg(
             F.floor(F.min("o_totalprice")).alias("listeners"),
-            F.floor(F.sum(cents) / 100).cast("bigint").alias("playcount"),
+            F.call_function("div", F.sum(cents), F.lit(100)).alias("playcount"),
             F.count("*").alias("n_orders"),
         )
 
@@ -186,8 +186,7 @@ class Fixture:
     @cached_property
     def channels(self) -> DataFrame:
         totals = self.uploads.groupBy("k", "channel_id", "l_returnflag", "l_linestatus").agg(
-            F.sum("comments").alias("q"), F.sum("views").alias("views"),
-            F.count("*").alias("videos"),
+            F.sum("views").alias("views"), F.count("*").alias("videos"),
         )
         name, region, flag = F.col("artist_name"), F.col("region"), F.col("l_returnflag")
         title = (
@@ -206,7 +205,7 @@ class Fixture:
         )
         return totals.join(self.customers, "k").select(
             "artist_id", "channel_id", title.alias("title"), description.alias("description"),
-            (F.col("q") * F.col("q") * 10).alias("subscribers"), "views", "videos",
+            F.greatest(F.col("views") - 5000, F.lit(0)).alias("subscribers"), "views", "videos",
         )
 
     @cached_property

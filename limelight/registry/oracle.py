@@ -247,9 +247,9 @@ CTES: dict[str, str] = {
           WHEN 1 THEN 'Welcome' WHEN 2 THEN 'Contact IG: artist' || k
           WHEN 3 THEN 'Mail me at box@example.org'
           ELSE 'with @nobody and @artist' || k END AS description,
-        CAST(q * q * 10 AS BIGINT) AS subscribers, views, videos, artist_name
+        greatest(views - 5000, 0) AS subscribers, views, videos, artist_name
       FROM fx_customer JOIN (
-        SELECT k, channel_id, l_returnflag, l_linestatus, sum(comments) AS q,
+        SELECT k, channel_id, l_returnflag, l_linestatus,
           CAST(sum(views) AS BIGINT) AS views, count(*) AS videos
         FROM fx_upload GROUP BY ALL) USING (k)""",
     "fx_search": """

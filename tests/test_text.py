@@ -61,6 +61,11 @@ def test_handles_equal_python_on_generated_texts(spark):
     assert not wrong, wrong[:5]
 
 
+def test_handles_of_a_very_long_text(spark):
+    value = "@" + "a" * 300_000 + "é " + "word " * 100_000 + "@last"
+    assert spark_handles(spark, [value]) == [["last"]]
+
+
 def test_name_variants(spark, rows):
     df = rows("n STRING", ("The X-Y. Z",)).select(text.name_handle_variants(F.col("n")).alias("v"))
     assert df.first().v == ["thexyz", "xyz", "thexyzmusic", "thexyzofficial"]
