@@ -16,23 +16,20 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
-def write_insights(scored: DataFrame, folder: str) -> DataFrame:
-    """Write the three report extracts and return the key insights.
+def write_insights(scored: DataFrame, folder: str) -> None:
+    """Write the three report extracts: best artists, genres, fastest growing artists.
 
-    The scored rows are kept while the reports run, so they are computed once.
+    The scored rows are kept while the extracts are written, so they are computed once.
     """
-    scored = scored.persist()
+    kept_by_caller = scored.is_cached
+    scored.persist()
     try:
-        extracts = {
-            "top_underrated_artists": reports.top_underrated(scored, 20),
-            "genre_analysis": reports.genre_summary(scored),
-            "high_growth_artists": reports.high_growth(scored),
-        }
-        for name, extract in extracts.items():
-            write_report_csv(extract, f"{folder}/{name}")
+        write_report_csv(reports.top_underrated(scored, 20), f"{folder}/top_underrated_artists")
+        write_report_csv(reports.genre_summary(scored), f"{folder}/genre_analysis")
+        write_report_csv(reports.high_growth(scored), f"{folder}/high_growth_artists")
     finally:
-        scored.unpersist()
-    return reports.key_insights(scored)
+        if not kept_by_caller:
+            scored.unpersist()
 
 
 def _declared(field: StructField) -> Column:

@@ -14,7 +14,7 @@ from limelight import schemas
 from limelight.operators import (
     discovery, distribution, filters, groups, matching, merge, posts, songs, videos,
 )
-from limelight.plans import enrichment, reports
+from limelight.plans import reports
 from limelight.plans.view import ArtistView
 
 DAY = dt.date(2024, 1, 31)

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from conftest import plan, values
 from limelight import schemas
-from limelight.config import TABLE
 from limelight.operators import distribution, filters, groups, matching, merge, posts, songs
 from limelight.plans import reports, scoring
 from limelight.registry import queries as registry
-from limelight.sources import sinks, tables
+from limelight.sources import sinks
 
 POSTS = ("handle STRING, shortcode STRING, post_date DATE, likes BIGINT, comments BIGINT, "
          "is_video BOOLEAN, caption STRING")

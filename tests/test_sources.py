@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import values
 from limelight import config, schemas
 from limelight.operators import merge
-from limelight.plans import enrichment
+from limelight.plans import enrichment, reports
 from limelight.session import scratch_dir
 from limelight.sources import logs, payloads, sinks, tables
 
@@ -206,7 +206,9 @@ def test_insight_extracts(spark, tmp_path):
         [(f"a{i}", f"n{i}", "soul" if i % 2 else "jazz", AT.date(), 10, 1, 1.0, "h", 10 * i, 2.0, 1.0,
           "c", 5, 5, float(i), 4.0, 2, "High" if i > 20 else "Low", float(i), i, 1.0, 1.0)
          for i in range(40)], schemas.SCORED)
-    insights = sinks.write_insights(scored, str(tmp_path)).first()
+    sinks.write_insights(scored, str(tmp_path))
+    assert not scored.is_cached
+    insights = reports.key_insights(scored).first()
     assert (insights.top_artist, insights.max_ratio, insights.best_genre) == ("n39", 39.0, "soul")
     counts = {n: spark.read.csv(str(tmp_path / n), header=True).count()
               for n in ("top_underrated_artists", "genre_analysis", "high_growth_artists")}
