@@ -147,7 +147,8 @@ def describe_scores(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
         for p, name in quartile.items()
     ])
-    return moments.join(quartiles, "metric", "left").select(
+    # one row per described column
+    return moments.join(F.broadcast(quartiles), "metric", "left").select(
         "metric", "n", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 

@@ -23,8 +23,10 @@ def exclude_established(
 
     The list is an argument of the call, so its size is bounded and it may be broadcast.
     """
-    spark = df.sparkSession
-    blocked = spark.createDataFrame([(n.lower(),) for n in names], "blocked STRING")
+    if not names:
+        return df
+    listed = F.array(*[F.lit(n.lower()) for n in names])
+    blocked = df.sparkSession.range(1).select(F.explode(listed).alias("blocked"))
     return df.join(
         F.broadcast(blocked), F.lower(df["artist_name"]) == blocked["blocked"], "left_anti"
     )

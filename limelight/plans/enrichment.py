@@ -11,6 +11,7 @@ from ..operators import filters, matching, merge, posts as post_ops, songs, vide
 from ..operators.discovery import discover
 from ..operators.groups import append_batch, lookup_join
 from ..sources import payloads
+from ..sources.tables import empty_source
 
 
 def discover_artists(
@@ -31,7 +32,7 @@ def discover_artists(
         filters.exclude_established(filters.emerging_filter(details)), at
     ).select(*schemas.names(schemas.LISTENING))
     if existing is None:
-        existing = fresh.sparkSession.createDataFrame([], schemas.LISTENING)
+        existing = empty_source(fresh.sparkSession, schemas.LISTENING)
     return append_batch(existing, fresh, ["artist_id"], ["collection_timestamp"])
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -23,6 +23,13 @@ def read_source(
     return reader.format(format).load(path)
 
 
+def empty_source(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema. The plan is known to be empty, so joins with it fold away."""
+    return spark.range(1).where(F.lit(False)).select(*[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
 def optional_source(
     spark: SparkSession, path: str | None, schema: StructType, format: str = "csv"
 ) -> DataFrame:
@@ -30,12 +37,11 @@ def optional_source(
 
     The left joins of the merge then yield its columns as NULL.
     """
-    empty = spark.createDataFrame([], schema)
     if path is None:
-        return empty
+        return empty_source(spark, schema)
     try:
         return read_source(spark, path, schema, format)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty
+        return empty_source(spark, schema)

@@ -32,6 +32,7 @@ def test_emerging_bounds(rows):
 def test_exclude_established_ignores_case_and_keeps_null(rows):
     df = rows("artist_name STRING", ("ColdPlay",), ("the rolling stones",), (None,), ("Adele ",))
     assert values(filters.exclude_established(df)) == ["Adele ", None, "the rolling stones"]
+    assert filters.exclude_established(df, []).count() == 4
 
 
 def test_dashboard_filters(rows):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import values
+from conftest import plan, values
 from limelight import config, schemas
 from limelight.operators import merge
 from limelight.plans import enrichment, reports
@@ -50,6 +50,17 @@ def test_absent_sources(spark, tmp_path):
     assert values(out, "artist_id", "instagram_handle", "data_quality_score") == [("a", None, 0.3)]
 
 
+def test_merging_absent_sources_needs_no_join(spark, tmp_path):
+    path = str(tmp_path / "listening")
+    listening(spark, "a").write.parquet(path)
+    stored = tables.read_source(spark, path, schemas.LISTENING, "parquet")
+    out = merge.merge_sources(
+        stored, tables.optional_source(spark, None, schemas.SOCIAL),
+        tables.optional_source(spark, str(tmp_path / "absent"), schemas.VIDEO), AT)
+    assert "Join" not in plan(out) and "Exchange" not in plan(out)
+    assert values(out, "artist_id", "youtube_subscribers") == [("a", None)]
+
+
 def test_header_only_source_is_empty(spark, tmp_path):
     (tmp_path / "s.csv").write_text(",".join(schemas.names(schemas.VIDEO)) + "\n")
     assert tables.optional_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO).isEmpty()
