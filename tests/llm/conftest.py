@@ -1,0 +1,20 @@
+from __future__ import annotations
+
+import pytest
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from texts, numbered from 0; or from (id, text) pairs."""
+    def build(*texts):
+        pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        return spark.createDataFrame([(i, t, "en", None, 0) for i, t in pairs], DOCS)
+
+    return build
+
+
+def table(df, *keys):
+    """Rows as dictionaries by key column."""
+    return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r.asDict() for r in df.collect()}
