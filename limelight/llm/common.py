@@ -40,7 +40,8 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     session needs; a cluster has it installed or shipped with ``--py-files``.
     """
     reach_package(df)
-    return df.mapInArrow(run, schema)
+    # by place: mapInArrow itself can't look up names with dots
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
 
 
 def reach_package(df: DataFrame) -> None:

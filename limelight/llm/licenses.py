@@ -134,6 +134,7 @@ def signature_rules() -> tuple[Rule, ...]:
             number = v.replace(".", " ?")
             rules += [
                 Rule(f"{own}-{v}-short", f"{own}-{v}", f"cc {short} {number}", ("cc by",), 75 + i, 1.0),
+                Rule(f"{own}-{v}-grant", f"{own}-{v}", f"{GRANT}(?:a )?cc {short} {number}", ("cc by",), 85 + i, 1.0),
                 Rule(f"{own}-{v}-long", f"{own}-{v}", rf"creative commons {long}(?: licen[cs]e)?(?: version)? {number}(?: international| unported| generic)?", ("creative commons",), 75 + i, 1.0),
             ]
     rules += [

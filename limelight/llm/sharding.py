@@ -203,7 +203,7 @@ def shard(
     total = keys.agg(F.sum("__size")).first()[0] or 0
     per_shard = max(1, min(-(-total // (shards * piece_bytes)), max_pieces // shards))
     found = boundaries(keys, shards * per_shard, total, tolerance / per_shard, probes)
-    cuts = [b.found for b in found]
+    cuts = [b.found for b in found if b.found[0] < HIGH]  # those behind all keys come last
     rows_below = [0, *[b.rows_below for b in found]]
     starts = [rows_below[p] - rows_below[p - p % per_shard] for p in range(len(rows_below))]
     placed = rows.withColumn("__piece", _search(cuts))

@@ -233,7 +233,9 @@ def block_links(left: np.ndarray, right: np.ndarray, distance: int) -> np.ndarra
     found = []
     for start in range(0, len(left), 256):
         part = left[start:start + 256]
-        close = np.bitwise_count(part[:, None] ^ right[None, :]) <= distance
+        # unsigned: of signed numbers numpy counts the bits of the magnitude
+        apart = np.bitwise_count(part.view(np.uint64)[:, None] ^ right.view(np.uint64)[None, :])
+        close = apart <= distance
         i, j = np.nonzero(close & (part[:, None] != right[None, :]))
         if len(i):
             found.append(forest(part[i], right[j]))
@@ -348,11 +350,15 @@ def keep_first(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = near_duplicates(spark, docs, **options)
-    firsts = found.where(F.col("id") == F.col("component_id")).select("id").distinct()
-    kept = docs.join(firsts, quoted(id_col) == firsts["id"], "left_semi")
-    orphans = found.where("component_id IS NULL").select("fingerprint").distinct()
-    nameless = with_fingerprints(docs.where(quoted(id_col).isNull()), text_col, "__fp").join(
-        orphans, F.col("__fp") == F.col("fingerprint"), "left_semi"
-    )
+    firsts = found.where(F.col("id") == F.col("component_id")).select(
+        F.col("id").alias("__first")
+    ).distinct()
+    kept = docs.join(firsts, quoted(id_col) == F.col("__first"), "left_semi")
+    orphans = found.where("component_id IS NULL").select(
+        F.col("fingerprint").alias("__orphan")
+    ).distinct()
+    nameless = with_fingerprints(
+        docs.where(quoted(id_col).isNull()), text_col, "__fp", options.get("width", 4)
+    ).join(orphans, F.col("__fp") == F.col("__orphan"), "left_semi")
     one_each = nameless.dropDuplicates(["__fp"]).drop("__fp")
     return kept.dropDuplicates([id_col]).unionByName(one_each)
