@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from limelight.llm import line_dedup, packing, quality_lines, simhash, tiling
-from limelight.llm.queries import labelled, table
+from limelight.llm.queries import quality_labels, table
 from limelight.session import scratch_dir
 
 #: None: hashing, tiling and tokenising have no SQL form.
@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are mostly content lines."""
-    field = quality_lines.train(labelled(spark, docs, sf_dir))
+    field = quality_lines.train(docs, quality_labels(spark, sf_dir))
     return quality_lines.judge(docs, field).where("kept").select(*docs.columns)
 
 

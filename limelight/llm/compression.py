@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, map_batches, quoted, utf8
+from .common import add_columns, labelled_sample, map_batches, quoted, utf8
 
 PIECE = 2048  # bytes: a dictionary helps most at the start of what is compressed
 LEVEL = 3
@@ -107,20 +107,20 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 40)
 
 
 def train(
-    labelled: DataFrame, text: str = "text", label: str = "label",
-    pieces: int = 2000, calibration: int = 3000, dictionary_bytes: int = 64 << 10,
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label",
+    id_col: str = "doc_id", documents: int = 3000, pieces: int = 2000,
+    dictionary_bytes: int = 64 << 10,
 ) -> Model | None:
-    """Fit on a bounded sample of labelled rows; None if a class or all rows are missing.
+    """Fit on a bounded sample of labelled rows; None if a class is missing in either half.
 
-    ``pieces`` bounds the pieces of each class that a dictionary is built from, and
-    ``calibration`` the texts of each class that the calibration sees. The pieces and texts
-    with the smallest hashes are taken, so the sample covers whole texts and is the same
-    in every run. Texts are halved by hash between dictionaries and calibration. Rows
-    without a label or a text are left out.
+    At most ``documents`` of either label are used, those with the smallest hashes of their
+    ids, halved by another hash between dictionaries and calibration. ``pieces`` bounds the
+    pieces of each class that a dictionary is built from: those with the smallest hashes, so
+    they come from all over the texts. The sample is the same in every run.
     """
-    rows = labelled.where(quoted(label).isin(0, 1) & quoted(text).isNotNull())
-    half = F.pmod(F.xxhash64(quoted(text), F.lit("half")), F.lit(2))
-    cut = pieces_of(rows.where(half == 0), text, label)
+    rows = labelled_sample(docs, labels, documents, True, text, label, id_col)
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
+    cut = pieces_of(rows.where(half == 0), "text", "label")
     samples = {}
     for value in (0, 1):
         picked = (
@@ -131,13 +131,9 @@ def train(
     if not samples[0] or not samples[1]:
         return None
     good, bad = (train_dictionary(samples[v], dictionary_bytes) for v in (1, 0))
-    measured = with_features(rows.where(half == 1), good, bad, text).select(
-        quoted(label).cast("int").alias("y"), "__f", F.xxhash64(quoted(text)).alias("h")
-    )
-    seen = [
-        r for v in (0, 1)
-        for r in measured.where(F.col("y") == v).orderBy("h", "__f").limit(calibration).collect()
-    ]
+    seen = with_features(rows.where(half == 1), good, bad).select(
+        "id", F.col("label").alias("y"), "__f"
+    ).orderBy("id", "__f").collect()  # four numbers of each sampled text
     y = np.array([r["y"] for r in seen], float)
     if len(set(y)) < 2:
         return None

@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import add_columns, map_batches, quoted, small_sample, utf8
+from .common import add_columns, labelled_sample, map_batches, utf8
 
 SYMBOLS = b"#*$%&|<>"
 ENDS = (b".", b"!", b"?", b":", b'"')
@@ -208,31 +209,23 @@ def shared_lines(documents: list[np.ndarray], contexts: int) -> np.ndarray:
 
 
 def train(
-    labelled: DataFrame, text: str = "text", label: str = "label", id_col: str = "doc_id",
-    documents: int = 2000, lines: int = 400, shared: int = 5,
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label",
+    id_col: str = "doc_id", documents: int = 2000, lines: int = 400, shared: int = 5,
 ) -> Field | None:
     """Fit the field on at most ``documents`` labelled documents (smallest hashes of ids).
 
     Lines of documents labelled 1 are content, those of documents labelled 0 and lines found
     between at least ``shared`` different pairs of neighbours (so not lines of copies) are
-    boilerplate. Features are computed by the
-    executors; at most ``lines`` consecutive lines of a document, from a place its hash
-    gives, come to the driver. None without documents of both labels: then every line is
-    content.
+    boilerplate. Features are computed by the executors; at most ``lines`` consecutive lines
+    of a document, from a place its hash gives, come to the driver. None without documents
+    of both labels: then every line is content.
     """
-    rows = small_sample(
-        labelled.where(quoted(label).isin(0, 1) & quoted(text).isNotNull()).select(
-            quoted(id_col).alias("id"), quoted(label).cast("int").alias("label"),
-            quoted(text).alias("text"),
-        ), "id", documents,
-    )
+    rows = labelled_sample(docs, labels, documents, text=text, label=label, id_col=id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             labels, xs, keys = [], [], []
-            for value, body in zip(batch.column(1).to_pylist(), utf8(batch.column(2))):
+            for value, body in zip(batch.column(2).to_pylist(), utf8(batch.column(1))):
                 x, _ = line_features(body)
                 if not len(x):
                     continue

@@ -32,19 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def labelled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, text, label): documents with a quality label."""
-    labels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("labelled_id"), F.col("quality").alias("label")
-    ).where("label IS NOT NULL").dropDuplicates(["labelled_id"])
-    return docs.select("doc_id", "text").join(
-        labels, F.col("doc_id") == F.col("labelled_id")
-    ).select("doc_id", "text", "label")
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
 
 
 def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    field = quality_lines.train(labelled(spark, docs, sf_dir))
+    field = quality_lines.train(docs, quality_labels(spark, sf_dir))
     return quality_lines.judge(docs, field).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_lines", "n_content_lines",
@@ -81,7 +75,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.pmod(crc32_of_id(F.col("doc_id")), F.lit(4)) == 2
-    model = compression.train(labelled(spark, docs, sf_dir).where(~held_out))
+    model = compression.train(docs, quality_labels(spark, sf_dir).where(~held_out))
     return compression.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", "predicted"
     )

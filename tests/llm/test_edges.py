@@ -73,8 +73,10 @@ def test_empty_tables(spark, docs):
     empty = docs("y").where("text = ''")
     for name, made in everything(spark, empty):
         assert made.count() == 0, name
-    assert quality_lines.train(empty.withColumn("label", F.lit(1))) is None
-    assert compression.train(empty.withColumn("label", F.lit(1))) is None
+    labels = spark.createDataFrame([(0, 1), (None, 0), (3, None), (4, 7)], "doc_id long, label int")
+    for documents, marks in ((empty, labels), (docs("a b"), labels), (docs("a b"), labels.limit(0))):
+        assert quality_lines.train(documents, marks) is None
+        assert compression.train(documents, marks) is None
     pages = spark.createDataFrame([], "page_id long, url string")
     assert urls.filter_urls(spark, pages, pages, ()).count() == 0
 
@@ -210,11 +212,12 @@ def test_classifier_tells_shouting_from_prose(spark, docs):
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
     good = [" ".join(rng.choices(vocabulary, k=120)) for _ in range(60)]
     bad = [" ".join(w.upper() + "!!" for w in rng.choices(vocabulary, k=120)) for _ in range(60)]
-    rows = docs(*good, *bad).withColumn("label", (F.col("doc_id") < 60).cast("int"))
-    model = compression.train(rows)
+    rows = docs(*good, *bad)
+    labels = rows.select("doc_id", (F.col("doc_id") < 60).cast("int").alias("label"))
+    model = compression.train(rows, labels)
     fresh = docs(" ".join(rng.choices(vocabulary, k=90)), " ".join(w.upper() + "!!" for w in vocabulary[:90]))
     assert [r["predicted"] for r in compression.score(fresh, model).orderBy("doc_id").collect()] == [1, 0]
-    assert compression.train(rows.where("label = 1")) is None
+    assert compression.train(rows, labels.where("label = 1")) is None
 
 
 # --- SimHash and components ------------------------------------------------------------
