@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (data directory), BENCH_CPUS (local cores), BENCH_KEYS (comma
-separated names, or ``all``). Results go to Spark's no-op sink, so every row is computed
-and nothing is collected.
+separated names, or ``all``), BENCH_RUNS (runs of each query; the median counts). Results
+go to Spark's no-op sink, so every row is computed and nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import time
 
 from limelight.registry.queries import flagship, queries
-from limelight.session import build_session
+from limelight.session import build_session, clear_scratch
 
 HEADLINE = (
     "merge_sources", "scored_artists", "score_zero_filled", "top_underrated", "high_growth",
@@ -35,6 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = os.environ.get("BENCH_KEYS", "")
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     available = queries()
     keys = available if wanted == "all" else (wanted.split(",") if wanted else HEADLINE)
     spark = build_session(
@@ -44,9 +46,13 @@ def main() -> None:
     run(flagship(spark, sf_dir))  # warm-up: class loading and code generation
     seconds = {}
     for key in keys:
-        start = time.perf_counter()
-        run(available[key](spark, sf_dir))
-        seconds[key] = round(time.perf_counter() - start, 3)
+        taken = []
+        for _ in range(runs):
+            start = time.perf_counter()
+            run(available[key](spark, sf_dir))
+            taken.append(time.perf_counter() - start)
+            clear_scratch(spark)
+        seconds[key] = round(statistics.median(taken), 3)
     scale = re.search(r"sf([\d.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _SPLIT = 134217729.0  # 2**27 + 1, halves a double's significand
+_WHOLE = 4503599627370496.0  # 2**52: doubles from here on are whole numbers
 
 
 def exact_round(x: Column, digits: int) -> Column:
@@ -12,8 +13,8 @@ def exact_round(x: Column, digits: int) -> Column:
 
     Spark's ``round`` works on the shortest decimal text, so it lifts 2.675 to 2.68; the
     double is below that tie and Python rounds it to 2.67. The product ``x * 10**digits``
-    is split into its rounded value and its exact error, and the error decides ties.
-    Valid while ``|x| * 10**digits`` stays below 2**52.
+    is split into its rounded value and its exact error, and the error decides ties. From
+    a product of 2**52 on a double has nothing left to round and is returned as it is.
     """
     if digits == 0:
         return F.rint(x)
@@ -29,7 +30,8 @@ def exact_round(x: Column, digits: int) -> Column:
     up = (past_half > 0) | (
         (past_half == 0) & ((error > 0) | ((error == 0) & odd))
     )
-    return (whole + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))) / scale
+    rounded = (whole + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))) / scale
+    return F.when(F.abs(product) >= F.lit(_WHOLE), x).otherwise(rounded)
 
 
 def array_round(x: Column, digits: int) -> Column:

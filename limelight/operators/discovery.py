@@ -8,5 +8,5 @@ from .groups import first_hit_per_artist
 
 
 def discover(tag_hits: DataFrame, chart_hits: DataFrame) -> DataFrame:
-    """Hits of all tag searches and the country chart, one row per artist name."""
+    """Hits of all tag searches, then of the country chart: the first per artist name."""
     return first_hit_per_artist(tag_hits.unionByName(chart_hits))

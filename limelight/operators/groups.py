@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 
 def first_n_per_group(
@@ -50,15 +51,31 @@ def lookup_join(
 
 
 def first_hit_per_artist(hits: DataFrame) -> DataFrame:
-    """Keep each artist's first discovery hit, in query order."""
-    return first_n_per_group(
-        hits, ["artist_name"], [F.asc("query_ord"), F.asc("hit_ord"), F.asc("source")], 1
-    )
+    """Keep each artist's first discovery hit.
+
+    Searches run one after the other: tags in their list's order, then the country chart;
+    within a search, pages and hits in theirs. Tags that are not listed follow by name.
+    """
+    order = ("search_ord", "source", "query_ord", "hit_ord")
+    return first_n_per_group(hits, ["artist_name"], [F.asc(c) for c in order], 1)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; maps, which have none, as text."""
+    return F.xxhash64(*[
+        F.to_json(c) if isinstance(f.dataType, MapType) else c
+        for f in df.schema.fields for c in [F.col(f"`{f.name}`")]
+    ])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the last row per key; ``order`` names ascending columns that break every tie."""
-    return first_n_per_group(df, keys, [F.col(c).desc_nulls_last() for c in order], 1)
+    """Keep the last row per key; ``order`` names ascending columns.
+
+    Rows that tie in all of them are told apart by a hash of the whole row, so the choice
+    does not depend on how the rows are split into files or tasks.
+    """
+    last = [F.col(c).desc_nulls_last() for c in order]
+    return first_n_per_group(df, keys, [*last, row_hash(df).desc()], 1)
 
 
 def latest_per_artist(

@@ -34,17 +34,25 @@ def existing_profiles(candidates: DataFrame, profiles: DataFrame) -> DataFrame:
     return lookup_join(candidates, profiles.select("handle"), "handle", "handle", "left_semi")
 
 
-def found_channels(search: DataFrame, channels: DataFrame) -> DataFrame:
-    """Search results with channel statistics; a search returns at most ten results."""
-    results = search.where(F.col("search_rank") <= SEARCH_RESULTS)
-    return lookup_join(results, channels, "channel_id", "channel_id")
+def found_channels(
+    search: DataFrame, channels: DataFrame, results: int | None = SEARCH_RESULTS
+) -> DataFrame:
+    """Search results with channel statistics.
+
+    The collection step asks for ten ``results`` a search, the default here; None takes
+    every landed one.
+    """
+    if results is not None:
+        search = search.where(F.col("search_rank") <= results)
+    return lookup_join(search, channels, "channel_id", "channel_id")
 
 
 def artist_channel_candidates(
-    artists: DataFrame, search: DataFrame, channels: DataFrame
+    artists: DataFrame, search: DataFrame, channels: DataFrame,
+    results: int | None = SEARCH_RESULTS,
 ) -> DataFrame:
     """Every searched channel of every artist with its match score."""
-    found = channel_candidates_filter(found_channels(search, channels))
+    found = channel_candidates_filter(found_channels(search, channels, results))
     named = artists.select(
         "artist_id", "artist_name", text.channel_name_words(F.col("artist_name")).alias("_words")
     )
@@ -80,21 +88,22 @@ def largest_channel(search: DataFrame, channels: DataFrame) -> DataFrame:
 
 
 def handle_candidates(
-    artists: DataFrame, search: DataFrame, channels: DataFrame, videos: DataFrame
+    artists: DataFrame, search: DataFrame, channels: DataFrame, videos: DataFrame,
+    newest: int = HANDLE_VIDEOS,
 ) -> DataFrame:
     """All handles to try per artist, numbered in the order they are tried.
 
-    The channel's own text comes first, then its newest videos, then guesses made from
-    the name. Each artist carries its few texts in one row, so every input is read and
-    shuffled once.
+    The channel's own text comes first, then its ``newest`` videos (the collection step
+    reads five, the default), then guesses made from the name. Each artist carries its few
+    texts in one row, so every input is read and shuffled once.
     """
     channel = largest_channel(
         search, channels.select("channel_id", "description", "subscribers")
     ).select("artist_id", "channel_id", "description")
-    # at most HANDLE_VIDEOS texts per channel
+    # at most `newest` texts per channel
     video_texts = recent_videos(
         videos.select("channel_id", "video_id", "published_at", "description"),
-        HANDLE_VIDEOS, rank="source_ord",
+        newest, rank="source_ord",
     ).groupBy("channel_id").agg(
         F.collect_list(F.struct("source_ord", "description")).alias("texts")
     )
@@ -102,7 +111,7 @@ def handle_candidates(
     def source(source_ord: Column, handles: Column) -> Column:
         return F.struct(source_ord.alias("source_ord"), handles.alias("handles"))
 
-    name_source = F.lit(HANDLE_VIDEOS + 1)
+    name_source = F.lit(newest + 1)
     from_channel = F.array(source(F.lit(0), text.extract_handles(F.col("description"))))
     from_videos = F.transform(
         "texts", lambda t: source(t["source_ord"], text.extract_handles(t["description"]))

@@ -62,7 +62,7 @@ def zero_fill(raw: DataFrame) -> DataFrame:
 
 
 def attach_handles(artists: DataFrame, social: DataFrame) -> DataFrame:
-    """Artists with their cleaned social handle, NULL when there is none."""
+    """Artists with their social handle as stored, NULL when there is none."""
     return artists.join(
         social.select("artist_id", "instagram_handle"), "artist_id", "left"
     )

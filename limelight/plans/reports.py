@@ -255,26 +255,38 @@ def display_rank(scored: DataFrame, n: int = 50) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*score_order())))
 
 
-def full_rank(scored: DataFrame, ranges: int = 256) -> DataFrame:
+def full_rank(
+    scored: DataFrame, ranges: int | None = None, range_rows: int = 250_000
+) -> DataFrame:
     """Rank 1..n over all scored artists, without sorting them in one task.
 
-    A few artists picked by the hash of their id cut the order into ranges. The cuts hold
-    score and id, so equal or missing scores, however many, are cut as well. A rank is the
-    size of the ranges before plus the place within the range.
+    A few artists picked by the hash of their id cut the order into ranges of about
+    ``range_rows`` rows (or into ``ranges``). The cuts hold score and id, so equal or missing
+    scores, however many, are cut as well. A row finds its range by binary search, and a
+    rank is the size of the ranges before plus the place within the range.
     """
+    if ranges is None:
+        ranges = -(-scored.count() // range_rows) or 1
     key = F.struct(
         F.col("priority_score").isNull(), -F.coalesce("priority_score", F.lit(0.0)), "artist_id"
     )
     # a generator, so that the key is built once per row and not once per comparison
     keyed = scored.select("*", F.explode(F.array(key)).alias("_key"))
     cuts = keyed.orderBy(F.xxhash64("artist_id"), "artist_id").limit(ranges - 1).agg(
-        F.collect_list("_key")
+        F.array_sort(F.collect_list("_key"))
     ).scalar()
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, ranges.bit_length())))])
+
+    def advance(at: Column, step: Column) -> Column:
+        ahead = at + step
+        below = (ahead <= F.size("_cuts")) & (F.get(F.col("_cuts"), ahead - 1) < F.col("_key"))
+        return F.when(below, ahead).otherwise(at)
+
     placed = keyed.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
+        "_range", F.aggregate(steps, F.lit(0), advance)
     ).drop("_key", "_cuts")
     sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
-    # at most `ranges` rows
+    # one row per range
     offsets = sizes.select(
         "_range",
         (F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")).alias("_before"),

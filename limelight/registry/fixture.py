@@ -407,14 +407,16 @@ class Fixture:
 
     @cached_property
     def channel_payloads(self) -> DataFrame:
-        """One payload per artist with its (at most six) channels."""
+        """One payload per artist with its (at most six) channels; some counts are broken."""
         text = lambda c: F.col(c).cast("string")
         item = F.struct(
             F.col("channel_id").alias("id"),
             F.struct("title", "description").alias("snippet"),
             F.struct(
                 F.when(F.col("videos") > 1, text("subscribers")).alias("subscriberCount"),
-                text("views").alias("viewCount"), text("videos").alias("videoCount"),
+                F.when(F.col("views") % 97 == 0, "n/a").otherwise(text("views"))
+                .alias("viewCount"),
+                text("videos").alias("videoCount"),
             ).alias("statistics"),
         )
         return self.channels.groupBy("artist_id").agg(
@@ -423,7 +425,7 @@ class Fixture:
 
     @cached_property
     def video_payloads(self) -> DataFrame:
-        """One payload per video lookup."""
+        """One payload per video lookup; some counts are broken."""
         text = lambda c: F.col(c).cast("string")
         item = F.struct(
             F.col("video_id").alias("id"),
@@ -433,7 +435,8 @@ class Fixture:
                 .alias("publishedAt"),
             ).alias("snippet"),
             F.struct(
-                text("views").alias("viewCount"),
+                F.when(F.col("views") % 89 == 0, "n/a").otherwise(text("views"))
+                .alias("viewCount"),
                 F.when(F.col("comments") > 2, text("likes")).alias("likeCount"),
                 text("comments").alias("commentCount"),
             ).alias("statistics"),

@@ -350,19 +350,24 @@ CTES: dict[str, str] = {
       FROM fx_log""",
     "fx_log_recent": """
       SELECT * FROM fx_log_event ORDER BY event_id DESC LIMIT 50""",
-    "fx_hit": """
+    "fx_hit": f"""
       SELECT artist_name, CASE WHEN segment = 'MACHINERY' THEN 0 ELSE listeners END AS lastfm_listeners,
-        'genre:' || genre AS source, k // 100 AS query_ord,
+        'genre:' || genre AS source,
+        CAST(coalesce(list_position([{_list(config.SEARCH_TAGS)}], genre) - 1, {len(config.SEARCH_TAGS)}) AS BIGINT) AS search_ord,
+        k // 100 AS query_ord,
         row_number() OVER (PARTITION BY genre, k // 100 ORDER BY k) - 1 AS hit_ord
       FROM fx_artist""",
-    "fx_home_hit": """
+    "fx_home_hit": f"""
       SELECT artist_name, CASE WHEN segment = 'MACHINERY' THEN 0 ELSE listeners END AS lastfm_listeners,
-        'uk_top' AS source, k // 100 AS query_ord,
+        'uk_top' AS source, {len(config.SEARCH_TAGS) + 1} AS search_ord, k // 100 AS query_ord,
         row_number() OVER (PARTITION BY k // 100 ORDER BY k) - 1 AS hit_ord
       FROM fx_artist JOIN nation ON nation.n_nationkey = fx_artist.nation WHERE n_name = 'NATION_0'""",
     "fx_first_hit": """
-      SELECT * FROM (SELECT * FROM fx_hit UNION ALL SELECT * FROM fx_home_hit)
-      QUALIFY row_number() OVER (PARTITION BY artist_name ORDER BY query_ord, hit_ord, source) = 1""",
+      SELECT * FROM fx_hit
+      QUALIFY row_number() OVER (PARTITION BY artist_name ORDER BY search_ord, source, query_ord, hit_ord) = 1
+      UNION ALL
+      SELECT * FROM fx_home_hit WHERE artist_name NOT IN (SELECT artist_name FROM fx_hit)
+      QUALIFY row_number() OVER (PARTITION BY artist_name ORDER BY query_ord, hit_ord) = 1""",
     "fx_info": f"""
       SELECT *, array_to_string(tags, ', ') AS genres, coalesce(tags[1], 'unknown') AS primary_genre,
         CASE WHEN lastfm_listeners > 0 THEN {_exact('lastfm_playcount / lastfm_listeners', 2)}
@@ -510,14 +515,25 @@ ALL_LISTENING = (
 
 BODIES: dict[str, str] = {
     "read_source": f"SELECT {ALL_LISTENING} FROM fx_listening",
+    "read_source_text": """
+      SELECT artist_id, artist_name, lastfm_listeners,
+        genres || chr(10) || '"' || primary_genre || '", more' AS genres FROM fx_listening""",
+    "read_log": "SELECT logged_at, level, message, rate_limited, progress FROM fx_log_event",
+    "insights_top": f"SELECT {TOP_COLS} FROM fx_scored ORDER BY {BY_SCORE} LIMIT 20",
+    "insights_growth": f"""
+      SELECT artist_name, primary_genre, priority_score, underrated_ratio, instagram_followers,
+        lastfm_listeners, follower_gap, engagement_score
+      FROM fx_scored WHERE growth_potential = 'High' ORDER BY {BY_SCORE} LIMIT 30""",
+    "compact": LATEST,
+    "refresh_merged": "SELECT * FROM fx_raw",
     "optional_source": """
       SELECT artist_id, instagram_followers, CAST(NULL AS VARCHAR) AS youtube_channel_id,
         CAST(NULL AS BIGINT) AS youtube_subscribers,
         0.3::DOUBLE + CASE WHEN instagram_followers IS NULL THEN 0 ELSE 1 END * 0.4::DOUBLE
           + 0 * 0.3::DOUBLE AS data_quality_score
       FROM fx_listening LEFT JOIN (SELECT artist_id, instagram_followers FROM fx_social) USING (artist_id)""",
-    "parse_tag_hits": "SELECT artist_name, lastfm_listeners, source, query_ord, hit_ord FROM fx_hit",
-    "parse_geo_hits": "SELECT artist_name, lastfm_listeners, source, query_ord, hit_ord FROM fx_home_hit",
+    "parse_tag_hits": "SELECT artist_name, lastfm_listeners, source, search_ord, query_ord, hit_ord FROM fx_hit",
+    "parse_geo_hits": "SELECT artist_name, lastfm_listeners, source, search_ord, query_ord, hit_ord FROM fx_home_hit",
     "parse_artist_info": """
       SELECT artist_id, query_name, artist_name, lastfm_listeners, lastfm_playcount,
         lastfm_playcount_per_listener, lastfm_url, array_to_string(tags, '|') AS genre_tags, genres,
@@ -527,11 +543,13 @@ BODIES: dict[str, str] = {
         track_name, lastfm_playcount, lastfm_listeners, lastfm_url, lastfm_rank FROM fx_track""",
     "parse_channels": """
       SELECT channel_id, lower(title) AS title, lower(description) AS description,
-        CASE WHEN videos > 1 THEN subscribers ELSE 0 END AS subscribers, views, videos FROM fx_channel""",
+        CASE WHEN videos > 1 THEN subscribers ELSE 0 END AS subscribers, views, videos FROM fx_channel
+      WHERE artist_id NOT IN (SELECT artist_id FROM fx_channel WHERE views % 97 = 0)""",
     "parse_videos": """
       SELECT video_id, title, views, CASE WHEN comments > 2 THEN likes ELSE 0 END AS likes, comments,
         CASE WHEN comments > 1 THEN CAST(day AS VARCHAR) END AS published_date,
-        'https://www.youtube.com/watch?v=' || video_id AS url FROM fx_channel_video""",
+        'https://www.youtube.com/watch?v=' || video_id AS url FROM fx_channel_video
+      WHERE views % 89 <> 0""",
     "scan_scores": f"SELECT {SCORED_VIEW} FROM fx_scored ORDER BY {BY_SCORE}",
     "write_report_csv": "SELECT artist_name, primary_genre, lastfm_listeners FROM fx_raw",
     "write_raw_table": "SELECT * FROM fx_raw",
@@ -640,6 +658,14 @@ BODIES: dict[str, str] = {
         round(avg(instagram_followers), 6) AS avg_instagram_followers,
         round(avg(lastfm_listeners), 6) AS avg_lastfm_listeners
       FROM fx_scored GROUP BY primary_genre""",
+    "insights_genres": """
+      SELECT primary_genre, count(*) AS artist_count, round(avg(priority_score), 6) AS avg_priority_score,
+        round(avg(underrated_ratio), 6) AS avg_underrated_ratio,
+        round(avg(engagement_score), 6) AS avg_engagement,
+        count(*) FILTER (growth_potential = 'High') AS high_growth_count,
+        round(avg(instagram_followers), 6) AS avg_instagram_followers,
+        round(avg(lastfm_listeners), 6) AS avg_lastfm_listeners
+      FROM fx_scored GROUP BY primary_genre""",
     "growth_summary": """
       SELECT growth_potential, count(artist_name) AS artist_count,
         round_even(avg(priority_score) * 100, 0) / 100 AS avg_priority_score,
@@ -706,7 +732,7 @@ BODIES: dict[str, str] = {
     "post_engagement": "SELECT * FROM fx_measured",
     "recent_video_mean": "SELECT channel_id, recent_mean_views FROM fx_recent_mean",
     "quota_estimate": "SELECT count(*) AS artists, count(*) * 101 AS estimated_units FROM fx_listening",
-    "first_hit_per_artist": "SELECT artist_name, lastfm_listeners, source, query_ord, hit_ord FROM fx_first_hit",
+    "first_hit_per_artist": "SELECT artist_name, lastfm_listeners, source, search_ord, query_ord, hit_ord FROM fx_first_hit",
     "latest_per_artist": LATEST,
     "display_rank": f"""
       SELECT row_number() OVER (ORDER BY {BY_SCORE}) AS rank, artist_id, artist_name, priority_score
@@ -757,7 +783,7 @@ BODIES: dict[str, str] = {
     "top3_flag": f"""
       SELECT row_number() OVER (ORDER BY {BY_SCORE}) AS rank, artist_id, rank <= 3 AS highlighted
       FROM fx_scored QUALIFY rank <= 50""",
-    "discover": "SELECT artist_name, lastfm_listeners, source, query_ord, hit_ord FROM fx_first_hit",
+    "discover": "SELECT artist_name, lastfm_listeners, source, search_ord, query_ord, hit_ord FROM fx_first_hit",
     "append_batch": f"""
       SELECT artist_id, event_id, source, value,
         CASE WHEN batch < DATE '{SPLIT_DAY}' THEN CAST(batch AS VARCHAR) END AS batch FROM fx_latest""",

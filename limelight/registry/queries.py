@@ -72,6 +72,19 @@ def read_source(fx: Fixture) -> DataFrame:
     return tables.read_source(fx.spark, path, schemas.LISTENING)
 
 
+def read_source_text(fx: Fixture) -> DataFrame:
+    """A round trip of counts written as decimals and texts with line breaks and quotes."""
+    path = scratch_dir(fx.spark, "loose")
+    loose = fx.listening.withColumns({
+        "lastfm_listeners": F.format_string("%.1f", F.col("lastfm_listeners").cast("double")),
+        "genres": F.concat("genres", F.lit('\n"'), "primary_genre", F.lit('", more')),
+    })
+    sinks.write_report_csv(loose, path)
+    return tables.read_source(fx.spark, path, schemas.LISTENING, multi_line=True).select(
+        "artist_id", "artist_name", "lastfm_listeners", "genres"
+    )
+
+
 def optional_source(fx: Fixture) -> DataFrame:
     absent = tables.optional_source(fx.spark, scratch_dir(fx.spark, "absent"), schemas.VIDEO)
     return merge.merge_sources(fx.listening, fx.social, absent, BATCH_TIME).select(
@@ -104,6 +117,19 @@ def build_scores_table(fx: Fixture) -> DataFrame:
     return fx.spark.table(name)
 
 
+def _insight(fx: Fixture, extract: str, report: DataFrame) -> DataFrame:
+    """One of the written report extracts, read back under its report's schema."""
+    path = scratch_dir(fx.spark, "insights")
+    sinks.write_insights(scored(fx), path)
+    return tables.read_source(fx.spark, f"{path}/{extract}", report.schema)
+
+
+def read_log(fx: Fixture) -> DataFrame:
+    path = scratch_dir(fx.spark, "log")
+    fx.log_lines.select("value").write.text(path)
+    return logs.log_events(logs.read_log(fx.spark, path)).drop("line_ord")
+
+
 # --- incremental ---------------------------------------------------------------------
 
 
@@ -134,6 +160,28 @@ def stream_upsert(fx: Fixture) -> DataFrame:
     ).select("artist_id", "event_id", "source", "value")
 
 
+def refresh_merged(fx: Fixture) -> DataFrame:
+    """The newest of two merged versions."""
+    path = scratch_dir(fx.spark, "merged")
+    empty = tables.empty_source(fx.spark, schemas.VIDEO)
+    upsert.refresh_merged(fx.listening, fx.social, empty, path, 0, BATCH_TIME)
+    newest = upsert.refresh_merged(fx.listening, fx.social, fx.video, path, 1, BATCH_TIME)
+    return fx.spark.read.schema(schemas.RAW).parquet(newest)
+
+
+def compact(fx: Fixture) -> DataFrame:
+    """Current rows read from a snapshot of all batches."""
+    places, order = _stream(fx), ["collection_timestamp", "event_id"]
+    snapshot = scratch_dir(fx.spark, "snapshot")
+    upsert.compact(
+        fx.spark, places["target"], fx.batches.schema, ["artist_id"], order, snapshot
+    )
+    return upsert.current(
+        fx.spark, scratch_dir(fx.spark, "no-batches"), fx.batches.schema, ["artist_id"], order,
+        snapshot,
+    ).select("artist_id", "event_id", "source", "value")
+
+
 def batch_stats(fx: Fixture) -> DataFrame:
     places = _stream(fx)
     return fx.spark.read.parquet(places["stats"]).select(
@@ -200,6 +248,14 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "parse_videos": lambda fx: payloads.parse_videos(fx.video_payloads),
     "scan_scores": lambda fx: reports.scan_scores(scored(fx)),
     "write_report_csv": write_report_csv,
+    "read_source_text": read_source_text,
+    "insights_top": lambda fx: _insight(
+        fx, "top_underrated_artists", reports.top_underrated(scored(fx), 20)),
+    "insights_genres": lambda fx: rounded(
+        _insight(fx, "genre_analysis", reports.genre_summary(scored(fx)))),
+    "insights_growth": lambda fx: _insight(
+        fx, "high_growth_artists", reports.high_growth(scored(fx))),
+    "read_log": read_log,
     "write_raw_table": write_raw_table,
     "build_scores_table": build_scores_table,
     # projections
@@ -370,6 +426,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "stream_upsert": stream_upsert,
     "batch_stats": batch_stats,
     "resume": resume,
+    "compact": compact,
+    "refresh_merged": refresh_merged,
     "log_events": lambda fx: logs.log_events(fx.log_lines).drop("line_ord"),
     "recent_log_events": lambda fx: logs.recent_log_events(
         logs.log_events(fx.log_lines)).drop("line_ord"),

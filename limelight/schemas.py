@@ -73,11 +73,12 @@ SCORED = _table("""
     follower_gap BIGINT, youtube_avg_views_per_video DOUBLE, data_quality_score DOUBLE
 """)
 
-# API payloads, for from_json. Numbers arrive as text and are cast by the parsers.
+# API payloads, for from_json. Numbers arrive as text and are cast by the parsers; counts
+# are maps, which tell an absent count from a null one.
 HITS_PAYLOAD = "topartists STRUCT<artist: ARRAY<STRUCT<name: STRING, listeners: STRING>>>"
 ARTIST_PAYLOAD = """
     artist STRUCT<name: STRING, url: STRING,
-                  stats: STRUCT<listeners: STRING, playcount: STRING>,
+                  stats: MAP<STRING, STRING>,
                   tags: STRUCT<tag: STRING>>
 """
 TAG_LIST = "ARRAY<STRUCT<name: STRING>>"
@@ -87,11 +88,11 @@ TRACKS_PAYLOAD = """
 """
 CHANNELS_PAYLOAD = """
     items ARRAY<STRUCT<id: STRING, snippet: STRUCT<title: STRING, description: STRING>,
-        statistics: STRUCT<subscriberCount: STRING, viewCount: STRING, videoCount: STRING>>>
+        statistics: MAP<STRING, STRING>>>
 """
 VIDEOS_PAYLOAD = """
     items ARRAY<STRUCT<id: STRING, snippet: STRUCT<title: STRING, publishedAt: STRING>,
-        statistics: STRUCT<viewCount: STRING, likeCount: STRING, commentCount: STRING>>>
+        statistics: MAP<STRING, STRING>>>
 """
 
 

@@ -44,4 +44,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="limelight-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/limelight/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark, base)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/limelight/{spark.sparkContext.applicationId}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store holds it; a missing one is no error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(hadoop, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch data of this application, once its results have been read."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        remove_path(spark, _own_scratch(spark, base))

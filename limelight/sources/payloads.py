@@ -6,10 +6,14 @@ one payload: no shuffle, and malformed payloads give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
-from ..config import TOP_TRACKS
+from ..config import SEARCH_TAGS, TOP_TRACKS
 from ..functions import metrics, text
 
 
@@ -20,6 +24,14 @@ def _count(value: Column) -> Column:
     )
 
 
+def _listed(counts: Column, name: str) -> Column:
+    """A count of a map: absent counts 0, null and unparseable ones stay NULL."""
+    absent = counts.isNull() | ~F.map_contains_key(counts, F.lit(name))
+    return F.when(absent, F.lit(0).cast("bigint")).otherwise(
+        F.trim(F.try_element_at(counts, F.lit(name))).try_cast("bigint")
+    )
+
+
 def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
     """Payloads with their parsed body ``p``.
 
@@ -31,35 +43,43 @@ def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
     return payloads.select(*others, F.explode(body).alias("p"))
 
 
-def _hits(payloads: DataFrame, source: Column) -> DataFrame:
+def _hits(payloads: DataFrame, source: Column, search_ord: Column) -> DataFrame:
     return (
         _parsed(payloads, schemas.HITS_PAYLOAD).select(
-            source.alias("source"), "query_ord",
+            source.alias("source"), search_ord.cast("int").alias("search_ord"), "query_ord",
             F.posexplode("p.topartists.artist").alias("hit_ord", "hit"),
         )
         .select(
             F.coalesce("hit.name", F.lit("")).alias("artist_name"),
             F.coalesce(_count(F.col("hit.listeners")), F.lit(0)).alias("lastfm_listeners"),
-            "source", "query_ord", "hit_ord",
+            "source", "search_ord", "query_ord", "hit_ord",
         )
     )
 
 
-def parse_tag_hits(payloads: DataFrame) -> DataFrame:
-    """Tag-search payloads (tag, query_ord, body): one row per artist hit."""
-    return _hits(payloads, F.concat(F.lit("genre:"), F.col("tag")))
+def parse_tag_hits(payloads: DataFrame, tags: Sequence[str] = SEARCH_TAGS) -> DataFrame:
+    """Tag-search payloads (tag, query_ord, body): one row per artist hit.
+
+    ``search_ord`` is the tag's place in ``tags``; those that are not listed come after.
+    """
+    place = F.array_position(F.array(*[F.lit(t) for t in tags]), F.col("tag"))
+    search_ord = F.when(place > 0, place - 1).otherwise(F.lit(len(tags)))
+    return _hits(payloads, F.concat(F.lit("genre:"), F.col("tag")), search_ord)
+
 
+def parse_geo_hits(payloads: DataFrame, after: int = len(SEARCH_TAGS) + 1) -> DataFrame:
+    """Country-chart payloads (query_ord, body): one row per artist hit.
 
-def parse_geo_hits(payloads: DataFrame) -> DataFrame:
-    """Country-chart payloads (query_ord, body): one row per artist hit."""
-    return _hits(payloads, F.lit("uk_top"))
+    ``after`` is the chart's place among the searches, behind all tags.
+    """
+    return _hits(payloads, F.lit("uk_top"), F.lit(after))
 
 
 def parse_artist_info(payloads: DataFrame) -> DataFrame:
     """Artist-detail payloads (query_name, source, body) to listening rows.
 
-    Payloads without an artist or its name, or with unparseable numbers, give no row. A
-    tag list that is not a list counts as empty.
+    Payloads without an artist or its name, or with null or unparseable numbers, give no
+    row; an absent number counts 0. A tag list that is not a list counts as empty.
     """
     artist = F.col("p.artist")
     tag_text = artist["tags"]["tag"]
@@ -69,8 +89,8 @@ def parse_artist_info(payloads: DataFrame) -> DataFrame:
     )
     fields = F.struct(
         artist["name"].alias("artist_name"),
-        _count(artist["stats"]["listeners"]).alias("lastfm_listeners"),
-        _count(artist["stats"]["playcount"]).alias("lastfm_playcount"),
+        _listed(artist["stats"], "listeners").alias("lastfm_listeners"),
+        _listed(artist["stats"], "playcount").alias("lastfm_playcount"),
         F.coalesce(artist["url"], F.lit("")).alias("lastfm_url"),
         metrics.genre_tags(tag_names).alias("genre_tags"),
     )
@@ -96,12 +116,13 @@ def parse_artist_info(payloads: DataFrame) -> DataFrame:
 
 
 def parse_top_tracks(payloads: DataFrame, limit: int = TOP_TRACKS) -> DataFrame:
-    """Track-chart payloads (artist_id, body): the first tracks of each chart.
+    """Track-chart payloads (artist_id, body): the first ``limit`` tracks of each chart.
 
-    One track without a name or with an unparseable number voids its whole payload.
+    One track without a name or with an unparseable number, wherever it stands, voids its
+    whole payload. The default limit is what the collection step asks the service for.
     """
     parsed = _parsed(payloads, schemas.TRACKS_PAYLOAD).select(
-        "artist_id", F.slice("p.toptracks.track", 1, limit).alias("track")
+        "artist_id", F.col("p.toptracks.track").alias("track")
     )
     broken = F.exists("track", lambda t: (
         t["name"].isNull() | _count(t["playcount"]).isNull() | _count(t["listeners"]).isNull()
@@ -109,7 +130,7 @@ def parse_top_tracks(payloads: DataFrame, limit: int = TOP_TRACKS) -> DataFrame:
     ))
     return (
         parsed.where(~broken)
-        .select("artist_id", F.posexplode("track").alias("chart_ord", "t"))
+        .select("artist_id", F.posexplode(F.slice("track", 1, limit)).alias("chart_ord", "t"))
         .select(
             "artist_id", "chart_ord",
             F.col("t.name").alias("track_name"),
@@ -121,30 +142,49 @@ def parse_top_tracks(payloads: DataFrame, limit: int = TOP_TRACKS) -> DataFrame:
     )
 
 
-def _items(payloads: DataFrame, schema) -> DataFrame:
-    return payloads.select(F.explode(F.from_json("body", schema)["items"]).alias("i"))
+def _items(payloads: DataFrame, schema, broken: Callable[[Column], Column]) -> DataFrame:
+    """Items ``i`` of payloads that hold no broken one."""
+    parsed = _parsed(payloads, schema).select(F.col("p.items").alias("items"))
+    return parsed.where(~F.exists("items", broken)).select(F.explode("items").alias("i"))
+
+
+def _broken(*counts: str) -> Callable[[Column], Column]:
+    """Whether one of an item's counts is there but no number."""
+    def check(item: Column) -> Column:
+        return reduce(or_, [_listed(item["statistics"], name).isNull() for name in counts])
+    return check
 
 
 def parse_channels(payloads: DataFrame) -> DataFrame:
-    """Channel payloads: identity, lower-case text and counts."""
-    return _items(payloads, schemas.CHANNELS_PAYLOAD).select(
+    """Channel payloads: identity, lower-case text and counts.
+
+    A channel without a title or with an unparseable count voids its whole response.
+    """
+    counts = _broken("subscriberCount", "viewCount", "videoCount")
+    return _items(
+        payloads, schemas.CHANNELS_PAYLOAD, lambda i: i["snippet"]["title"].isNull() | counts(i)
+    ).select(
         F.col("i.id").alias("channel_id"),
         F.lower("i.snippet.title").alias("title"),
         F.lower(F.coalesce("i.snippet.description", F.lit(""))).alias("description"),
-        _count(F.col("i.statistics.subscriberCount")).alias("subscribers"),
-        _count(F.col("i.statistics.viewCount")).alias("views"),
-        _count(F.col("i.statistics.videoCount")).alias("videos"),
+        _listed(F.col("i.statistics"), "subscriberCount").alias("subscribers"),
+        _listed(F.col("i.statistics"), "viewCount").alias("views"),
+        _listed(F.col("i.statistics"), "videoCount").alias("videos"),
     )
 
 
 def parse_videos(payloads: DataFrame) -> DataFrame:
-    """Video payloads: identity, counts, publication date and link."""
-    return _items(payloads, schemas.VIDEOS_PAYLOAD).select(
+    """Video payloads: identity, counts, publication date and link.
+
+    A video is looked up alone; an unparseable count gives no video.
+    """
+    counts = _broken("viewCount", "likeCount", "commentCount")
+    return _items(payloads, schemas.VIDEOS_PAYLOAD, counts).select(
         F.col("i.id").alias("video_id"),
         F.coalesce("i.snippet.title", F.lit("")).alias("title"),
-        _count(F.col("i.statistics.viewCount")).alias("views"),
-        _count(F.col("i.statistics.likeCount")).alias("likes"),
-        _count(F.col("i.statistics.commentCount")).alias("comments"),
+        _listed(F.col("i.statistics"), "viewCount").alias("views"),
+        _listed(F.col("i.statistics"), "likeCount").alias("likes"),
+        _listed(F.col("i.statistics"), "commentCount").alias("comments"),
         text.published_date(F.col("i.snippet.publishedAt")).alias("published_date"),
         text.video_url(F.col("i.id")).alias("url"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField
 
@@ -9,6 +11,7 @@ from .. import schemas
 from ..config import ScoreConfig, TABLE
 from ..plans import reports
 from ..plans.scoring import score
+from ..session import remove_path
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
@@ -47,10 +50,34 @@ def declared_raw(raw: DataFrame) -> DataFrame:
 
 
 def _replace(df: DataFrame, table: str, path: str | None, *partitions: str) -> None:
-    writer = df.write.mode("overwrite").format("parquet").partitionBy(*partitions)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    """Write a new version beside the old one, then let the table's name point to it.
+
+    A job that fails leaves the table and its files as they were: the new version is a
+    table of its own, with its partitions, before the name changes hands. The old version's
+    files go last; readers that started on them should be done by then.
+    """
+    spark = df.sparkSession
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    base = (path or f"{warehouse}/{table.rsplit('.', 1)[-1]}").rstrip("/")
+    number = uuid.uuid4().hex
+    df.write.format("parquet").partitionBy(*partitions).save(f"{base}/version-{number}")
+    fresh = f"{table}_{number}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(
+        f"CREATE TABLE {fresh} ({columns}) USING parquet {by} LOCATION '{base}/version-{number}'"
+    )
+    if partitions:
+        spark.catalog.recoverPartitions(fresh)
+    old = None
+    if spark.catalog.tableExists(table):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+        old = described.where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    # only what this function wrote; a table kept elsewhere keeps its files
+    if old and old.rstrip("/").rsplit("/", 1)[-1].startswith("version-"):
+        remove_path(spark, old)
 
 
 def write_raw_table(raw: DataFrame, table: str, path: str | None = None) -> None:

@@ -2,12 +2,14 @@
 
 Each micro-batch is reduced to its newest row per key and written to a folder of its own,
 ``batch_id=N``. Writing a batch twice replaces that folder, so a restarted stream repeats
-its last batch without duplicates, and the cost of a batch depends on its size only.
-Readers take the newest row per key over all folders; ``compact`` bounds that read.
+its last batch without duplicates, and storing a batch costs what its size costs. Batch
+statistics, when asked for, also read (but do not move) the keys stored before. Readers
+take the newest row per key over all folders; ``compact`` bounds both reads.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -56,9 +58,15 @@ def compact(
 def batch_stats(
     batch: DataFrame, stored: DataFrame, keys: Sequence[str], source: str
 ) -> DataFrame:
-    """Rows, keys and previously unseen keys of one batch."""
-    seen = stored.select(*keys).distinct().withColumn("_seen", F.lit(1))
+    """Rows, keys and previously unseen keys of one batch.
+
+    The stored keys are read, but only those that the batch holds as well are moved and
+    reduced: the semi-join's other side is the batch, which Spark broadcasts by its size.
+    """
     per_key = batch.groupBy(*keys).agg(F.count("*").alias("n"))
+    wanted = per_key.select(*keys)
+    known = stored.select(*keys).join(wanted, list(keys), "left_semi")
+    seen = known.distinct().withColumn("_seen", F.lit(1))
     return per_key.join(seen, list(keys), "left").agg(
         F.lit(source).alias("source"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("arrived"),
@@ -108,9 +116,10 @@ def stream_upsert(
 
 
 def refresh_merged(
-    listening: DataFrame, social: DataFrame, video: DataFrame, path: str, version: int
+    listening: DataFrame, social: DataFrame, video: DataFrame, path: str, version: int,
+    at: dt.datetime | None = None,
 ) -> str:
     """Write the merged raw table as a new version; earlier versions stay readable."""
     out = f"{path}/version={version}"
-    merge_sources(listening, social, video).write.mode("overwrite").parquet(out)
+    merge_sources(listening, social, video, at).write.mode("overwrite").parquet(out)
     return out

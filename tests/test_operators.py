@@ -68,13 +68,28 @@ def test_complete_and_ratio(rows):
 
 
 def test_first_hit_keeps_query_order(rows):
-    df = rows("artist_name STRING, source STRING, query_ord BIGINT, hit_ord INT",
-              ("x", "late", 2, 0), ("x", "early", 0, 9), ("y", "only", 5, 5))
-    assert values(groups.first_hit_per_artist(df), "artist_name", "source") == [
-        ("x", "early"), ("y", "only")]
-    both = discovery.discover(df, df.withColumn("source", F.lit("uk_top")).withColumn(
-        "query_ord", F.lit(1).cast("bigint")))
-    assert values(both, "artist_name", "source") == [("x", "early"), ("y", "uk_top")]
+    df = rows("artist_name STRING, source STRING, search_ord INT, query_ord BIGINT, hit_ord INT",
+              ("x", "later tag", 1, 0, 0), ("x", "first tag", 0, 3, 9),
+              ("x", "first tag", 0, 3, 2), ("y", "only", 4, 5, 5))
+    assert values(groups.first_hit_per_artist(df), "artist_name", "source", "hit_ord") == [
+        ("x", "first tag", 2), ("y", "only", 5)]
+    # the chart is asked last, whatever its page numbers
+    chart = rows("artist_name STRING, source STRING, search_ord INT, query_ord BIGINT, hit_ord INT",
+                 ("y", "uk_top", 15, 0, 0), ("z", "uk_top", 15, 0, 1))
+    both = discovery.discover(df, chart)
+    assert values(both, "artist_name", "source") == [
+        ("x", "first tag"), ("y", "only"), ("z", "uk_top")]
+
+
+def test_ties_do_not_depend_on_files(rows):
+    schema = "artist_id STRING, collection_timestamp INT, v STRING, m MAP<STRING, INT>"
+    data = [("a", 1, f"v{i}", {"k": i}) for i in range(20)] + [("b", 1, "x", None)]
+    picks = set()
+    for parts in (1, 3, 7):
+        for order in (data, data[::-1]):
+            out = groups.latest_per_artist(rows(schema, *order).repartition(parts))
+            picks.add(tuple(values(out, "artist_id", "v")))
+    assert len(picks) == 1
 
 
 def test_append_keeps_newest_and_is_idempotent(rows):

@@ -13,6 +13,7 @@ from limelight.operators import distribution, filters, groups, matching, merge,
 from limelight.plans import reports, scoring
 from limelight.registry import queries as registry
 from limelight.sources import sinks
+from limelight.streaming import upsert
 
 POSTS = ("handle STRING, shortcode STRING, post_date DATE, likes BIGINT, comments BIGINT, "
          "is_video BOOLEAN, caption STRING")
@@ -114,10 +115,31 @@ def test_bucketed_sources_merge_without_a_shuffle(spark, no_broadcast):
     assert values(merged, "artist_id", "youtube_channel_id") == [("a", "video-youtube_channel_id")]
 
 
-def test_quantiles_never_shuffle_unaggregated_values(rows, no_broadcast):
-    text = plan(distribution.exact_quantiles(rows("x DOUBLE"), ["x"], [0.5]))
-    for block in re.findall(r"Exchange hashpartitioning.*\n(.*\n.*)", text):
-        assert "Aggregate" in block or "Window" in block or "Sort" in block, block
+def test_quantiles_sort_at_most_so_many_values_in_a_task(rows, spark, monkeypatch):
+    """What reaches the sorted groups is bounded by ``task_rows``, hot values included."""
+    data = [(float(i % 1000) if i % 3 else 7.0,) for i in range(6000)]
+    seen = []
+    original = distribution._narrowed
+
+    def spy(values, brackets, *rest):
+        out = original(values, brackets, *rest)
+        seen.append(max((b.size for b in out), default=0))
+        return out
+
+    monkeypatch.setattr(distribution, "_narrowed", spy)
+    distribution.exact_quantiles(rows("x DOUBLE", *data), ["x"], [0.25, 0.5], task_rows=50)
+    assert seen and seen[-1] <= 50
+
+
+def test_batch_statistics_reduce_only_the_batch_keys_of_the_store(spark):
+    store = spark.range(1000).select(F.col("id").cast("string").alias("artist_id"))
+    batch = spark.range(990, 1005).select(F.col("id").cast("string").alias("artist_id"))
+    df = upsert.batch_stats(batch, store, ["artist_id"], "s")
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    # every aggregate over the store stands above the semi-join with the batch
+    store_scan = logical.split("LeftSemi")[1].split("Aggregate")[0]
+    assert "Range (0, 1000" in store_scan
+    assert df.first().asDict() == {"source": "s", "arrived": 15, "artists": 15, "new_artists": 5}
 
 
 def test_histogram_uses_scalar_bounds(rows):
@@ -129,7 +151,9 @@ def test_no_query_plans_python_or_cross_joins(spark, data_dir):
     bad = re.compile(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups"
                      r"|CartesianProduct|BroadcastNestedLoopJoin")
     writers = {"read_source", "write_report_csv", "write_raw_table", "build_scores_table",
-               "stream_upsert", "batch_stats", "resume"}
+               "stream_upsert", "batch_stats", "resume", "compact", "refresh_merged", "read_log",
+               "read_source_text", "insights_top", "insights_genres", "insights_growth",
+               "describe_scores"}
     fx = registry.fixture(spark, data_dir)
     for key in registry.QUERIES.keys() - writers:
         found = bad.search(plan(registry.QUERIES[key](fx)))

@@ -12,7 +12,7 @@ from limelight.session import scratch_dir
 def session(master: str, setting: str | None = None):
     state = {"dir": None}
     context = SimpleNamespace(
-        master=master,
+        master=master, applicationId="app-1",
         getCheckpointDir=lambda: state["dir"],
         setCheckpointDir=lambda d: state.update(dir=f"file:{d}/app"),
     )
@@ -22,7 +22,7 @@ def session(master: str, setting: str | None = None):
 
 def test_the_cluster_setting_wins():
     spark = session("spark://host:7077", "hdfs://shared/checkpoints/")
-    assert scratch_dir(spark, "x").startswith("hdfs://shared/checkpoints/limelight/x-")
+    assert scratch_dir(spark, "x").startswith("hdfs://shared/checkpoints/limelight/app-1/x-")
 
 
 def test_a_cluster_without_the_setting_is_refused():

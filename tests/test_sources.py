@@ -61,11 +61,38 @@ def test_merging_absent_sources_needs_no_join(spark, tmp_path):
     assert values(out, "artist_id", "youtube_subscribers") == [("a", None)]
 
 
+def test_loose_numbers_and_line_breaks_survive(spark, tmp_path):
+    names = ",".join(schemas.names(schemas.VIDEO))
+    (tmp_path / "s.csv").write_text(
+        names + '\na,"A ""x"", y\nz",c,50000.0,1e3,,2.5\nb,B,d,7,,"",\n')
+    out = tables.optional_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO, multi_line=True)
+    assert values(out) == [
+        ("a", 'A "x", y\nz', "c", 50000, 1000, None, 2.5), ("b", "B", "d", 7, None, None, None)]
+
+
+@pytest.mark.parametrize("bad", ["12.5", "many", "99999999999999999999"])
+def test_values_that_do_not_fit_fail(spark, tmp_path, bad):
+    (tmp_path / "s.csv").write_text(f"{','.join(schemas.names(schemas.VIDEO))}\na,A,c,{bad},1,1,1\n")
+    with pytest.raises(Exception, match="youtube_subscribers is no bigint"):
+        tables.read_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO).collect()
+    loose = tables.read_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO, strict=False)
+    assert values(loose, "youtube_subscribers", "youtube_total_views") == [(None, 1)]
+
+
 def test_header_only_source_is_empty(spark, tmp_path):
     (tmp_path / "s.csv").write_text(",".join(schemas.names(schemas.VIDEO)) + "\n")
     assert tables.optional_source(spark, str(tmp_path / "s.csv"), schemas.VIDEO).isEmpty()
 
 
+def test_scratch_can_be_cleared(spark, tmp_path):
+    from limelight import session
+    path = scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.remove_path(spark, path)
+    session.remove_path(spark, path)
+    assert tables.optional_source(spark, path, schemas.VIDEO, "parquet").isEmpty()
+
+
 def test_scratch_dir_is_shared_and_fresh(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
@@ -89,7 +116,7 @@ def test_hits(spark):
         ("folk", 1, {"topartists": {}}), ("soul", 2, {"error": 3}), ("indie", 3, "not json"),
     )
     assert values(payloads.parse_tag_hits(df)) == [
-        ("", 7, "genre:jazz", 0, 2), ("A", 12, "genre:jazz", 0, 0), ("B", 0, "genre:jazz", 0, 1)]
+        ("", 7, "genre:jazz", 0, 0, 2), ("A", 12, "genre:jazz", 0, 0, 0), ("B", 0, "genre:jazz", 0, 0, 1)]
     assert set(values(payloads.parse_geo_hits(df.drop("tag")), "source")) == {"uk_top"}
 
 
@@ -199,6 +226,27 @@ def test_raw_table_is_replaced_and_partitioned(spark):
         scan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_failed_write_keeps_the_stored_table(spark, tmp_path):
+    place = str(tmp_path / "kept")
+    for path in (None, place):
+        name = "raw_kept" if path is None else "raw_kept_external"
+        sinks.write_raw_table(merged(spark, "old"), name, path)
+        bad = merged(spark, "a", "b").withColumn(
+            "artist_name", F.when(F.col("artist_id") == "a", F.col("artist_name")))
+        with pytest.raises(Exception, match="artist_name is required"):
+            sinks.write_raw_table(bad, name, path)
+        # a job that dies half-way, after some of its tasks wrote their files
+        dying = merged(spark, *[f"x{i}" for i in range(40)]).repartition(8).withColumn(
+            "artist_id", F.when(F.col("artist_id") == "x7", F.raise_error(F.lit("lost")))
+            .otherwise(F.col("artist_id")))
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_raw_table(dying, name, path)
+        spark.catalog.refreshTable(name)
+        assert values(spark.table(name), "artist_id") == ["old"]
+        sinks.write_raw_table(merged(spark, "new"), name, path)
+        assert values(spark.table(name), "artist_id") == ["new"]
+
+
 def test_required_columns_are_enforced(spark):
     bad = merged(spark, "a").withColumn("artist_name", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="artist_name is required"):
