@@ -300,15 +300,17 @@ CTES: dict[str, str] = {
         AND {_caption_match('caption', 'track_name')}
       QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY post_rank) = 1""",
     "fx_song": f"""
-      WITH dated AS (
+      WITH dated AS MATERIALIZED (
         SELECT c.artist_name, c.track_name, c.lastfm_playcount, c.lastfm_listeners, c.lastfm_url,
           c.lastfm_rank, c.track_id, c.instagram_handle, v.* EXCLUDE (track_id)
         FROM fx_track c LEFT JOIN fx_track_video v USING (track_id)),
-      post AS (
-        SELECT track_id, shortcode, post_date, p.likes, p.comments
+      near AS MATERIALIZED (
+        SELECT track_id, track_name, caption, post_rank, shortcode, post_date, p.likes, p.comments
         FROM dated d JOIN fx_recent_post p ON d.instagram_handle = p.handle
-        WHERE abs(date_diff('day', youtube_published_date, post_date)) <= 30
-          AND {_caption_match('caption', 'track_name')}
+        WHERE abs(date_diff('day', youtube_published_date, post_date)) <= 30),
+      post AS (
+        SELECT track_id, shortcode, post_date, likes, comments
+        FROM near WHERE {_caption_match('caption', 'track_name')}
         QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY post_rank) = 1)
       SELECT artist_name, track_name, lastfm_playcount, lastfm_listeners, lastfm_url, lastfm_rank,
         youtube_video_id, youtube_views, youtube_likes, youtube_comments,
