@@ -6,7 +6,6 @@ import random
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +20,18 @@ LONG = ("word%d " * 60_000) % tuple(range(60_000))
 ODD = [None, "", " \n\t ", "one", LONG, "same text here", "same text here", "é ñ\x00\x01 日本"]
 
 
+@pytest.fixture
+def docs(spark):
+    """Documents from texts, numbered from 0, or from (id, text) pairs."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+    def build(*texts):
+        pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        return spark.createDataFrame([(i, t, "en", None, 0) for i, t in pairs], schema)
+
+    return build
+
+
 @pytest.fixture
 def odd(docs, spark):
     """Odd texts, a null id, a repeated row, and columns named like what operators add."""
