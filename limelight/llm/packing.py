@@ -39,11 +39,11 @@ class WordTokenizer:
 
     For tokenizer files that normalise (NFC, lower case), drop white space and never join
     across it. The words between spaces and line feeds are looked up; those not seen lately
-    are cut by the file's own pattern and given to its model. Two generations of up to
+    are cut by the file's own pattern and given to its merges. Two generations of up to
     ``remembered`` parts each are kept.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000, cached_chars: int = 48) -> None:
+    def __init__(self, path: str, remembered: int = 600_000, cached_chars: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -54,7 +54,8 @@ class WordTokenizer:
             raise ValueError(f"{path} is not a word tokenizer of the known form")
         self.pattern = regex.compile(cuts[0]["pattern"]["Regex"])
         self.specials = [t["content"] for t in spec["added_tokens"]]
-        self.model = self.tokenizer.model
+        # the merges alone, for parts that are normalised and cut already
+        self.merges = Tokenizer(self.tokenizer.model)
         self.byte_names = {byte: symbol for symbol, byte in byte_symbols().items()}
         self.remembered, self.cached_chars = remembered, cached_chars
         self.known, self.older = _Known(self._word), {}
@@ -85,7 +86,7 @@ class WordTokenizer:
         if ids is None:
             plain = part.isascii() and part.isprintable()
             names = part if plain else part.encode("utf-8").decode("latin-1").translate(self.byte_names)
-            ids = _packed([t.id for t in self.model.tokenize(names)])
+            ids = _packed(self.merges.encode(names, add_special_tokens=False).ids)
             if len(part) <= self.cached_chars:
                 self.known[part] = ids
         return ids
