@@ -66,50 +66,58 @@ def contracted(links: DataFrame, rows: int = 1 << 20) -> DataFrame:
     return map_batches(links.select("a", "b"), run, "a bigint, b bigint")
 
 
-def components(spark: SparkSession, links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(
+    spark: SparkSession, links: DataFrame, rounds: int = 60, task_links: int = 1 << 20
+) -> DataFrame:
     """(node, root): for every node of a link, the smallest node of its component.
 
-    ``links`` has the BIGINT columns a and b. Each round first points every node's larger
-    neighbours at its smallest one, then does the same with the smaller neighbours, until
-    every component is a star around its smallest node; the rounds grow with the logarithm
-    of the longest path. Both steps aggregate before they join, and a hub's row is never a
-    list. A table without links gives an empty result.
+    ``links`` has the BIGINT columns a and b. In each round, tasks of about ``task_links``
+    links first thin theirs to a forest. Then every node's larger neighbours move to its
+    smallest one, and after that its smaller neighbours, until every component is a star
+    around its smallest node; the rounds grow with the logarithm of the longest path. What
+    fits in one task is settled by the thinning. Both steps aggregate before they join, and
+    a hub's row is never a list. A table without links gives an empty result.
     """
-    edges = stored(spark, contracted(links.where("a <> b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    ).distinct(), "links")
+    edges = stored(spark, contracted(links.where("a <> b")).distinct(), "links")
     state = _state(edges)
     for _ in range(rounds):
-        if not state[0]:
+        tasks = -(-state[0] // task_links)
+        if not tasks:
             break
-        # larger neighbours: every node's neighbours above it move to its smallest one
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("low"))
-        above = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = above.where("u <> v").distinct()
-        # smaller neighbours: a node and the neighbours below it move to its smallest one
-        low = edges.groupBy("u").agg(F.min("v").alias("low"))
-        moved = edges.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        edges = stored(
-            spark,
-            moved.where("u <> v").unionByName(low.select("u", F.col("low").alias("v"))).distinct(),
-            "links",
-        )
+        thinned = contracted(edges.coalesce(tasks))
+        if tasks == 1:
+            edges = stored(spark, thinned, "links")
+            break
+        edges = stored(spark, _starred(thinned), "links")
         now = _state(edges)
         if now == state:
             break
         state = now
     else:
         raise RuntimeError("components did not settle; raise rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
-    )
+    named = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return named.unionByName(named.select("root").distinct().select(F.col("root").alias("node"), "root"))
+
+
+def _starred(links: DataFrame) -> DataFrame:
+    """One round of links (a, b), b < a, moved towards their smallest nodes."""
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    # larger neighbours: every node's neighbours above it move to its smallest one
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("low"))
+    above = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    edges = above.where("u <> v").distinct()
+    # smaller neighbours: a node and the neighbours below it move to its smallest one
+    low = edges.groupBy("u").agg(F.min("v").alias("low"))
+    moved = edges.join(low, "u").select(F.col("v").alias("a"), F.col("low").alias("b"))
+    own = low.select(F.col("u").alias("a"), F.col("low").alias("b"))
+    return moved.where("a <> b").unionByName(own).distinct()
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     """Number of links and a sum of their hashes, which tell whether a round changed them."""
     row = edges.agg(
         F.count("*").alias("n"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
     ).first()
     return row["n"], int(row["h"] or 0)

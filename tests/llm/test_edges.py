@@ -248,7 +248,8 @@ def brute_components(pairs):
     return {x: find(x) for x in list(root)}
 
 
-def test_components_of_paths_stars_and_noise(spark):
+@pytest.mark.parametrize("task_links", [1 << 20, 100])
+def test_components_of_paths_stars_and_noise(spark, task_links):
     rng = random.Random(5)
     path = list(range(100, 400))
     rng.shuffle(path)
@@ -256,7 +257,7 @@ def test_components_of_paths_stars_and_noise(spark):
     pairs += [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(250)]
     pairs += [(5, 5), (-3, 7)]
     want = brute_components([p for p in pairs if p[0] != p[1]])
-    made = components(spark, spark.createDataFrame(pairs, "a long, b long"))
+    made = components(spark, spark.createDataFrame(pairs, "a long, b long"), task_links=task_links)
     assert {r["node"]: r["root"] for r in made.collect()} == want
     a, b = np.array(pairs).T
     assert brute_components(map(tuple, forest(a, b).tolist())) == want
