@@ -43,7 +43,7 @@ class WordTokenizer:
     ``remembered`` parts each are kept.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000, cached_chars: int = 48) -> None:
+    def __init__(self, path: str, remembered: int = 300_000, cached_chars: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:

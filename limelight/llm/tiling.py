@@ -41,7 +41,7 @@ def words_of(text: str | None) -> list[str]:
     return words_pattern().findall(text.lower()) if text else []
 
 
-@lru_cache(maxsize=1 << 18)
+@lru_cache(maxsize=1 << 16)
 def _code(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8"), 7) or 1
 
@@ -176,13 +176,12 @@ class Benchmark:
         ]
         every = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.uint64)
         self.seeds, self.owners = every[:, 0], every[:, 1].astype(np.int64)
-        self.known = frozenset(w for _, t in items for w in words_of(t))
+        self.codes = {w: _code(w) for _, t in items for w in words_of(t)}
 
     def hits(self, text: str | None, min_coverage: float) -> list[dict]:
-        known = self.known
         words = words_of(text)
         # a word of no item is 0 and breaks every window it lies in
-        codes = np.fromiter((_code(w) if w in known else 0 for w in words), np.uint64, len(words))
+        codes = np.fromiter((self.codes.get(w, 0) for w in words), np.uint64, len(words))
         hashes = window_hashes(codes, self.width)
         if not len(hashes) or not len(self.seeds):
             return []
