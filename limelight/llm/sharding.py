@@ -2,10 +2,10 @@
 
 Rows are ordered by a key of two 64-bit numbers: a hash of the text, so that equal texts
 lie together, and the id, which orders within a text. The boundaries between shards are
-found without sorting: evenly spaced probe keys are laid into the interval of every
-boundary that is still open, one aggregation counts the exact bytes and rows between them,
-and the interval shrinks to the two probes around the boundary's target, until a probe
-meets the tolerance or no key is left between. Then the rows are exchanged once.
+found without sorting: evenly spaced probe keys are laid into the cell of every boundary
+that is still open, one aggregation counts the exact bytes and rows between them, and the
+cell shrinks to the two probes around the boundary's target, until a probe meets the
+tolerance or no key is left between. Then the rows are exchanged once.
 """
 
 from __future__ import annotations
@@ -21,24 +21,48 @@ LOW, HIGH = -(1 << 63), 1 << 63
 
 @dataclass
 class Boundary:
-    """A boundary's target in bytes and the interval of keys it lies in."""
+    """A boundary's target in bytes and the cell of keys that it lies in."""
 
     target: int
-    hash_low: int = LOW  # first hash of the interval
-    hash_high: int = HIGH  # first hash behind it
-    id_low: int = LOW  # the same of ids, once a single hash is left
-    id_high: int = HIGH
-    bytes_below: int = 0  # before the interval
+    cell: int = 0  # the keys' leading bits; of ids once a single hash is left
+    hash: int | None = None  # that hash
+    bytes_below: int = 0  # before the cell
     rows_below: int = 0
     found: tuple[int, int] | None = None  # first key behind the boundary
-    error: int = 0
 
-    def interval(self) -> tuple[int, int, int, int]:
-        return self.hash_low, self.hash_high, self.id_low, self.id_high
-
-    @property
-    def by_id(self) -> bool:
-        return self.hash_high - self.hash_low == 1
+    def settle(self, key: int, bytes_below: int, rows_below: int) -> None:
+        if self.hash is not None:
+            self.found = (self.hash, key) if key < HIGH else (self.hash + 1, LOW)
+        else:
+            self.found = (key, LOW)
+        self.bytes_below, self.rows_below = bytes_below, rows_below
+
+    def refine(self, cells: list[tuple[int, int, int]], shift: int, allowed: int) -> None:
+        """Move into one of the cells (number, bytes, rows) that the current one was cut into.
+
+        The boundary is settled at an end of the cell that is near enough to the target, or
+        at the nearer end where a single row, or a single key, is left.
+        """
+        below, rows, size, n = self.bytes_below, self.rows_below, 0, 0
+        for cell, size, n in cells:
+            if below + size > self.target:
+                break
+            below, rows = below + size, rows + n
+        else:  # no row lies behind the target
+            self.found = (HIGH, LOW)
+            return
+        before, behind = self.target - below, below + size - self.target
+        last = n == 1 or shift == 0 and self.hash is not None
+        if before <= behind and (before <= allowed or last):
+            self.settle(cell << shift, below, rows)
+        elif behind <= allowed or last:
+            self.settle((cell + 1) << shift, below + size, rows + n)
+        else:
+            self.bytes_below, self.rows_below = below, rows
+            if shift:
+                self.cell = cell
+            else:  # one hash is left: go on with its ids
+                self.hash, self.cell = cell, 0
 
 
 def keyed(df: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -51,111 +75,50 @@ def keyed(df: DataFrame, text: str, id_col: str) -> DataFrame:
     )
 
 
-def _refine(keys: DataFrame, open_: list[Boundary], probes: int, tolerance: int) -> None:
-    """One pass: count between the probes of every open interval, then shrink them."""
-    intervals = sorted({b.interval() for b in open_})
-    which = {interval: i for i, interval in enumerate(intervals)}
-    number, place = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for interval, i in which.items():
-        inside, at = _place(interval, probes)
-        number = F.when(inside, F.lit(i)).otherwise(number)
-        place = F.when(inside, at).otherwise(place)
-    counted = (
-        keys.select(number.alias("interval"), place.alias("place"), "__size")
-        .where("interval IS NOT NULL").groupBy("interval", "place")
-        .agg(F.sum("__size").alias("bytes"), F.count("*").alias("rows"))
-    )
-    table: dict[int, dict[int, tuple[int, int]]] = {}
-    for row in counted.collect():  # at most probes rows for each open boundary
-        table.setdefault(row["interval"], {})[row["place"]] = (row["bytes"], row["rows"])
-    for b in open_:
-        _shrink(b, table.get(which[b.interval()], {}), probes, tolerance)
-
-
-def _ends(interval: tuple[int, int, int, int]) -> tuple[int, int]:
-    hash_low, hash_high, id_low, id_high = interval
-    return (id_low, id_high) if hash_high - hash_low == 1 else (hash_low, hash_high)
-
-
-def _step(interval: tuple[int, int, int, int], probes: int) -> int:
-    """Distance of the probes: a power of two, so that a place is a shift of the key."""
-    low, high = _ends(interval)
-    return 1 << max(0, (-(-(high - low) // probes) - 1).bit_length())
-
-
-def _place(interval: tuple[int, int, int, int], probes: int):
-    """Whether a row lies in the interval, and between which probes."""
-    hash_low, hash_high, id_low, id_high = interval
-    by_id = hash_high - hash_low == 1
-    low, _ = _ends(interval)
-    shift = _step(interval, probes).bit_length() - 1
-    inside = (F.col("__hash") >= F.lit(hash_low)) & (F.col("__hash") <= F.lit(hash_high - 1))
-    if by_id:
-        inside &= (F.col("__id") >= F.lit(id_low)) & (F.col("__id") <= F.lit(id_high - 1))
-    column = F.col("__id" if by_id else "__hash")
-    # both shifted first: the difference of the keys themselves could overflow; low is a
-    # multiple of the step
-    return inside, (F.shiftright(column, shift) - F.lit(low >> shift)).cast("int")
-
-
-def _shrink(b: Boundary, counts: dict[int, tuple[int, int]], probes: int, tolerance: int) -> None:
-    by_id, step = b.by_id, _step(b.interval(), probes)
-    low, high = _ends(b.interval())
-    below, rows = b.bytes_below, b.rows_below
-    for place in sorted(counts):
-        size, n = counts[place]
-        if below + size > b.target:
-            break
-        below, rows = below + size, rows + n
-    else:  # nothing of the interval lies behind the target
-        place, size, n = (high - 1 - low) // step, 0, 0
-        place += 1
-    start, end = low + place * step, min(high, low + (place + 1) * step)
-
-    def settle(key: int, error: int, rows_below: int, bytes_below: int) -> None:
-        if key >= high:  # the end of the interval
-            b.found = (b.hash_low, b.id_high) if by_id else (b.hash_high, LOW)
-            if by_id and b.id_high >= HIGH:
-                b.found = (b.hash_high, LOW)
-        else:
-            b.found = (b.hash_low, key) if by_id else (key, LOW)
-        b.error, b.rows_below, b.bytes_below = error, rows_below, bytes_below
-
-    before, behind = b.target - below, below + size - b.target
-    if before <= tolerance and before <= behind or start >= high:
-        settle(start, before, rows, below)
-    elif behind <= tolerance:
-        settle(end, behind, rows + n, below + size)
-    elif n == 1:  # the target lies within this row
-        settle(*((start, before, rows, below) if before <= behind else (end, behind, rows + 1, below + size)))
-    elif end - start > 1:
+def _descend(keys: DataFrame, column: str, open_: list[Boundary], allowed: int, probes: int) -> None:
+    """Refine boundaries by ever more leading bits of ``column``, one aggregation each.
+
+    The rows of all open cells are counted between evenly spaced probes, about ``probes`` in
+    all: as many rows come to the driver, whatever the data's size.
+    """
+    by_id, shift = column == "__id", 64
+    while shift and (open_ := [b for b in open_ if b.found is None]):
+        places = {(b.hash, b.cell) for b in open_}
+        bits = min(shift, max(1, (probes // len(places)).bit_length() - 1))
+        rows = keys
         if by_id:
-            b.id_low, b.id_high = start, end
-        else:
-            b.hash_low, b.hash_high = start, end
-        b.bytes_below, b.rows_below = below, rows
-    elif not by_id:  # one hash is left: go on with its ids
-        b.hash_low, b.hash_high, b.id_low, b.id_high = start, start + 1, LOW, HIGH
-        b.bytes_below, b.rows_below = below, rows
-    elif before <= behind:  # rows of one key stay together
-        settle(start, before, rows, below)
-    else:
-        settle(end, behind, rows + n, below + size)
+            rows = rows.where(F.col("__hash").isin(sorted({h for h, _ in places})))
+        if shift < 64:
+            rows = rows.where(F.shiftright(column, shift).isin(sorted({c for _, c in places})))
+        shift -= bits
+        cell = F.shiftright(column, shift) if shift else F.col(column)
+        owner = F.col("__hash") if by_id else F.lit(None).cast("bigint")
+        counted = rows.groupBy(owner.alias("hash"), cell.alias("cell")).agg(
+            F.sum("__size").alias("bytes"), F.count("*").alias("rows")
+        )
+        cells: dict[tuple[int | None, int], list[tuple[int, int, int]]] = {}
+        for r in counted.collect():
+            parent = r["cell"] >> bits if shift + bits < 64 else 0
+            cells.setdefault((r["hash"], parent), []).append((r["cell"], r["bytes"], r["rows"]))
+        for group in cells.values():
+            group.sort()
+        for b in open_:
+            b.refine(cells.get((b.hash, b.cell), []), shift, allowed)
 
 
 def boundaries(
-    keys: DataFrame, parts: int, total: int, tolerance: float = 0.002, probes: int = 4096
+    keys: DataFrame, parts: int, total: int, tolerance: float = 0.002, probes: int = 1 << 16
 ) -> list[Boundary]:
     """``parts`` - 1 boundaries that cut the keys into parts of nearly equal bytes.
 
     A boundary is settled when the bytes below a probe are within ``tolerance`` of a
-    part's share of the target, or when a single key lies on it. The keys have 128 bits, so
-    at most ten passes are needed with 4096 probes; hashed keys take two or three.
+    part's share of the target, or at the nearest row. Hashed keys take two or three
+    passes; texts that fill more than a part are then searched by id.
     """
     allowed = int(tolerance * total / parts)
     every = [Boundary(total * (i + 1) // parts) for i in range(parts - 1)]
-    while open_ := [b for b in every if b.found is None]:
-        _refine(keys, open_, max(2, probes // max(1, len(open_) // 64 + 1)), allowed)
+    _descend(keys, "__hash", every, allowed, probes)
+    _descend(keys, "__id", every, allowed, probes)
     return every
 
 
@@ -181,7 +144,7 @@ def _search(cuts: list[tuple[int, int]]):
 def shard(
     spark: SparkSession, docs: DataFrame, shards: int = 24, id_col: str = "doc_id",
     text_col: str = "text", piece_bytes: int = 64 << 20, max_pieces: int = 4096,
-    tolerance: float = 0.002, probes: int = 4096,
+    tolerance: float = 0.002, probes: int = 1 << 16,
 ) -> DataFrame:
     """``docs`` with size, shard (0 to ``shards`` - 1) and slot (gapless from 0 per shard).
 

@@ -368,7 +368,7 @@ def test_sequences_hold_the_ids_in_order(spark, docs):
 # --- sharding --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("options", [{}, {"probes": 2}, {"piece_bytes": 2000}, {"piece_bytes": 1, "max_pieces": 40}])
+@pytest.mark.parametrize("options", [{}, {"probes": 64}, {"piece_bytes": 2000}, {"piece_bytes": 1, "max_pieces": 400}])
 def test_shards_are_even_with_a_hot_text(spark, docs, options):
     rng = random.Random(8)
     texts = ["hot text " * 5] * 700 + ["x" * rng.randrange(200) for _ in range(1300)] + [None] * 50
