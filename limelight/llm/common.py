@@ -115,6 +115,21 @@ def small_sample(df: DataFrame, key: str, size: int) -> DataFrame:
     return df.orderBy(order, quoted(key)).limit(size)
 
 
+def labelled_ids(
+    docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label",
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """(id, label) of every labelled document with a text, one row per id.
+
+    Labels other than 0 and 1 don't count; of an id labelled twice the smaller one does.
+    """
+    known = labels.where(quoted(label).isin(0, 1) & quoted(id_col).isNotNull()).groupBy(
+        quoted(id_col).alias("id")
+    ).agg(F.min(quoted(label)).cast("int").alias("label"))
+    present = docs.where(quoted(text).isNotNull()).select(quoted(id_col).alias("id")).distinct()
+    return known.join(present, "id")
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, size: int, each: bool = False, text: str = "text",
     label: str = "label", id_col: str = "doc_id",
@@ -123,13 +138,8 @@ def labelled_sample(
 
     Those with the smallest hashes of their ids, so the same ones in every run. Only ids
     meet the labels; the chosen ones, bounded by ``size``, are broadcast to find the texts.
-    Labels other than 0 and 1 don't count; of an id labelled twice the smaller one does.
     """
-    known = labels.where(quoted(label).isin(0, 1) & quoted(id_col).isNotNull()).groupBy(
-        quoted(id_col).alias("id")
-    ).agg(F.min(quoted(label)).cast("int").alias("label"))
-    present = docs.where(quoted(text).isNotNull()).select(quoted(id_col).alias("id")).distinct()
-    found = known.join(present, "id")
+    found = labelled_ids(docs, labels, text, label, id_col)
     if each:
         chosen = small_sample(found.where("label = 0"), "id", size).unionByName(
             small_sample(found.where("label = 1"), "id", size)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, labelled_sample, map_batches, quoted, utf8
+from .common import add_columns, labelled_ids, labelled_sample, map_batches, quoted, utf8
 
 PIECE = 2048  # bytes: a dictionary helps most at the start of what is compressed
 LEVEL = 3
@@ -92,13 +92,21 @@ def train_dictionary(pieces: list[bytes], size: int) -> bytes:
     return zstandard.train_dictionary(size, pieces, k=256, d=8).as_bytes()
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 40) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method; x has a column of ones."""
+def logistic(
+    x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 40,
+    counts: np.ndarray | None = None,
+) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method; x has a column of ones.
+
+    ``counts`` says how many rows each row stands for; one by default.
+    """
+    share = np.ones(len(y)) if counts is None else counts
+    share = share / share.sum()
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) / len(y) + ridge * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(len(w))
+        gradient = x.T @ (share * (p - y)) + ridge * w
+        hessian = (x * (share * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -117,6 +125,10 @@ def train(
     ids, halved by another hash between dictionaries and calibration. ``pieces`` bounds the
     pieces of each class that a dictionary is built from: those with the smallest hashes, so
     they come from all over the texts. The sample is the same in every run.
+
+    The calibration counts each sampled text as the documents of its label that it stands
+    for, so scores keep to the labels' true shares when only one of them is cut to
+    ``documents``, or both are.
     """
     rows = labelled_sample(docs, labels, documents, True, text, label, id_col)
     half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
@@ -137,11 +149,15 @@ def train(
     y = np.array([r["y"] for r in seen], float)
     if len(set(y)) < 2:
         return None
+    known = labelled_ids(docs, labels, text, label, id_col).groupBy("label").count().collect()
+    stands_for = {r["label"]: max(1.0, r["count"] / documents) for r in known}
+    counts = np.array([stands_for[r["y"]] for r in seen])
     raw = np.array([r["__f"] for r in seen], float)
-    centre, scale = raw.mean(axis=0), raw.std(axis=0)
+    centre = np.average(raw, axis=0, weights=counts)
+    scale = np.sqrt(np.average((raw - centre) ** 2, axis=0, weights=counts))
     scale[scale == 0] = 1
     x = np.c_[np.ones(len(y)), (raw - centre) / scale]
-    return Model(good, bad, tuple(logistic(x, y)), tuple(centre), tuple(scale))
+    return Model(good, bad, tuple(logistic(x, y, counts=counts)), tuple(centre), tuple(scale))
 
 
 def with_features(df: DataFrame, good: bytes, bad: bytes, text: str = "text") -> DataFrame:

@@ -231,6 +231,38 @@ def test_classifier_tells_shouting_from_prose(spark, docs):
     assert compression.train(rows, labels.where("label = 1")) is None
 
 
+def test_scores_keep_the_shares_of_the_labels_in_a_bounded_sample(spark, docs):
+    rng = random.Random(12)
+    words = [["".join(rng.choice(c) for _ in range(6)) for _ in range(150)] for c in ("abcdef", "ghijkl")]
+
+    def text(good):
+        share = min(1, max(0, rng.gauss(0.58 if good else 0.42, 0.16)))
+        return " ".join(rng.choice(words[rng.random() > share]) for _ in range(60))
+
+    n, good = 1400, 1200
+    rows = docs(*[text(i < good) for i in range(n)])
+    labels = rows.select("doc_id", (F.col("doc_id") < good).cast("int").alias("label"))
+    fresh = docs(*[text(i % 7 > 0) for i in range(280)])
+    made = []
+    for documents in (120, 3000):
+        model = compression.train(rows, labels, documents=documents, dictionary_bytes=4096)
+        made.append(np.array([
+            (r["score"], r["predicted"]) for r in compression.score(fresh, model).orderBy("doc_id").collect()
+        ]))
+    small, large = made
+    assert abs(small[:, 0].mean() - large[:, 0].mean()) < 0.06
+    assert (small[:, 1] == large[:, 1]).mean() > 0.85
+
+
+def test_a_counted_row_weighs_as_much_as_its_copies():
+    rng = np.random.default_rng(13)
+    x = np.c_[np.ones(60), rng.normal(size=(60, 2))]
+    y = (x[:, 1] + rng.normal(size=60) > 0).astype(float)
+    counts = np.where(y == 1, 3, 1)
+    copied = compression.logistic(x.repeat(counts, axis=0), y.repeat(counts))
+    assert compression.logistic(x, y, counts=counts) == pytest.approx(copied)
+
+
 # --- SimHash and components ------------------------------------------------------------
 
 
