@@ -139,7 +139,7 @@ def signature_rules() -> tuple[Rule, ...]:
             ]
     rules += [
         Rule("cc0", "cc0", r"(?:cc0|cc zero|creative commons zero)(?: 1 ?0)?", ("cc0", "cc zero", "commons zero"), 70, 1.0),
-        Rule("mit-grant", "mit", GRANT + r"mit(?: licen[cs]e)?\b", ("under the mit", "under mit"), 60, 1.0),
+        Rule("mit-grant", "mit", GRANT + r"mit(?: licen[cs]e)?\b", ("the mit", "of mit", "under mit"), 60, 1.0),
         Rule("mit-text", "mit", r"permission is hereby granted free of charge to any person obtaining a copy", ("permission is hereby granted",), 95, 1.0),
         Rule("isc-name", "isc", r"isc licen[cs]e", ("isc licen",), 50, 0.9),
         Rule("isc-text", "isc", r"permission to use copy modify and or distribute this software for any purpose", ("permission to use",), 95, 1.0),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -185,6 +186,59 @@ def test_keywords_never_hide_a_rule():
         assert found == want
 
 
+def phrases(pattern):
+    """Texts for every branch and every optional part of a pattern, repeats once."""
+    from itertools import product
+    from re import _parser
+
+    def of(items):
+        for picks in product(*[list(one(*item)) for item in items]):
+            yield "".join(picks)
+
+    def one(kind, value):
+        kind = str(kind)
+        if kind == "LITERAL":
+            yield chr(value)
+        elif kind == "IN":
+            yield from {"LITERAL": chr(value[0][1])}.get(str(value[0][0]), "1" if "DIGIT" in str(value) else "x")
+        elif kind == "SUBPATTERN":
+            yield from of(value[3])
+        elif kind == "BRANCH":
+            for branch in value[1]:
+                yield from of(branch)
+        elif kind == "MAX_REPEAT":
+            if value[0] == 0:
+                yield ""
+            yield from of(value[2])
+        else:
+            assert kind in ("AT", "ASSERT_NOT"), kind
+            yield ""
+
+    return of(_parser.parse(pattern))
+
+
+def test_the_gate_of_a_rule_is_open_for_all_it_matches():
+    verbs = licenses.GRANT[:licenses.GRANT.index(")") + 1]
+    closed = set()
+    for rule in licenses.signature_rules():
+        pattern = rule.pattern.replace(verbs, "licensed")  # the verb decides no gate
+        for text in phrases(pattern):
+            assert re.match(pattern, text), (rule.name, text)
+            if not any(k in text for k in rule.keywords):
+                closed.add((rule.name, text))
+    assert not closed
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under the terms of the MIT License", {"mit"}),
+    ("released under terms of the MIT", {"mit"}),
+    ("Distributed under the terms of the MIT licence.", {"mit"}),
+])
+def test_mit_grants_by_their_terms(spark, docs, text, labels):
+    row = licenses.scan_licenses(docs(text)).first()
+    assert (set(row["labels"]), row["score"]) == (labels, 1.0)
+
+
 # --- URLs ------------------------------------------------------------------------------
 
 
