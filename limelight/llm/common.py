@@ -138,6 +138,7 @@ def labelled_sample(
 
     Those with the smallest hashes of their ids, so the same ones in every run. Only ids
     meet the labels; the chosen ones, bounded by ``size``, are broadcast to find the texts.
+    Of an id's texts the one with the smallest hash counts, so ``size`` bounds the rows too.
     """
     found = labelled_ids(docs, labels, text, label, id_col)
     if each:
@@ -149,7 +150,10 @@ def labelled_sample(
     texts = docs.where(quoted(text).isNotNull()).select(
         quoted(id_col).alias("id"), quoted(text).alias("text")
     )
-    return texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
+    # one row per id, whatever the number of rows that repeat it
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    ).select("id", "first.text", "label")
 
 
 def crc32_of_id(column) -> "F.Column":

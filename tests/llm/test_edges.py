@@ -14,6 +14,7 @@ from limelight.llm import (
     compression, licenses, line_dedup, packing, quality_lines, sharding, simhash, tiling,
     token_counts, urls,
 )
+from limelight.llm.common import labelled_sample
 from limelight.llm.components import components, forest
 
 P = pytest.importorskip("public_tokenizers")
@@ -93,6 +94,19 @@ def test_empty_tables(spark, docs):
     assert urls.filter_urls(spark, pages, pages, ()).count() == 0
 
 
+@pytest.mark.parametrize("each", [False, True])
+def test_a_sample_has_one_row_per_id(spark, docs, each):
+    hot = [(7, f"text {i} of a repeated id") for i in range(300)]
+    rows = docs(*hot, *[(i, f"own text {i}") for i in range(7)], (7, None))
+    labels = rows.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("label")).distinct()
+    made = [
+        sorted(map(tuple, labelled_sample(r, labels, 8, each).collect()))
+        for r in (rows, rows.repartition(5).orderBy(F.desc("text")))
+    ]
+    assert [r[0] for r in made[0]] == list(range(8)) and made[0] == made[1]
+    assert made[0][7][1] in dict((t, i) for i, t in hot)
+
+
 # --- quality rules ---------------------------------------------------------------------
 
 
