@@ -228,6 +228,17 @@ def probed(prints: DataFrame, plan: Plan) -> DataFrame:
     return prints.select("fp", F.explode(F.concat(*parts)).alias("at")).select("at.*", "fp")
 
 
+def nearby(values: DataFrame, plan: Plan) -> DataFrame:
+    """``values`` (part, value) with every value (near) whose fingerprints look there."""
+    flips = F.array(*[
+        F.array(*[F.lit(x) for x in _flips(g, t)]).cast("array<bigint>")
+        for g, t in zip(plan.groups, plan.thresholds)
+    ])
+    return values.withColumn("near", F.explode(flips[F.col("part")])).withColumn(
+        "near", F.col("value").bitwiseXOR(F.col("near"))
+    )
+
+
 def block_links(left: np.ndarray, right: np.ndarray, distance: int) -> np.ndarray:
     """A spanning forest of the links between two blocks, as rows of two fingerprints."""
     found = []
@@ -262,12 +273,21 @@ def links(
 
     ``prints`` has one row per fingerprint (column fp). Buckets of at most ``bucket``
     fingerprints return all their links; the others return a spanning forest per pair of
-    blocks of at most about ``block`` fingerprints.
+    blocks of at most about ``block`` fingerprints: those listed in the bucket are cut into
+    blocks, and so are those that probe it.
     """
     index, probes = listed(prints, plan), probed(prints, plan)
-    sizes = index.groupBy("part", "value").count().where(F.col("count") > bucket)
-    hot = stored(spark, sizes.select(
-        "part", "value", F.ceil(F.col("count") / F.lit(block)).cast("int").alias("blocks"),
+    sizes = stored(spark, index.groupBy("part", "value").count(), "simhash-sizes")
+    large_ones = sizes.where(F.col("count") > bucket).select("part", "value", "count")
+    looks = nearby(large_ones, plan).join(
+        sizes.select("part", F.col("value").alias("near"), F.col("count").alias("probes")),
+        ["part", "near"],
+    ).groupBy("part", "value", "count").agg(F.sum("probes").alias("probes"))
+    hot = stored(spark, looks.select(
+        "part", "value", *[
+            F.ceil(F.col(c) / F.lit(block)).cast("int").alias(name)
+            for c, name in (("count", "index_blocks"), ("probes", "probe_blocks"))
+        ],
     ), "simhash-hot")
     small_index = index.join(hot, ["part", "value"], "left_anti")
     small = (
@@ -278,8 +298,9 @@ def links(
 
     def dealt(rows: DataFrame, side: int) -> DataFrame:
         """Each row once per block of the other side."""
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        mine, others = ("probe_blocks", "index_blocks")[::-1 if side else 1]
+        own = F.pmod(F.xxhash64("fp"), F.col(mine)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
         rows = rows.join(hot, ["part", "value"]).withColumn("own", own).withColumn("other", other)
         first, second = ("own", "other") if side == 0 else ("other", "own")
         return rows.select(

@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -397,6 +398,25 @@ def test_search_gives_every_component(spark, parts, bucket, block):
     assert {r["node"]: r["root"] for r in made.collect()} == want
 
 
+def test_both_sides_of_a_hot_bucket_are_cut_into_blocks(spark, monkeypatch):
+    def sizes(distance):
+        def run(pdf):
+            sides = pdf["side"].to_numpy()
+            return pd.DataFrame({"a": [-(sides == 0).sum() - 1], "b": [-(sides == 1).sum() - 1]})
+        return run
+
+    monkeypatch.setattr(simhash, "_block_pairs", sizes)
+    low, high = tuple(range(32)), tuple(range(32, 64))
+    # 60 fingerprints of one value beside 2,000 of a value one bit away
+    values = [i << 33 for i in range(1, 61)] + [i << 33 | 1 for i in range(61, 2061)]
+    prints = spark.createDataFrame([(x,) for x in values], "fp long")
+    found = simhash.links(spark, prints, simhash.Plan((low, high), (1, -1)), block=100)
+    groups = [(-r["a"] - 1, -r["b"] - 1) for r in found.collect() if r["a"] < 0]
+    assert max(max(g) for g in groups) <= 200
+    # each of the 2,060 looks into both buckets: once per block listed there
+    assert sum(g[0] for g in groups) == 2060 * 1 + 2060 * 20
+
+
 def test_thresholds_follow_the_bits():
     rng = np.random.default_rng(6)
     poor = rng.integers(0, 2, size=(2000, 1)).repeat(16, axis=1) ^ (rng.random((2000, 16)) < 0.02)
