@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..operators.groups import row_hash
 from .common import LOWER, add_columns, quoted, reach_package, small_sample, stored, utf8
 from .components import components, forest
 
@@ -331,9 +332,24 @@ def near_duplicates(
 
     ``sample`` bounds the fingerprints the search plan is estimated from.
     """
+    found = grouped(spark, docs, id_col, text_col, width, distance, sample, bucket, block)
+    return found.select("id", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def grouped(
+    spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, width: int, distance: int,
+    sample: int, bucket: int, block: int,
+) -> DataFrame:
+    """(id, text_hash, fp, root, component_id) of every row.
+
+    ``root`` is the smallest fingerprint of the component: unlike ``component_id`` it differs
+    between components whose smallest ids are equal.
+    """
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     marked = stored(
-        spark, with_fingerprints(rows, "text", "fp", width).select("id", "fp"), "simhash-rows"
+        spark, with_fingerprints(rows, "text", "fp", width).select(
+            "id", F.xxhash64("text").alias("text_hash"), "fp"
+        ), "simhash-rows",
     )
     classes = stored(
         spark, marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-classes"
@@ -348,14 +364,17 @@ def near_duplicates(
         "simhash-linked",
     )
     smallest = linked.groupBy("root").agg(F.min("first").alias("smallest"))
-    renamed = linked.join(smallest, "root").select("fp", "smallest")
+    renamed = linked.join(smallest, "root").select("fp", "root", "smallest")
     named = stored(
         spark,
         classes.join(renamed, "fp", "left")
-        .select("fp", F.coalesce("smallest", "first").alias("component_id")),
+        .select(
+            "fp", F.coalesce("root", "fp").alias("root"),
+            F.coalesce("smallest", "first").alias("component_id"),
+        ),
         "simhash-named",
     )
-    return marked.join(named, "fp").select("id", F.col("fp").alias("fingerprint"), "component_id")
+    return marked.join(named, "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
 def hex_of(column) -> "F.Column":
@@ -363,23 +382,34 @@ def hex_of(column) -> "F.Column":
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def keep_first(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+def keep_first(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    width: int = 4, distance: int = 4, sample: int = 2048, bucket: int = 48, block: int = 4096,
+) -> DataFrame:
     """``docs`` with one row per component: the one with the smallest id.
 
-    Rows that repeat an id are reduced to one. Rows with a null id stay only when their
+    Of rows that repeat that id within the component, the one whose text has the smallest
+    hash stays, and of equal texts the row with the smallest hash; an id whose texts are in
+    several components stays once in each. Rows with a null id stay only when their
     component has no id at all, one of them then.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found = near_duplicates(spark, docs, **options)
-    firsts = found.where(F.col("id") == F.col("component_id")).select(
-        F.col("id").alias("__first")
-    ).distinct()
-    kept = docs.join(firsts, quoted(id_col) == F.col("__first"), "left_semi")
-    orphans = found.where("component_id IS NULL").select(
-        F.col("fingerprint").alias("__orphan")
-    ).distinct()
-    nameless = with_fingerprints(
-        docs.where(quoted(id_col).isNull()), text_col, "__fp", options.get("width", 4)
-    ).join(orphans, F.col("__fp") == F.col("__orphan"), "left_semi")
-    one_each = nameless.dropDuplicates(["__fp"]).drop("__fp")
-    return kept.dropDuplicates([id_col]).unionByName(one_each)
+    found = grouped(spark, docs, id_col, text_col, width, distance, sample, bucket, block)
+    firsts = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("id").alias("__first"), F.min("text_hash").alias("__first_text")
+    )
+    rows = docs.withColumn("__text_hash", F.xxhash64(quoted(text_col)))
+    same = F.col("__text_hash") == F.col("__first_text")
+    named = rows.join(
+        firsts.where("__first IS NOT NULL"), (quoted(id_col) == F.col("__first")) & same, "left_semi"
+    )
+    nameless = rows.where(quoted(id_col).isNull()).join(
+        firsts.where("__first IS NULL"), same, "left_semi"
+    )
+
+    def one_each(kept: DataFrame) -> DataFrame:
+        whole = F.struct(*[quoted(c) for c in docs.columns])
+        return kept.groupBy(quoted(id_col).alias("__id"), "__text_hash").agg(
+            F.min_by(whole, row_hash(docs)).alias("__row")
+        ).select("__row.*")
+
+    return one_each(named).unionByName(one_each(nameless))

@@ -436,6 +436,21 @@ def test_keep_first_keeps_one_of_each(spark, docs):
         (False, 2), (False, 4), (True, 0)]
 
 
+def test_keep_first_keeps_unrelated_texts_of_one_id(spark, docs):
+    one, two = (" ".join(f"{c}{i}" for i in range(300)) for c in "vw")
+    near = two + " end"
+    rows = docs((1, one), (1, two), (5, near), (6, one), (1, one), (None, "three words here"), (None, near))
+    rows = rows.unionByName(docs((1, two)).withColumn("lang", F.lit("de")))
+    made = [
+        sorted(map(tuple, simhash.keep_first(spark, r).collect()), key=str)
+        for r in (rows, rows.repartition(5).orderBy(F.desc("text"), "lang"))
+    ]
+    assert made[0] == made[1]
+    texts = {(r[0], r[1]) for r in made[0]}
+    assert len(made[0]) == 3 and (None, "three words here") in texts and (1, one) in texts
+    assert (1, two) in texts
+
+
 # --- packing ---------------------------------------------------------------------------
 
 
