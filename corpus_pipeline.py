@@ -6,6 +6,8 @@ again, and returns those it keeps with the same columns; the last returns packed
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,27 +19,35 @@ from limelight.session import scratch_dir
 ORACLE_SQL = None
 
 
+def beside(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` over ``docs``, whose other columns it gets by names that no operator uses."""
+    own = ("doc_id", "text", "n_chars")
+    names = [c if c in own else f"__column_{i}" for i, c in enumerate(docs.columns)]
+    return stage(docs.toDF(*names)).select(*names).toDF(*docs.columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are mostly content lines."""
     field = quality_lines.train(docs, quality_labels(spark, sf_dir))
-    return quality_lines.judge(docs, field).where("kept").select(*docs.columns)
+    return beside(docs, lambda rows: quality_lines.judge(rows, field).where("kept"))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier document holds."""
-    made = line_dedup.drop_repeated_lines(spark, docs)
-    return made.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return beside(docs, lambda rows: line_dedup.drop_repeated_lines(spark, rows).withColumn(
+        "n_chars", F.length("text").cast("bigint")
+    ))
 
 
 def simhash_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group of near copies."""
-    return simhash.keep_first(spark, docs, width=4, distance=4).select(*docs.columns)
+    return beside(docs, lambda rows: simhash.keep_first(spark, rows, width=4, distance=4))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = tiling.with_hits(spark, docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hits") == 0).select(*docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return beside(docs, lambda rows: tiling.with_hits(spark, rows, items).where(F.size("hits") == 0))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
