@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    compression, licenses, line_dedup, packing, quality_lines, sharding, simhash, tiling,
-    token_counts, urls,
+    collocations, compression, licenses, line_dedup, mixing, packing, prefix_trie, quality_lines,
+    sharding, simhash, tiling, token_counts, urls,
 )
 from .common import crc32_of_id
 
@@ -133,6 +133,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(spark, table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    phrases = collocations.collocations(spark, docs, min_count=100, longest=5, covered=100)
+    return collocations.top_collocations(phrases, top=2000).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score"
+    )
+
+
+def op13_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    pieces = mixing.schedule(spark, docs, weights=(5, 2, 1), share=1.5, repeats=2)
+    return mixing.per_document(pieces).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_position"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -143,7 +163,7 @@ def queries() -> dict[str, Query]:
     every = (
         op1_quality_lines, op2_license_scan, op3_url_filter, op4_compression_quality, op5_simhash,
         op6_packing, op7_histogram_shards, op8_line_dedup, op9_string_tiling, op10_token_counts,
-        pipeline,
+        op11_prefix_trie, op12_collocations, op13_weighted_fair_mix, pipeline,
     )
     return {q.__name__: q for q in every}
 

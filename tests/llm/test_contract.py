@@ -101,7 +101,7 @@ def test_op2_base(result, texts):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(name, result, data_dir):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{data_dir}/{t}.parquet'")
     want, got = con.sql(ORACLE_SQL[name]).df(), result(name)
     columns = sorted(got.columns)
