@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.groups import lookup_join
-from .common import map_batches, quoted, reach_package, stored
+from .common import map_batches, quoted, stored
 
 #: Name of the textless root.
 ROOT = bytes(16)
@@ -209,22 +209,39 @@ def subtrie(paths: list[list[bytes]], chars: list[list[int]], parent: bytes, top
 
 
 def _hang(loose: DataFrame) -> DataFrame:
-    """Nodes for the rests of sequences, one small trie per hash they begin with."""
-    names = [f.split()[0] for f in NODE.split(", ")]
+    """Nodes for the rests of sequences, one small trie per hash they begin with.
 
-    def build(key, frame):
-        import pandas as pd
+    Rows come sorted by that hash, so a task holds one group at a time.
+    """
+    names = [f.split()[0] for f in NODE.split(", ")]
+    kinds = [pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.binary()),
+             pa.list_(pa.int64()), pa.int64()]
 
-        rows = frame.to_dict("records")
-        first = rows[0]
-        made = subtrie(
-            [list(r["path"]) for r in rows], [list(r["chars"]) for r in rows],
-            first["parent"], int(first["top"]), int(first["above"]),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            nodes: list[tuple] = []
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if group and group[0][0] != row[0]:
+                    nodes += built(group)
+                    group = []
+                group.append(row)
+            if nodes:
+                yield columns(nodes)
+        if group:
+            yield columns(built(group))
+
+    def built(group: list[tuple]) -> list[tuple]:
+        _, parent, top, above, _, _ = group[0]
+        return list(subtrie([r[4] for r in group], [r[5] for r in group], parent, top, above))
+
+    def columns(nodes: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*nodes), kinds)], names=names
         )
-        return pd.DataFrame(list(made), columns=names)
 
-    reach_package(loose)
-    return loose.groupBy("key").applyInPandas(build, NODE)
+    rows = loose.select("key", "parent", "top", "above", "path", "chars")
+    return map_batches(rows.repartition("key").sortWithinPartitions("key"), run, NODE)
 
 
 def insert(spark: SparkSession, trie: DataFrame, batch: DataFrame) -> DataFrame:
