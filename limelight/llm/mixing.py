@@ -105,7 +105,7 @@ def _queues(
 def schedule(
     spark: SparkSession, docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     repeats: int = 2, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-    range_rows: int = 100_000,
+    range_rows: int = 20_000,
 ) -> DataFrame:
     """The mix: one row per document and repeat, also of those it does without.
 
