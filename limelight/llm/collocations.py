@@ -1,10 +1,17 @@
 """Phrase collocations per language by SON partitioning.
 
-The corpus is cut into shards of bounded size. A phrase found ``min_count`` times in all is
-found at least ``min_count`` times a shard's share of the corpus in some shard, so every
-shard is mined completely, level by level, at its share of the support, and what is frequent
-anywhere is a candidate. Candidates whose known counts and highest possible unknown ones
-don't reach the support go at once; a second pass counts the others in all shards exactly.
+Texts are dealt by hash into a few shards, each spread over many tasks. A phrase found
+``min_count`` times in all is found, in some shard, at least the shard's share of that often.
+Every shard is mined completely at its share of the support, lowered once more so that most
+counts get known: tasks count the phrases of their texts, and what they counted is added up
+by shard and phrase. What is frequent in a shard is a candidate, unless its known counts and
+the highest possible unknown ones stay below the support. Longer phrases are only looked for
+where all pairs of neighbours in them are candidates. A last pass over all texts counts the
+candidates exactly.
+
+The number of shards, and so the local support, does not depend on the corpus, and what is
+shuffled grows in proportion to it. While mining, phrases are 64-bit hashes in numpy arrays;
+two that share a hash could only make one more candidate. The last pass counts words.
 """
 
 from __future__ import annotations
@@ -12,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.groups import first_n_per_group, lookup_join
-from .common import map_batches, quoted, stored, utf8
+from .common import map_batches, quoted, reach_package, stored, utf8
 
 #: Ends a piece; no word holds it.
 STOP = b"."
@@ -38,244 +47,286 @@ class Words(dict):
         return number
 
 
-class Shard:
-    """Word numbers of texts of one language."""
+class Corpus:
+    """Word numbers of a task's texts in one language, by shard."""
 
     def __init__(self) -> None:
-        self.words, self.parts = Words(), []
-        self.size = self.bytes = 0
+        self.words = Words()
+        self.parts: dict[int, list[np.ndarray]] = {}
 
-    def add(self, text: bytes) -> int:
+    def add(self, shard: int, text: bytes) -> int:
         tokens = text.translate(CLEAN).replace(STOP, b" . ").split()
         tokens.append(STOP)
-        self.parts.append(np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens)))
-        self.bytes += len(text)
+        numbers = np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens))
+        self.parts.setdefault(shard, []).append(numbers)
         return len(tokens)
 
-    def numbers(self) -> np.ndarray:
-        return np.concatenate(self.parts)
+    def numbers(self) -> Iterator[tuple[int, np.ndarray]]:
+        for shard, parts in self.parts.items():
+            yield shard, np.concatenate(parts)
 
+    def hashes(self) -> np.ndarray:
+        return np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
 
-def mined(a: np.ndarray, n_words: int, support: int, longest: int) -> Iterator[tuple]:
-    """(words, places, counts) of all phrases found ``support`` times or more, by length.
 
-    A phrase is frequent only if both phrases of one word less in it are, so each level looks
-    only where two frequent ones of the level before overlap. Places are those of one
-    occurrence each.
-    """
-    counts = np.bincount(a, minlength=n_words)
-    counts[0] = 0
-    frequent = np.flatnonzero(counts >= support)
-    first = np.empty(n_words, np.int64)
-    first[a[::-1]] = np.arange(len(a))[::-1]
-    yield 1, first[frequent], counts[frequent]
-    label = np.zeros(n_words, np.int64)
-    label[frequent] = np.arange(1, len(frequent) + 1)
-    here, many = label[a], len(frequent)
+def extended(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of phrases made one word longer."""
+    x = keys * np.uint64(0x9E3779B97F4A7C15) + words
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def phrases_of(a: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tuple]:
+    """(words, hashes, whether it lies within a piece) of what begins at each place."""
+    single = hashes[a]
+    keys, whole = single, a > 0
+    yield 1, keys, whole
     for k in range(2, longest + 1):
-        place = np.flatnonzero((here[:-1] > 0) & (here[1:] > 0))
-        keys = here[place] * (many + 1) + here[place + 1]
-        found, counts = np.unique(keys, return_counts=True)
-        found, counts = found[counts >= support], counts[counts >= support]
-        if not len(found):
-            return
-        at = np.searchsorted(found, keys)
-        at[at == len(found)] = 0
-        hit = found[at] == keys
-        at, place = at[hit], place[hit]
-        first = np.empty(len(found), np.int64)
-        first[at[::-1]] = place[::-1]
-        yield k, first, counts
-        here = np.zeros(len(here) - 1, np.int64)
-        here[place], many = at + 1, len(found)
-
-
-class Candidates:
-    """Phrases of one language as a tree of words: each node a phrase, with or without an id."""
+        keys = extended(keys[:-1], single[k - 1:])
+        whole = whole[:-1] & (a[k - 1:] > 0)
+        yield k, keys, whole
 
-    def __init__(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.nodes: dict[tuple[int, int], int] = {}
-        self.ids: list[int] = []
-
-    def add(self, phrase: bytes, number: int) -> None:
-        node = -1
-        for word in phrase.split(b" "):
-            key = (node, self.words.setdefault(word, len(self.words)))
-            node = self.nodes.setdefault(key, len(self.nodes))
-            if node == len(self.ids):
-                self.ids.append(-1)
-        self.ids[node] = number
-
-    def packed(self) -> tuple:
-        """(words, parent of each node, its last word, its id), which travels well."""
-        above, last = np.array(list(self.nodes), np.int32).reshape(-1, 2).T
-        return list(self.words), above.copy(), last.copy(), np.array(self.ids, np.int64)
-
-
-def counted(a: np.ndarray, words: dict[bytes, int], candidates: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, counts) of the candidates that a shard holds."""
-    names, above, last, ids = candidates
-    known = np.array([words.get(w, 0) for w in names], np.int64)
-    last = known[last] if len(names) else np.empty(0, np.int64)
-    total = np.zeros(len(ids), np.int64)
-    level = np.flatnonzero((above < 0) & (last > 0))
-    base = len(words) + 1
-    node_of = np.zeros(base, np.int64)
-    node_of[last[level]] = level + 1
-    here, k = node_of[a], 1
-    while len(level):
-        total += np.bincount(here, minlength=len(ids) + 1)[1:]
-        on_level = np.zeros(len(ids) + 1, bool)
-        on_level[level + 1] = True
-        level = np.flatnonzero((above >= 0) & (last > 0) & on_level[above + 1])
-        if not len(level):
-            break
-        keys = (above[level].astype(np.int64) + 1) * base + last[level]
-        order = np.argsort(keys)
-        keys, level = keys[order], level[order]
-        place = np.flatnonzero(here[:len(a) - k] > 0)
-        seen = here[place] * base + a[place + k]
-        at = np.searchsorted(keys, seen)
-        at[at == len(keys)] = 0
-        hit = keys[at] == seen
-        here = np.zeros(len(a) - k, np.int64)
-        here[place[hit]] = level[at[hit]] + 1
-        k += 1
-    found = np.flatnonzero((total > 0) & (ids >= 0))
-    return ids[found], total[found]
-
-
-def _shards(batches: Iterator[pa.RecordBatch], shard_words: int) -> Iterator[dict]:
-    """Shards by language of (lang, text, ...) rows, closed at about ``shard_words`` words.
-
-    The third column, where there is one, goes with its language's shard as ``about``.
-    """
-    shards: dict[str, Shard] = {}
+
+def member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are among the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    at = np.searchsorted(known, keys)
+    at[at == len(known)] = 0
+    return known[at] == keys
+
+
+def merged_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _corpora(batches: Iterator[pa.RecordBatch], task_words: int) -> Iterator[dict[str, Corpus]]:
+    """Texts (lang, shard, text) by language, about ``task_words`` words at a time."""
+    held: dict[str, Corpus] = {}
     size = 0
     for batch in batches:
-        about = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * len(batch)
-        for lang, text, more in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), about):
-            shard = shards.get(lang)
-            if shard is None:
-                shard = shards[lang] = Shard()
-                shard.about = more
-            size += shard.add(text)
-            if size >= shard_words:
-                yield shards
-                shards, size = {}, 0
-    if shards:
-        yield shards
-
-
-def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    return docs.select(
-        F.coalesce(quoted(lang_col), F.lit("und")).alias("lang"), quoted(text_col).alias("text")
+        langs, shards = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for lang, shard, text in zip(langs, shards, utf8(batch.column(2))):
+            size += held.setdefault(lang, Corpus()).add(shard, text)
+            if size >= task_words:
+                yield held
+                held, size = {}, 0
+    if held:
+        yield held
+
+
+def _mined(
+    texts: DataFrame, supports: DataFrame, lengths: range, task_words: int, bits: int,
+    pairs: tuple[dict[str, np.ndarray], int, int] | None = None,
+) -> DataFrame:
+    """(lang, shard, key, count, slack) of the phrases of these lengths frequent in a shard.
+
+    Counts of a task go, sorted by hash, in ``2 ** bits`` ranges of hashes to those that add
+    them up, so a range has a bounded number of phrases and no phrase is hot. With ``pairs``
+    (the frequent pairs of words, a slice of them, the number of slices) only phrases that
+    begin with one of the pairs are counted, and if there is one slice only those made up of
+    such pairs.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _corpora(batches, task_words):
+            for lang, corpus in held.items():
+                hashes = corpus.hashes()
+                for shard, a in corpus.numbers():
+                    for k, keys in wanted(lang, a, hashes):
+                        if k in lengths:
+                            yield from ranges(lang, shard, *np.unique(keys, return_counts=True))
+
+    def wanted(lang: str, a: np.ndarray, hashes: np.ndarray) -> Iterator[tuple]:
+        alive = pair = None
+        for k, keys, whole in phrases_of(a, hashes, lengths[-1]):
+            if pairs is not None and k == 2:
+                pair = whole & member(keys, pairs[0].get(lang, np.empty(0, np.uint64)))
+                alive = pair
+            elif pairs is not None and k > 2:
+                alive = alive[:-1] & (pair[k - 2:] if pairs[2] == 1 else whole)
+            yield k, keys[whole if alive is None else alive]
+
+    def ranges(lang, shard, keys, counts) -> Iterator[pa.RecordBatch]:
+        part = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+        ends = np.flatnonzero(np.r_[part[1:] != part[:-1], True]) + 1 if len(keys) else []
+        start, rows = 0, []
+        for end in ends:
+            rows.append((int(part[start]), keys[start:end].tobytes(),
+                         counts[start:end].astype(np.int32).tobytes()))
+            start = end
+        if rows:
+            number, blobs, amounts = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows)), pa.array([shard] * len(rows), pa.int32()),
+                 pa.array(number, pa.int64()), pa.array(blobs, pa.binary()), pa.array(amounts, pa.binary())],
+                names=["lang", "shard", "part", "keys", "counts"],
+            )
+
+    def add_up(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = merged_counts(
+            np.concatenate([np.frombuffer(b, np.uint64) for b in frame["keys"]]),
+            np.concatenate([np.frombuffer(b, np.int32) for b in frame["counts"]]).astype(np.int64),
+        )
+        support = int(frame["support"].iloc[0])
+        kept = counts >= support
+        return pd.DataFrame({
+            "lang": group[0], "shard": group[1], "key": keys[kept].view(np.int64),
+            "count": counts[kept], "slack": support - 1,
+        })
+
+    counted = map_batches(
+        texts, run, "lang string, shard int, part bigint, keys binary, counts binary"
+    ).join(supports, ["lang", "shard"])
+    reach_package(counted)
+    return counted.groupBy("lang", "shard", "part").applyInPandas(
+        add_up, "lang string, shard int, key bigint, count bigint, slack bigint"
     )
 
 
-def locally_frequent(
-    spark: SparkSession, texts: DataFrame, min_count: int, longest: int, shard_words: int
-) -> DataFrame:
-    """(lang, phrase, words, count, slack) of each phrase frequent in a shard, per shard.
+def _candidates(spark: SparkSession, local: DataFrame, supports: DataFrame, min_count: int) -> DataFrame:
+    """(lang, key) of what may be frequent: all but those whose bounds add up to less."""
+    all_slack = supports.groupBy("lang").agg(F.sum(F.col("support") - 1).alias("all_slack"))
+    known = local.groupBy("lang", "key").agg(F.sum(F.col("count") - F.col("slack")).alias("above"))
+    return stored(spark, known.join(all_slack, "lang").where(
+        F.col("above") + F.col("all_slack") >= min_count
+    ).select("lang", "key"), "phrase-candidates")
+
 
-    slack is one less than the shard's support: as often may a phrase be found there that is
-    not listed. A row without a phrase tells the words and the slack of a shard's language.
-    Shares are shares of a language's bytes, so the supports add up to the whole one.
+def _slices(spark: SparkSession, candidates: DataFrame, per_pass: int) -> Iterator[tuple]:
+    """(keys by language, slice, slices): all candidates, about ``per_pass`` at a time.
+
+    They go to every task, so their number at a time is what bounds their size; more than
+    that make more passes over the texts.
     """
-    totals = stored(spark, texts.groupBy("lang").agg(
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("bigint").alias("bytes")
-    ), "phrase-bytes")
+    slices = max(1, -(-candidates.count() // per_pass))
+    for i in range(slices):
+        part = candidates.where(F.pmod("key", F.lit(slices)) == i)
+        table = part.select("lang", "key").toArrow()
+        keys = table.column("key").to_numpy().view(np.uint64)
+        langs = table.column("lang").to_pandas().to_numpy()
+        yield {lang: np.sort(keys[langs == lang]) for lang in set(langs)}, i, slices
+
 
+def _counted(texts: DataFrame, shared, task_words: int, longest: int, bits: int) -> DataFrame:
+    """(lang, phrase, words, f): candidates and their counts; no phrase: all words of a language.
+
+    Tasks send what they found by ranges of hashes; each range adds up its phrases.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shards in _shards(batches, shard_words):
-            for lang, shard in shards.items():
-                a = shard.numbers()
-                support = max(1, -(-min_count * shard.bytes // max(1, shard.about)))
-                names = list(shard.words)
-                yield rows(lang, [None], 0, [int((a > 0).sum())], support - 1)
-                for k, places, counts in mined(a, len(names), support, longest):
-                    for i in range(0, len(places), 100_000):
-                        made = [
-                            b" ".join([names[x] for x in a[p:p + k].tolist()])
-                            for p in places[i:i + 100_000].tolist()
-                        ]
-                        yield rows(lang, made, k, counts[i:i + 100_000], support - 1)
-
-    def rows(lang, phrases, k, counts, slack) -> pa.RecordBatch:
-        n = len(phrases)
+        known, number, slices = shared.value
+        for held in _corpora(batches, task_words):
+            for lang, corpus in held.items():
+                a = np.concatenate([part for _, part in corpus.numbers()])
+                if number == 0:
+                    yield row(lang, -1, b"", np.array([(a > 0).sum()]))
+                if lang not in known:
+                    continue
+                names, alive = list(corpus.words), None
+                for k, keys, whole in phrases_of(a, corpus.hashes(), longest):
+                    if alive is not None and slices == 1:  # what a candidate begins with is one
+                        whole = whole & alive[:len(whole)]
+                    place = np.flatnonzero(whole)
+                    place = place[member(keys[place], known[lang])]
+                    alive = np.zeros(len(a), bool)
+                    alive[place] = True
+                    yield from found(lang, names, a, keys, place, k)
+
+    def found(lang, names, a, keys, place, k) -> Iterator[pa.RecordBatch]:
+        while len(place):
+            hashed, first, at = np.unique(keys[place], return_index=True, return_inverse=True)
+            first = place[first]
+            # places whose words are those of the first with their hash; others go on
+            same = np.ones(len(place), bool)
+            for j in range(k):
+                same &= a[place + j] == a[first[at] + j]
+            counts = np.bincount(at[same], minlength=len(first))
+            part = hashed >> np.uint64(64 - bits) if bits else np.zeros(len(first), np.uint64)
+            start = 0
+            for end in np.flatnonzero(np.r_[part[1:] != part[:-1], True]) + 1:
+                words = [a[first[start:end] + j].tolist() for j in range(k)]
+                phrases = [b" ".join([names[x] for x in p]) for p in zip(*words)]
+                yield row(lang, int(part[start]), b"\n".join(phrases), counts[start:end])
+                start = end
+            place = place[~same]
+
+    def row(lang, part, phrases, counts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-             pa.array(np.full(n, k, np.int32)), pa.array(counts, pa.int64()),
-             pa.array(np.full(n, slack, np.int64))],
-            names=["lang", "phrase", "words", "count", "slack"],
+            [pa.array([lang], pa.string()), pa.array([part], pa.int64()), pa.array([phrases], pa.binary()),
+             pa.array([counts.astype(np.int64).tobytes()], pa.binary())],
+            names=["lang", "part", "phrases", "counts"],
         )
 
-    return map_batches(
-        texts.join(totals, "lang").select("lang", "text", "bytes"), run,
-        "lang string, phrase string, words int, count bigint, slack bigint",
+    def add_up(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        total: dict[bytes, int] = {}
+        for phrases, counts in zip(frame["phrases"], frame["counts"]):
+            for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(counts, np.int64).tolist()):
+                total[phrase] = total.get(phrase, 0) + n
+        phrases = [p.decode() or None for p in total]
+        return pd.DataFrame({
+            "lang": group[0], "phrase": pd.Series(phrases, dtype=object),
+            "words": [p.count(" ") + 1 if p else 0 for p in phrases], "f": list(total.values()),
+        })
+
+    made = map_batches(texts, run, "lang string, part bigint, phrases binary, counts binary")
+    reach_package(made)
+    return made.groupBy("lang", "part").applyInPandas(
+        add_up, "lang string, phrase string, words int, f bigint"
     )
 
 
-def counted_globally(
-    spark: SparkSession, texts: DataFrame, candidates: DataFrame, shard_words: int, per_pass: int
-) -> DataFrame:
-    """(id, f): exact counts of the candidates (id, lang, phrase) over all texts.
-
-    Every task gets the candidates, at most about ``per_pass`` of them at a time: more than
-    that are counted in several passes over the texts, dealt out by language and first two
-    words, so that phrases that begin alike share a pass.
-    """
-    head = F.slice(F.split("phrase", " "), 1, 2)
-    passes = max(1, -(-candidates.count() // per_pass))
-    part = F.pmod(F.xxhash64("lang", head), F.lit(passes))
-    found = None
-    for i in range(passes):
-        trees: dict[str, Candidates] = {}
-        for batch in candidates.where(part == i).select("id", "lang", "phrase").toArrow().to_batches():
-            for number, lang, phrase in zip(*[c.to_pylist() for c in batch.columns]):
-                trees.setdefault(lang, Candidates()).add(phrase.encode(), number)
-        sent = spark.sparkContext.broadcast({lang: t.packed() for lang, t in trees.items()})
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for shards in _shards(batches, shard_words):
-                for lang, shard in shards.items():
-                    if lang in sent.value:
-                        ids, counts = counted(shard.numbers(), shard.words, sent.value[lang])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(ids), pa.array(counts)], names=["id", "count"]
-                        )
-
-        made = map_batches(texts.select("lang", "text"), run, "id bigint, count bigint")
-        found = made if found is None else found.unionByName(made)
-    return found.groupBy("id").agg(F.sum("count").alias("f"))
-
-
 def frequent_phrases(
     spark: SparkSession, docs: DataFrame, min_count: int = 100, longest: int = 5,
-    lang_col: str = "lang", text_col: str = "text", shard_words: int = 6_000_000,
-    per_pass: int = 400_000,
+    lang_col: str = "lang", text_col: str = "text", shards: int = 4, lowered: int = 25,
+    task_words: int = 6_000_000, per_pass: int = 4_000_000, part_bytes: int = 32 << 20,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of up to ``longest`` words found ``min_count``
-    times or more, and (lang, n), the words of each language."""
-    texts = _texts(docs, lang_col, text_col)
-    local = stored(
-        spark, locally_frequent(spark, texts, min_count, longest, shard_words), "phrase-local"
+    times or more, and (lang, n), the words of each language.
+
+    A shard's support is ``lowered`` percent of its share. ``task_words`` words are held at a
+    time; ``part_bytes`` of text make a range of hashes.
+    """
+    text = quoted(text_col)
+    texts = docs.select(
+        F.coalesce(quoted(lang_col), F.lit("und")).alias("lang"),
+        F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"), text.alias("text"),
+    )
+    # shares are shares of a language's bytes, so the supports add up to the whole one
+    sizes = stored(spark, texts.groupBy("lang", "shard").agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("bigint").alias("bytes")
+    ), "phrase-bytes")
+    whole = sizes.groupBy("lang").agg(F.sum("bytes").alias("all_bytes"))
+    support = F.ceil(
+        F.lit(min_count * lowered).cast("decimal(19,0)") * F.col("bytes") / (F.col("all_bytes") * 100)
     )
-    shards = local.where(F.col("phrase").isNull()).groupBy("lang").agg(
-        F.sum("count").alias("n"), F.sum("slack").alias("all_slack")
+    supports = stored(spark, sizes.where("bytes > 0").join(whole, "lang").select(
+        "lang", "shard", F.greatest(F.lit(1), support).cast("bigint").alias("support")
+    ), "phrase-supports")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    bits = (total // part_bytes).bit_length()
+
+    local = _mined(texts, supports, range(1, min(2, longest) + 1), task_words, bits)
+    candidates = _candidates(spark, local, supports, min_count)
+    if longest > 2:
+        # words are among the candidates too; their hashes are no pair's
+        for pairs in _slices(spark, candidates, per_pass):
+            longer = _mined(texts, supports, range(3, longest + 1), task_words, bits, pairs)
+            candidates = candidates.unionByName(_candidates(spark, longer, supports, min_count))
+    counted = None
+    for known in _slices(spark, candidates, per_pass):
+        shared = spark.sparkContext.broadcast(known)
+        some = _counted(texts, shared, task_words, longest, bits)
+        counted = some if counted is None else counted.unionByName(some)
+    counts = stored(
+        spark, counted.where(F.col("phrase").isNull() | (F.col("f") >= min_count)), "phrase-counts"
     )
-    known = local.where(F.col("phrase").isNotNull()).groupBy("lang", "phrase", "words").agg(
-        F.sum(F.col("count") - F.col("slack")).alias("above_slack")
+    return counts.where("phrase IS NOT NULL"), counts.where("phrase IS NULL").select(
+        "lang", F.col("f").alias("n")
     )
-    candidates = stored(spark, known.join(shards, "lang").where(
-        F.col("above_slack") + F.col("all_slack") >= min_count
-    ).select(F.monotonically_increasing_id().alias("id"), "lang", "phrase", "words"), "phrase-candidates")
-    counts = counted_globally(spark, texts, candidates, shard_words, per_pass)
-    frequent = stored(spark, candidates.join(counts.where(F.col("f") >= min_count), "id").select(
-        "lang", "phrase", "words", "f"
-    ), "phrase-counts")
-    return frequent, shards.select("lang", "n")
 
 
 def _key(phrase: Column) -> Column:
@@ -284,15 +335,15 @@ def _key(phrase: Column) -> Column:
 
 def collocations(
     spark: SparkSession, docs: DataFrame, min_count: int = 100, longest: int = 5,
-    covered: int = 100, lang_col: str = "lang", text_col: str = "text",
-    shard_words: int = 6_000_000, per_pass: int = 400_000,
+    covered: int = 100, lang_col: str = "lang", text_col: str = "text", **limits: int,
 ) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of phrases of 2 to ``longest`` words.
 
     a is the phrase's count, n the language's words, l and r the counts of the phrase's two
     parts at the cut that gives the lowest score, floor(1000 * a * n / (l * r)); ties go to
     the shorter first part. Left out are phrases that lie within a longer one that is found
-    in at least ``covered`` percent of their places. Arithmetic is exact.
+    in at least ``covered`` percent of their places. Arithmetic is exact. ``limits`` are those
+    of ``frequent_phrases``; they decide the work, never the result.
 
     Texts are read whole, lower-cased in A-Z, cut into pieces at .,;:!? and line ends, and
     into words at spaces and tabs; null texts are empty, null languages are ``und``. Rows
@@ -300,9 +351,8 @@ def collocations(
     phrases give no rows. Other columns are not read, whatever their names.
     """
     frequent, sizes = frequent_phrases(
-        spark, docs, min_count, longest, lang_col, text_col, shard_words, per_pass
+        spark, docs, min_count, longest, lang_col, text_col, **limits
     )
-    sizes = stored(spark, sizes, "phrase-sizes")
     counts = frequent.select(_key(F.col("phrase")).alias("part"), F.col("f").alias("part_f"))
     several = frequent.where("words > 1").withColumn("w", F.split("phrase", " "))
     joined = lambda start, size: F.array_join(F.slice("w", start, size), " ")

@@ -45,6 +45,17 @@ def slow(docs, min_count, top=2000):
     return sorted(out)
 
 
+def slow_counts(docs, longest):
+    count = Counter()
+    for lang, text in docs:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            words = re.findall("[^\x20\x09]+", piece)
+            for k in range(2, longest + 1):
+                for i in range(len(words) - k + 1):
+                    count[lang or "und", " ".join(words[i:i + k])] += 1
+    return [(lang, None, p, a) for (lang, p), a in count.items()]
+
+
 def found(spark, docs, min_count, top=2000, **options):
     df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
     got = co.top_collocations(co.collocations(spark, df, min_count, **options), top)
@@ -62,10 +73,48 @@ def texts(seed, n, langs=("en", "de", None)):
     return out
 
 
-@pytest.mark.parametrize("min_count, shard_words, per_pass", [(4, 6_000_000, 400_000), (5, 60, 40), (2, 200, 400_000)])
-def test_equals_counting_everything(spark, min_count, shard_words, per_pass):
+@pytest.mark.parametrize("min_count, limits", [
+    (4, {}), (5, {"task_words": 60, "per_pass": 60, "shards": 3, "part_bytes": 500}),
+    (2, {"task_words": 200, "shards": 16}), (12, {"shards": 1, "part_bytes": 64}), (6, {"lowered": 100, "shards": 5}),
+])
+def test_equals_counting_everything(spark, min_count, limits):
     docs = texts(min_count, 150)
-    assert found(spark, docs, min_count, shard_words=shard_words, per_pass=per_pass) == slow(docs, min_count)
+    assert found(spark, docs, min_count, **limits) == slow(docs, min_count)
+
+
+def test_phrases_that_share_a_hash_are_counted_apart(spark, monkeypatch):
+    monkeypatch.setattr(co, "extended", lambda keys, words: (keys + words) % np.uint64(3))
+    docs = texts(8, 40)
+    df = spark.createDataFrame(docs, "lang string, text string")
+    known = {lang or "und": np.arange(3, dtype=np.uint64) for lang, _ in docs}
+
+    class Shared:
+        value = (known, 0, 2)
+
+    rows = df.selectExpr("coalesce(lang, 'und') AS lang", "0 AS shard", "text").collect()
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in rows])
+    with monkeypatch.context() as patch:
+        patch.setattr(co, "reach_package", lambda _: None)
+        rows = []
+
+        class Made(list):
+            def groupBy(self, *_):
+                rows.extend(r for b in self for r in b.to_pylist())
+                return self
+
+            def applyInPandas(self, *_):
+                return None
+
+        patch.setattr(co, "map_batches", lambda _, run, schema: Made(run(iter([batch]))))
+        co._counted(None, Shared, 10 ** 6, 3, 1)
+    got = Counter()
+    for r in rows:
+        for phrase, n in zip(r["phrases"].split(b"\n"), np.frombuffer(r["counts"], np.int64)):
+            if b" " in phrase:
+                got[r["lang"], phrase.decode()] += int(n)
+    want = {(lang, p): a for lang, _, p, a, *_ in slow_counts(docs, 3)}
+    assert got == want
 
 
 def test_odd_rows(spark):
@@ -83,7 +132,7 @@ def test_products_beyond_64_bits(spark):
         "lang string, phrase string, words int, f bigint")
     sizes = spark.createDataFrame([("en", 7 * 10 ** 13)], "lang string, n bigint")
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(co, "frequent_phrases", lambda *_: (phrases, sizes))
+        patch.setattr(co, "frequent_phrases", lambda *_, **__: (phrases, sizes))
         (row,) = co.collocations(spark, None).collect()
     assert row["score"] == 1000 * 4 * 10 ** 12 * 7 * 10 ** 13 // (30 * 10 ** 24)
 
@@ -96,13 +145,11 @@ def test_other_columns_and_clashing_names(spark):
     assert sorted(tuple(r[c] for c in OUT) for r in got.collect()) == slow(docs, 4)
 
 
-def test_a_shard_is_mined_completely():
+def test_counts_are_merged():
     rng = np.random.default_rng(0)
-    a = rng.integers(0, 5, 3000).astype(np.int32)
-    for support in (1, 3, 20):
-        want = Counter()
-        for k in range(1, 5):
-            want.update(tuple(w) for i in range(len(a) - k + 1) if all(w := a[i:i + k].tolist()))
-        got = {tuple(a[p:p + k].tolist()): c for k, places, counts in co.mined(a, 5, support, 4)
-               for p, c in zip(places, counts)}
-        assert got == {p: c for p, c in want.items() if c >= support}
+    keys, counts = rng.integers(0, 50, 1000).astype(np.uint64), rng.integers(1, 9, 1000)
+    want = Counter()
+    for k, c in zip(keys.tolist(), counts.tolist()):
+        want[k] += c
+    got = co.merged_counts(keys, counts)
+    assert got[0].tolist() == sorted(want) and dict(zip(got[0].tolist(), got[1].tolist())) == want
