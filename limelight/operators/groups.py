@@ -50,6 +50,21 @@ def lookup_join(
     return joined.drop("_probe", "_build", "_key")
 
 
+def only_wanted(
+    df: DataFrame, wanted: DataFrame, key: str, wanted_key: str, most: int = 500_000
+) -> DataFrame:
+    """``df`` without rows that a later join on the key would drop, before any shuffle.
+
+    Up to ``most`` wanted keys are counted and broadcast, so that a ranking of the rest still
+    limits groups on the map side. With more, ``df`` is left as it is and the join that
+    follows drops the others. ``wanted`` is read twice; pass a stored one.
+    """
+    keys = wanted.select(F.col(wanted_key).alias(key)).dropna().distinct()
+    if keys.limit(most + 1).count() > most:
+        return df
+    return df.join(F.broadcast(keys), key, "left_semi")
+
+
 def first_hit_per_artist(hits: DataFrame) -> DataFrame:
     """Keep each artist's first discovery hit.
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..config import RELEASE_POSTS, RELEASE_WINDOW_DAYS, TOP_TRACKS
 from ..functions import text
-from .groups import first_n_per_group, lookup_join, spread_nulls
+from ..session import stored_once
+from .groups import first_n_per_group, lookup_join, only_wanted, spread_nulls
 from .posts import latest_posts
 
 POST_FIELDS = (
@@ -118,17 +119,18 @@ def song_records(
     tracks: DataFrame, search: DataFrame, videos: DataFrame, posts: DataFrame,
     on: dt.date | None = None,
 ) -> DataFrame:
-    """Final song rows; a track's release date is its video's publication date."""
+    """Final song rows; a track's release date is its video's publication date.
+
+    Posts are looked up for dated releases only, and only those of their artists are ranked:
+    the tracks with their videos are stored, so the posts can be cut to the handles.
+    """
     with_video = track_video(tracks.drop("release_date"), search, videos).withColumn(
         "release_date", F.col("youtube_published_date")
     )
-    # Posts are looked up for dated releases only.
-    with_post = release_posts(
-        with_video.withColumn(
-            "instagram_handle",
-            F.when(F.col("release_date").isNotNull(), text.handle_clean(F.col("instagram_handle"))),
-        ),
-        posts,
-    )
+    dated = stored_once(with_video.withColumn(
+        "instagram_handle",
+        F.when(F.col("release_date").isNotNull(), text.handle_clean(F.col("instagram_handle"))),
+    ), "dated-tracks")
+    with_post = release_posts(dated, only_wanted(posts, dated, "handle", "instagram_handle"))
     day = F.lit(on) if on else F.current_date()
     return with_post.withColumn("collection_date", day).select(*schemas.names(schemas.SONG))

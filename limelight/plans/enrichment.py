@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..operators import filters, matching, merge, posts as post_ops, songs, videos as video_ops
 from ..operators.discovery import discover
-from ..operators.groups import append_batch, lookup_join
+from ..operators.groups import append_batch, lookup_join, only_wanted
+from ..session import stored_once
 from ..sources import payloads
 from ..sources.tables import empty_source
 
@@ -40,12 +41,17 @@ def social_profiles(
     artists: DataFrame, search: DataFrame, channels: DataFrame, videos: DataFrame,
     profiles: DataFrame, posts: DataFrame,
 ) -> DataFrame:
-    """SOCIAL rows: resolve each artist's handle, then measure the profile."""
+    """SOCIAL rows: resolve each artist's handle, then measure the profile.
+
+    The resolved handles are stored, and only their posts are ranked.
+    """
     candidates = matching.handle_candidates(artists, search, channels, videos)
-    resolved = matching.resolve_handle(candidates, profiles).select(
+    resolved = stored_once(matching.resolve_handle(candidates, profiles).select(
         "artist_id", "artist_name", F.col("handle").alias("instagram_handle")
+    ), "resolved")
+    measured = post_ops.post_engagement(
+        only_wanted(posts, resolved, "handle", "instagram_handle"), profiles
     )
-    measured = post_ops.post_engagement(posts, profiles)
     return lookup_join(
         resolved, measured, "instagram_handle", "instagram_handle"
     ).select(*schemas.names(schemas.SOCIAL))
@@ -54,12 +60,16 @@ def social_profiles(
 def video_channels(
     artists: DataFrame, search: DataFrame, channels: DataFrame, videos: DataFrame
 ) -> DataFrame:
-    """VIDEO rows: best matching channel, its statistics and recent mean views."""
+    """VIDEO rows: best matching channel, its statistics and recent mean views.
+
+    The chosen channels are stored, and only their videos are ranked.
+    """
     best = matching.best_channel(
         matching.artist_channel_candidates(artists, search, channels)
     )
-    stats = video_ops.channel_stats(best, "artist_id", "artist_name")
-    return video_ops.with_recent_mean(stats, videos).select(*schemas.names(schemas.VIDEO))
+    stats = stored_once(video_ops.channel_stats(best, "artist_id", "artist_name"), "chosen")
+    wanted = only_wanted(videos, stats, "channel_id", "youtube_channel_id")
+    return video_ops.with_recent_mean(stats, wanted).select(*schemas.names(schemas.VIDEO))
 
 
 def song_catalogue(

@@ -11,6 +11,7 @@ from ..functions import metrics
 from ..functions.numeric import array_round, ratio
 from ..operators.filters import by_growth
 from ..operators.groups import first_n_per_group, score_order
+from ..session import stored_once
 
 TOP_COLUMNS = (
     "artist_name", "primary_genre", "priority_score", "underrated_ratio", "engagement_score",
@@ -263,8 +264,10 @@ def full_rank(
     A few artists picked by the hash of their id cut the order into ranges of about
     ``range_rows`` rows (or into ``ranges``). The cuts hold score and id, so equal or missing
     scores, however many, are cut as well. A row finds its range by binary search, and a
-    rank is the size of the ranges before plus the place within the range.
+    rank is the size of the ranges before plus the place within the range. The scored rows
+    are computed once, into the shared scratch folder, and read from there.
     """
+    scored = stored_once(scored, "rank-input")
     if ranges is None:
         ranges = -(-scored.count() // range_rows) or 1
     key = F.struct(

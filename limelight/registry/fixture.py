@@ -183,6 +183,37 @@ class Fixture:
     def raw(self) -> DataFrame:
         return merge_sources(self.listening, self.social, self.video, BATCH_TIME)
 
+    @cached_property
+    def arrivals(self) -> list[dict[str, DataFrame]]:
+        """Three batches of source rows, some of them late; artists go by their number."""
+        number = F.substring("artist_name", 10, 9).cast("bigint")
+        start = F.lit(BATCH_TIME.isoformat(sep=" ")).cast("timestamp")
+
+        def timed(df: DataFrame, hours: Column) -> DataFrame:
+            return df.withColumn(
+                "collection_timestamp", start + F.make_dt_interval(F.lit(0), hours.cast("int"))
+            )
+
+        more = F.col("lastfm_listeners") + 1000
+        return [
+            {
+                "listening": timed(self.listening, number % 3),
+                "social": timed(self.social.where(number % 4 != 1), F.lit(0)),
+            },
+            {
+                "listening": timed(
+                    self.listening.where(number % 2 == 0).withColumn("lastfm_listeners", more),
+                    (number + 1) % 3),
+                "video": timed(self.video, F.lit(0)),
+            },
+            {
+                "social": timed(self.social.where(number % 3 == 0).withColumn(
+                    "instagram_followers", F.col("instagram_followers") * 2), F.lit(1)),
+                "listening": timed(self.listening.where(number % 5 == 0).withColumn(
+                    "primary_genre", F.lit("jazz")), number % 4),
+            },
+        ]
+
     @cached_property
     def channels(self) -> DataFrame:
         totals = self.uploads.groupBy("k", "channel_id", "l_returnflag", "l_linestatus").agg(

@@ -220,6 +220,33 @@ CTES: dict[str, str] = {
       FROM fx_listening
       LEFT JOIN (SELECT artist_id, {SOCIAL_COLS} FROM fx_social) USING (artist_id)
       LEFT JOIN (SELECT artist_id, {VIDEO_COLS} FROM fx_video) USING (artist_id)""",
+    "fx_kept_listening": """
+      SELECT * EXCLUDE (hours, arrived) FROM (
+        SELECT *, CAST(substr(artist_name, 10) AS BIGINT) % 3 AS hours, 0 AS arrived FROM fx_listening
+        UNION ALL
+        SELECT * REPLACE (lastfm_listeners + 1000 AS lastfm_listeners),
+          (CAST(substr(artist_name, 10) AS BIGINT) + 1) % 3, 1 FROM fx_listening
+        WHERE CAST(substr(artist_name, 10) AS BIGINT) % 2 = 0
+        UNION ALL
+        SELECT * REPLACE ('jazz' AS primary_genre), CAST(substr(artist_name, 10) AS BIGINT) % 4, 2
+        FROM fx_listening WHERE CAST(substr(artist_name, 10) AS BIGINT) % 5 = 0)
+      QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY hours DESC, arrived DESC) = 1""",
+    "fx_kept_social": """
+      SELECT * EXCLUDE (arrived) FROM (
+        SELECT *, 0 AS arrived FROM fx_social WHERE CAST(substr(artist_name, 10) AS BIGINT) % 4 <> 1
+        UNION ALL
+        SELECT * REPLACE (instagram_followers * 2 AS instagram_followers), 1
+        FROM fx_social WHERE CAST(substr(artist_name, 10) AS BIGINT) % 3 = 0)
+      QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY arrived DESC) = 1""",
+    "fx_kept_raw": f"""
+      SELECT artist_id, artist_name, collection_date, lastfm_url, lastfm_listeners,
+        lastfm_playcount, lastfm_playcount_per_listener, genres, primary_genre,
+        {SOCIAL_COLS}, {VIDEO_COLS}, {QUALITY} AS data_quality_score,
+        collection_timestamp AS last_updated
+      FROM fx_kept_listening
+      LEFT JOIN (SELECT artist_id, {SOCIAL_COLS} FROM fx_kept_social) USING (artist_id)
+      LEFT JOIN (SELECT artist_id, {VIDEO_COLS} FROM fx_video) USING (artist_id)""",
+    "fx_kept_scored": _scoring("fx_kept_raw", config.TABLE),
     "fx_zero": """
       SELECT * REPLACE (
         coalesce(instagram_verified, false) AS instagram_verified,
@@ -263,6 +290,9 @@ CTES: dict[str, str] = {
         CASE WHEN region = 1 THEN 'Out now, follow @artist' || k || '!' ELSE lower(p_name) END AS description,
         views, likes, comments, strftime(day, '%Y-%m-%dT00:00:00Z') AS published_at, day
       FROM fx_upload JOIN part ON l_partkey = p_partkey JOIN fx_customer USING (k)""",
+    # how many titles there are is counted first: a subquery within the join would compare all pairs
+    "fx_titled_order": """
+      SELECT *, o_orderkey % (SELECT count(*) FROM part) AS title_key FROM orders""",
     "fx_chart": """
       SELECT 'tr' || o_orderkey AS track_id, o_orderkey, artist_id, artist_name,
         upper(left(p_name, 1)) || substr(split_part(p_name, ' ', 1), 2) || ' '
@@ -273,8 +303,8 @@ CTES: dict[str, str] = {
         1000000 - CAST(floor(o_totalprice) AS BIGINT) AS lastfm_rank,
         CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS release_date,
         instagram_handle
-      FROM orders
-      JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
+      FROM fx_titled_order
+      JOIN part ON p_partkey = title_key
       JOIN fx_customer ON o_custkey = fx_customer.k
       LEFT JOIN (SELECT k AS sk, 'artist' || k AS instagram_handle FROM fx_social_artist) ON o_custkey = sk""",
     "fx_track": """
@@ -528,6 +558,34 @@ BODIES: dict[str, str] = {
       FROM fx_scored WHERE growth_potential = 'High' ORDER BY {BY_SCORE} LIMIT 30""",
     "compact": LATEST,
     "refresh_merged": "SELECT * FROM fx_raw",
+    "refresh_changes": "SELECT * FROM fx_kept_raw",
+    "kept_scores": "SELECT * FROM fx_kept_scored",
+    "kept_genre_summary": """
+      SELECT primary_genre, count(*) AS artist_count, round(avg(priority_score), 6) AS avg_priority_score,
+        round(avg(underrated_ratio), 6) AS avg_underrated_ratio,
+        round(avg(engagement_score), 6) AS avg_engagement,
+        count(*) FILTER (growth_potential = 'High') AS high_growth_count,
+        round(avg(instagram_followers), 6) AS avg_instagram_followers,
+        round(avg(lastfm_listeners), 6) AS avg_lastfm_listeners
+      FROM fx_kept_scored GROUP BY primary_genre""",
+    "kept_growth_summary": """
+      SELECT growth_potential, count(artist_name) AS artist_count,
+        round_even(avg(priority_score) * 100, 0) / 100 AS avg_priority_score,
+        round_even(avg(underrated_ratio) * 100, 0) / 100 AS avg_underrated_ratio
+      FROM fx_kept_scored GROUP BY growth_potential""",
+    "kept_source_counts": """
+      WITH n AS (
+        SELECT count(*) AS everything,
+          count(*) FILTER (CAST(substr(artist_name, 10) AS BIGINT) % 2 = 0) AS halves,
+          count(*) FILTER (CAST(substr(artist_name, 10) AS BIGINT) % 5 = 0) AS fifths FROM fx_listening),
+      arrived AS (
+        SELECT 'listening' AS source, 0::BIGINT AS batch, everything AS n FROM n
+        UNION ALL SELECT 'listening', 1, halves FROM n
+        UNION ALL SELECT 'listening', 2, fifths FROM n
+        UNION ALL SELECT 'social', 0, count(*) FROM fx_social WHERE CAST(substr(artist_name, 10) AS BIGINT) % 4 <> 1
+        UNION ALL SELECT 'social', 2, count(*) FROM fx_social WHERE CAST(substr(artist_name, 10) AS BIGINT) % 3 = 0
+        UNION ALL SELECT 'video', 1, count(*) FROM fx_video)
+      SELECT source, batch, n, n - lag(n) OVER (PARTITION BY source ORDER BY batch) AS change FROM arrived""",
     "optional_source": """
       SELECT artist_id, instagram_followers, CAST(NULL AS VARCHAR) AS youtube_channel_id,
         CAST(NULL AS BIGINT) AS youtube_subscribers,
@@ -635,6 +693,8 @@ BODIES: dict[str, str] = {
     "by_min_listeners": f"SELECT {LISTED} FROM fx_listening WHERE lastfm_listeners >= 5000",
     "by_engagement": f"""
       SELECT {LISTED}, instagram_engagement_rate FROM fx_scored WHERE instagram_engagement_rate >= 3.0""",
+    "write_source_table": "SELECT * FROM fx_social",
+    "load_sources": "SELECT * FROM fx_scored",
     "merge_sources": "SELECT * FROM fx_raw",
     "attach_handles": f"""
       SELECT {LISTED}, instagram_handle FROM fx_listening

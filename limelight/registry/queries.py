@@ -18,7 +18,7 @@ from ..plans import enrichment, reports, scoring
 from ..plans.view import ArtistView
 from ..session import scratch_dir
 from ..sources import logs, payloads, sinks, tables
-from ..streaming import upsert
+from ..streaming import changes, upsert
 from .fixture import BATCH_TIME, Fixture
 
 BATCH_DATE = BATCH_TIME.date()
@@ -111,6 +111,25 @@ def write_raw_table(fx: Fixture) -> DataFrame:
     return fx.spark.table(name).select(*schemas.names(schemas.RAW))
 
 
+def write_source_table(fx: Fixture) -> DataFrame:
+    """A bucketed source table, replaced once."""
+    name, path = _external(fx, "social")
+    for rows in (fx.social.where("instagram_followers < 20000"), fx.social):
+        sinks.write_source_table(rows, name, 8, path)
+    return fx.spark.table(name)
+
+
+def load_sources(fx: Fixture) -> DataFrame:
+    """Scores that follow from three stored sources, written and merged by one call."""
+    name, path = _external(fx, "load")
+    tables_ = [f"{name}_{s}" for s in ("listening", "social", "video")]
+    sinks.load_sources(
+        fx.listening, fx.social, fx.video, tables_, f"{name}_raw", f"{name}_scores", 8, BATCH_TIME,
+        path,
+    )
+    return fx.spark.table(f"{name}_scores")
+
+
 def build_scores_table(fx: Fixture) -> DataFrame:
     name, path = _external(fx, "scores")
     sinks.build_scores_table(fx.raw, name, path=path)
@@ -200,6 +219,14 @@ def resume(fx: Fixture) -> DataFrame:
     )
 
 
+def kept_store(fx: Fixture) -> changes.MergedStore:
+    """The merged store after all arrivals, batch by batch."""
+    store = changes.MergedStore(fx.spark, scratch_dir(fx.spark, "kept"), buckets=16)
+    for number, batches in enumerate(fx.arrivals):
+        store.refresh(number, batches, BATCH_TIME)
+    return store
+
+
 def append_batch(fx: Fixture) -> DataFrame:
     late = F.col("batch") >= F.lit(SPLIT_DAY).cast("date")
     return groups.append_batch(
@@ -258,6 +285,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "read_log": read_log,
     "write_raw_table": write_raw_table,
     "build_scores_table": build_scores_table,
+    "write_source_table": write_source_table,
+    "load_sources": load_sources,
     # projections
     "artist_id": lambda fx: fx.table("customer").select(
         "c_custkey", metrics.artist_id(F.col("c_name")).alias("artist_id")),
@@ -428,6 +457,11 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "resume": resume,
     "compact": compact,
     "refresh_merged": refresh_merged,
+    "refresh_changes": lambda fx: kept_store(fx).merged(),
+    "kept_scores": lambda fx: kept_store(fx).scored(),
+    "kept_genre_summary": lambda fx: rounded(changes.kept_genre_summary(kept_store(fx).summary())),
+    "kept_growth_summary": lambda fx: changes.kept_growth_summary(kept_store(fx).summary()),
+    "kept_source_counts": lambda fx: changes.kept_source_counts(kept_store(fx).summary()),
     "log_events": lambda fx: logs.log_events(fx.log_lines).drop("line_ord"),
     "recent_log_events": lambda fx: logs.recent_log_events(
         logs.log_events(fx.log_lines)).drop("line_ord"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions and splits skewed join partitions, so
 # operators carry no partition counts of their own.
@@ -51,13 +51,47 @@ def _own_scratch(spark: SparkSession, base: str) -> str:
     return f"{base.rstrip('/')}/limelight/{spark.sparkContext.applicationId}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The store that holds a path, and the path as it names it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store holds it; a missing one is no error."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, hadoop = _file_system(spark, path)
     system.delete(hadoop, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop = _file_system(spark, path)
+    return system.exists(hadoop)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name within its store; raises when that fails."""
+    system, hadoop = _file_system(spark, path)
+    target = _file_system(spark, to)[1]
+    if not system.rename(hadoop, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is missing."""
+    system, hadoop = _file_system(spark, path)
+    if not system.exists(hadoop):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop) if s.isDirectory())
+
+
+def stored_once(df: DataFrame, label: str) -> DataFrame:
+    """``df`` computed once, written to the shared scratch folder and read from there."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all scratch data of this application, once its results have been read."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

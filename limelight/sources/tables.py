@@ -8,11 +8,21 @@ from pyspark.sql import types as T
 
 
 def _number(text: Column, kind: T.DataType) -> Column:
-    """Exact number from text; a whole-valued decimal such as 50000.0 is an integer."""
-    if isinstance(kind, T.IntegralType):
-        exact = text.try_cast("decimal(38,9)")
-        return F.when(exact == F.floor(exact), exact).try_cast(kind)
-    return text.try_cast(kind)
+    """Exact number from text; a whole-valued decimal such as 50000.0 is an integer.
+
+    Whether a value is whole is read off its digits, before any conversion could round: its
+    places behind the point, less trailing zeros, must be made up for by the exponent.
+    """
+    if not isinstance(kind, T.IntegralType):
+        return text.try_cast(kind)
+    form = r"^[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?$"
+    whole, behind = F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 2)
+    exponent = F.coalesce(F.regexp_extract(text, form, 3).try_cast("int"), F.lit(0))
+    digits = F.concat(whole, behind)
+    bare = F.rtrim(digits, F.lit("0"))
+    places = F.length(behind) - (F.length(digits) - F.length(bare)) - exponent
+    exact = (bare == "") | (places <= 0)
+    return F.when(exact, text.try_cast("decimal(38,9)")).try_cast(kind)
 
 
 def typed(text: Column, field: T.StructField, strict: bool = True) -> Column:

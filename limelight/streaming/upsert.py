@@ -3,14 +3,15 @@
 Each micro-batch is reduced to its newest row per key and written to a folder of its own,
 ``batch_id=N``. Writing a batch twice replaces that folder, so a restarted stream repeats
 its last batch without duplicates, and storing a batch costs what its size costs. Batch
-statistics, when asked for, also read (but do not move) the keys stored before. Readers
-take the newest row per key over all folders; ``compact`` bounds both reads.
+statistics, when asked for, ask the folders' key filters which folders can hold the batch's
+keys and read those only. Readers take the newest row per key over all folders; ``compact``
+bounds what they combine.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.groups import latest_per_key
 from ..operators.merge import merge_sources
+from ..session import folder_names
 from ..sources.tables import optional_source
+from .key_filter import known_keys, write_filter
 
 
 def stored_rows(
@@ -49,24 +52,38 @@ def compact(
     spark: SparkSession, target: str, schema: StructType, keys: Sequence[str],
     order: Sequence[str], new_snapshot: str, snapshot: str | None = None,
 ) -> None:
-    """Write the current rows as a new snapshot; batch folders it covers may then go."""
+    """Write the current rows as a new snapshot, with the filter of their keys.
+
+    Batch folders it covers may then go.
+    """
     current(spark, target, schema, keys, order, snapshot).write.mode("errorifexists").parquet(
         new_snapshot
     )
+    write_filter(spark.read.parquet(new_snapshot), keys, new_snapshot)
+
+
+def stored_folders(
+    spark: SparkSession, target: str, before: int, snapshot: str | None = None
+) -> dict[int, str]:
+    """Folders with the rows of batches before ``before``; a snapshot counts as batch -1."""
+    numbers = [int(n.partition("=")[2]) for n in folder_names(spark, target) if n.startswith("batch_id=")]
+    folders = {n: f"{target}/batch_id={n}" for n in numbers if n < before}
+    return folders if snapshot is None else {-1: snapshot, **folders}
 
 
 def batch_stats(
-    batch: DataFrame, stored: DataFrame, keys: Sequence[str], source: str
+    spark: SparkSession, batch: DataFrame, folders: Mapping[int, str], keys: Sequence[str],
+    source: str, visited: list[int] | None = None,
 ) -> DataFrame:
     """Rows, keys and previously unseen keys of one batch.
 
-    The stored keys are read, but only those that the batch holds as well are moved and
-    reduced: the semi-join's other side is the batch, which Spark broadcasts by its size.
+    ``folders`` hold the rows stored before. Only those are read that by their key filters
+    can hold a key of the batch, so a batch of new artists reads none.
     """
     per_key = batch.groupBy(*keys).agg(F.count("*").alias("n"))
-    wanted = per_key.select(*keys)
-    known = stored.select(*keys).join(wanted, list(keys), "left_semi")
-    seen = known.distinct().withColumn("_seen", F.lit(1))
+    seen = known_keys(spark, per_key.select(*keys), keys, folders, visited).withColumn(
+        "_seen", F.lit(1)
+    )
     return per_key.join(seen, list(keys), "left").agg(
         F.lit(source).alias("source"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("arrived"),
@@ -96,15 +113,13 @@ def stream_upsert(
     def fold(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if stats is not None:
-            earlier = stored_rows(session, target, schema, snapshot).where(
-                F.col("batch_id") < batch_id
-            )
-            batch_stats(batch, earlier, keys, source).write.mode("overwrite").parquet(
+            earlier = stored_folders(session, target, batch_id, snapshot)
+            batch_stats(session, batch, earlier, keys, source).write.mode("overwrite").parquet(
                 f"{stats}/batch={batch_id}"
             )
-        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(
-            f"{target}/batch_id={batch_id}"
-        )
+        folder = f"{target}/batch_id={batch_id}"
+        latest_per_key(batch, keys, order).write.mode("overwrite").parquet(folder)
+        write_filter(session.read.schema(schema).parquet(folder), keys, folder)
         if after_batch is not None:
             after_batch(batch_id)
 

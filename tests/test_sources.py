@@ -247,6 +247,84 @@ def test_a_failed_write_keeps_the_stored_table(spark, tmp_path):
         assert values(spark.table(name), "artist_id") == ["new"]
 
 
+def lost(df):
+    """The same rows, but computing them fails."""
+    return df.withColumn("artist_name", F.raise_error(F.lit("lost")).cast("string"))
+
+
+def test_a_report_that_fails_leaves_the_last_one(spark, rows, tmp_path):
+    path, report = str(tmp_path / "out" / "report"), rows("artist_id STRING, artist_name STRING", ("a", "A"))
+    sinks.write_report_csv(report, path)
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_report_csv(lost(report), path)
+    assert values(spark.read.option("header", True).csv(path)) == [("a", "A")]
+    sinks.write_report_csv(report.withColumn("artist_name", F.lit("B")), path)
+    assert values(spark.read.option("header", True).csv(path)) == [("a", "B")]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["report"]
+
+
+def test_a_source_table_survives_a_failed_write(spark, rows, tmp_path):
+    path, table = str(tmp_path / "social"), "social_survives"
+    first = rows("artist_id STRING, artist_name STRING", ("a", "A"), ("b", "B"))
+    sinks.write_source_table(first, table, 4, path)
+    old_rows = spark.table(table)
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_source_table(lost(first), table, 4, path)
+    assert values(spark.table(table)) == [("a", "A"), ("b", "B")]
+    assert len(list((tmp_path / "social").iterdir())) == 1  # nothing of the failed job is left
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(table)] == [table]
+    sinks.write_source_table(first.where("artist_id = 'a'"), table, 4, path)
+    assert values(old_rows) == [("a", "A"), ("b", "B")]  # readers of the last version can finish
+    assert values(spark.table(table)) == [("a", "A")]
+    sinks.write_source_table(first, table, 4, path)
+    assert len(list((tmp_path / "social").iterdir())) == 2
+    assert "4 buckets" in spark.sql(f"SHOW CREATE TABLE {table}").first()[0].lower().replace("into 4", "4")
+
+
+def test_a_crash_between_the_names_is_mended(spark, rows, tmp_path):
+    table, df = "crashed", rows("artist_id STRING, artist_name STRING", ("a", "A"))
+    sinks.write_source_table(df, table, path=str(tmp_path / "t"))
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__replaced")  # as far as the crash came
+    sinks.recover_table(spark, table)
+    assert values(spark.table(table)) == [("a", "A")]
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__replaced")
+    sinks.write_source_table(df.withColumn("artist_name", F.lit("B")), table, path=str(tmp_path / "t"))
+    assert values(spark.table(table)) == [("a", "B")]
+    assert not spark.catalog.tableExists(f"{table}__replaced")
+
+
+def test_three_sources_in_one_call(spark, tmp_path):
+    names = ["one_listening", "one_social", "one_video"]
+    listening = spark.createDataFrame(
+        [("a", "A", 9000, 1, 1.0, "", "jazz", "jazz", "uk_top", None, None)], schemas.LISTENING)
+    social = spark.createDataFrame(
+        [("a", "A", "h", 20_000, 1, 1, 1.0, 1.0, 2.0, 1, True)], schemas.SOCIAL)
+    video = spark.createDataFrame([], schemas.VIDEO)
+    sinks.load_sources(listening, social, video, names, "one_raw", "one_scores", 4, folder=str(tmp_path))
+    merged = spark.table(names[0]).join(spark.table(names[1]), "artist_id")
+    assert "hashpartitioning" not in plan(merged)
+    assert values(spark.table("one_scores"), "artist_id", "instagram_followers") == [("a", 20_000)]
+    with pytest.raises(Exception, match="lost"):
+        sinks.load_sources(lost(listening), social, video, names, "one_raw", "one_scores", 4, folder=str(tmp_path))
+    assert values(spark.table("one_raw"), "artist_name") == ["A"]
+
+
+@pytest.mark.parametrize("text, value", [
+    ("50000.0", 50_000), ("5e4", 50_000), ("-7.000", -7), ("50000e-1", 5000), ("1.25e2", 125),
+    ("5.0000000004", None), ("0.0000000000001", None), ("12.5", None), ("1.25e1", None), ("0e9", 0),
+    ("5.", 5), (".0", 0), ("9223372036854775807", 2 ** 63 - 1), ("9223372036854775807.0000000001", None),
+])
+def test_integers_are_read_exactly(spark, rows, text, value):
+    from pyspark.sql import types as T
+
+    field = T.StructField("n", T.LongType())
+    df = rows("n STRING", (text,))
+    assert values(df.select(tables.typed(F.col("n"), field, strict=False))) == [value]
+    if value is None:
+        with pytest.raises(Exception, match="n is no bigint"):
+            df.select(tables.typed(F.col("n"), field)).collect()
+
+
 def test_required_columns_are_enforced(spark):
     bad = merged(spark, "a").withColumn("artist_name", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="artist_name is required"):
