@@ -1,14 +1,13 @@
 """A quality classifier of compressed sizes.
 
-Two zstandard dictionaries are built, from pieces of good and of bad labelled texts. A
-text like the good ones compresses better with the first. The difference of its two sizes,
-divided by the larger, and its plain ratio go through a logistic calibration fitted on
-labelled texts.
+Two zstandard dictionaries are trained, from pieces of good and of bad labelled texts: as many
+pieces of either, so that the dictionaries are of one kind and size. A text like the good
+ones compresses better with the first. The difference of its two sizes, divided by the
+larger, goes through a logistic calibration fitted on labelled texts; nothing else does.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +20,7 @@ from pyspark.sql import types as T
 from .common import add_columns, labelled_ids, labelled_sample, map_batches, quoted, utf8
 
 PIECE = 2048  # bytes: a dictionary helps most at the start of what is compressed
+SAMPLE = 512  # bytes of a piece that dictionaries are trained from
 LEVEL = 3
 
 
@@ -30,28 +30,26 @@ class Model:
 
     good: bytes
     bad: bytes
-    weights: tuple[float, ...]
-    centre: tuple[float, ...]
-    scale: tuple[float, ...]
+    weights: tuple[float, float]
+    centre: float
+    scale: float
 
 
 class Sizes:
-    """Compressed sizes of a text with each dictionary and without one."""
+    """Compressed sizes of a text with each dictionary."""
 
     def __init__(self, good: bytes, bad: bytes) -> None:
-        def compressor(data: bytes | None):
-            options = {"level": LEVEL, "write_content_size": False, "write_dict_id": False}
-            if data:
-                shared = zstandard.ZstdCompressionDict(data)
-                shared.precompute_compress(level=LEVEL)
-                options["dict_data"] = shared
-            return zstandard.ZstdCompressor(**options)
-
-        self.each = [compressor(d) for d in (good, bad, None)]
-
-    def __call__(self, text: bytes) -> tuple[int, int, int]:
+        self.each = []
+        for data in (good, bad):
+            shared = zstandard.ZstdCompressionDict(data)
+            shared.precompute_compress(level=LEVEL)
+            self.each.append(zstandard.ZstdCompressor(
+                level=LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False
+            ))
+
+    def __call__(self, text: bytes) -> tuple[int, int]:
         """Sums over all pieces of the whole text."""
-        totals = [0, 0, 0]
+        totals = [0, 0]
         for start in range(0, len(text), PIECE):
             piece = text[start:start + PIECE]
             for k, c in enumerate(self.each):
@@ -59,24 +57,23 @@ class Sizes:
         return tuple(totals)
 
 
-def features(text: bytes, sizes: Sizes) -> tuple[float, float, float, float]:
-    """Normalised difference, its magnitude squared with sign, plain ratio, log length."""
+def difference(text: bytes, sizes: Sizes) -> float:
+    """How much larger the text is with the bad dictionary, of the larger size; 0 if empty."""
     if not text:
-        return 0.0, 0.0, 0.0, 0.0
-    good, bad, plain = sizes(text)
-    difference = (bad - good) / max(good, bad)
-    return difference, difference * abs(difference), plain / len(text), math.log1p(len(text)) / 10
+        return 0.0
+    good, bad = sizes(text)
+    return (bad - good) / max(good, bad)
 
 
 def pieces_of(df: DataFrame, text: str, label: str) -> DataFrame:
-    """(label, piece) for every ``PIECE`` bytes of every whole text."""
+    """(label, piece) for every ``SAMPLE`` bytes of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels, parts = [], []
             for value, body in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                for start in range(0, len(body), PIECE):
+                for start in range(0, len(body), SAMPLE):
                     labels.append(value)
-                    parts.append(body[start:start + PIECE])
+                    parts.append(body[start:start + SAMPLE])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(labels, pa.int32()), pa.array(parts, pa.binary())], names=["label", "piece"]
             )
@@ -85,11 +82,23 @@ def pieces_of(df: DataFrame, text: str, label: str) -> DataFrame:
     return map_batches(rows, run, "label int, piece binary")
 
 
-def train_dictionary(pieces: list[bytes], size: int) -> bytes:
-    """A zstandard dictionary; plain joined pieces where there are too few to train on."""
-    if sum(map(len, pieces)) < 4 * size or len(pieces) < 16:
-        return b"".join(pieces)[-size:]
-    return zstandard.train_dictionary(size, pieces, k=256, d=8).as_bytes()
+def train_dictionaries(good: list[bytes], bad: list[bytes], size: int) -> tuple[bytes, bytes] | None:
+    """Two dictionaries trained from equally many pieces, the first ones of either list.
+
+    They are of ``size`` bytes, or a quarter of the smaller class's pieces if that is less,
+    and equally long. None where the smaller class has too little text to train from.
+    """
+    n = min(len(good), len(bad))
+    classes = good[:n], bad[:n]
+    size = min(size, min(sum(map(len, c)) for c in classes) // 4)
+    try:
+        made = [zstandard.train_dictionary(size, c, k=64, d=8).as_bytes() for c in classes]
+        while len(made[0]) != len(made[1]):  # the trainer may use less than it is given
+            size = min(map(len, made))
+            made = [zstandard.train_dictionary(size, c, k=64, d=8).as_bytes() for c in classes]
+    except zstandard.ZstdError:
+        return None
+    return made[0], made[1]
 
 
 def logistic(
@@ -116,10 +125,11 @@ def logistic(
 
 def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label",
-    id_col: str = "doc_id", documents: int = 3000, pieces: int = 2000,
+    id_col: str = "doc_id", documents: int = 3000, pieces: int = 8000,
     dictionary_bytes: int = 64 << 10,
 ) -> Model | None:
-    """Fit on a bounded sample of labelled rows; None if a class is missing in either half.
+    """Fit on a bounded sample of labelled rows; None if a class is missing in either half,
+    or has too little text for a dictionary (a few pieces of ``SAMPLE`` bytes).
 
     At most ``documents`` of either label are used, those with the smallest hashes of their
     ids, halved by another hash between dictionaries and calibration. ``pieces`` bounds the
@@ -140,36 +150,42 @@ def train(
             .orderBy(F.xxhash64("piece"), "piece").limit(pieces).collect()
         )
         samples[value] = [bytes(r["piece"]) for r in picked]
-    if not samples[0] or not samples[1]:
+    made = train_dictionaries(samples[1], samples[0], dictionary_bytes)
+    if made is None:
         return None
-    good, bad = (train_dictionary(samples[v], dictionary_bytes) for v in (1, 0))
-    seen = with_features(rows.where(half == 1), good, bad).select(
-        "id", F.col("label").alias("y"), "__f"
-    ).orderBy("id", "__f").collect()  # four numbers of each sampled text
+    seen = with_difference(rows.where(half == 1), *made).select(
+        "id", F.col("label").alias("y"), "__difference"
+    ).orderBy("id", "__difference").collect()  # two numbers of each sampled text
     y = np.array([r["y"] for r in seen], float)
     if len(set(y)) < 2:
         return None
     known = labelled_ids(docs, labels, text, label, id_col).groupBy("label").count().collect()
     stands_for = {r["label"]: max(1.0, r["count"] / documents) for r in known}
-    counts = np.array([stands_for[r["y"]] for r in seen])
-    raw = np.array([r["__f"] for r in seen], float)
-    centre = np.average(raw, axis=0, weights=counts)
-    scale = np.sqrt(np.average((raw - centre) ** 2, axis=0, weights=counts))
-    scale[scale == 0] = 1
+    raw = np.array([r["__difference"] for r in seen])
+    return Model(*made, *calibrated(raw, y, np.array([stands_for[r["y"]] for r in seen])))
+
+
+def calibrated(
+    raw: np.ndarray, y: np.ndarray, counts: np.ndarray
+) -> tuple[tuple[float, float], float, float]:
+    """(bias and weight, centre, scale) of a logistic regression on one number."""
+    centre = float(np.average(raw, weights=counts))
+    scale = float(np.sqrt(np.average((raw - centre) ** 2, weights=counts))) or 1.0
     x = np.c_[np.ones(len(y)), (raw - centre) / scale]
-    return Model(good, bad, tuple(logistic(x, y, counts=counts)), tuple(centre), tuple(scale))
+    bias, weight = logistic(x, y, counts=counts)
+    return (float(bias), float(weight)), centre, scale
 
 
-def with_features(df: DataFrame, good: bytes, bad: bytes, text: str = "text") -> DataFrame:
-    """``df`` with the features of every whole text in the column __f."""
+def with_difference(df: DataFrame, good: bytes, bad: bytes, text: str = "text") -> DataFrame:
+    """``df`` with the normalised size difference of every whole text in __difference."""
     def factory():
         sizes = Sizes(good, bad)
 
         def compute(column: pa.Array):
-            return [[list(features(t, sizes)) for t in utf8(column)]]
+            return [[difference(t, sizes) for t in utf8(column)]]
         return compute
 
-    field = T.StructField("__f", T.ArrayType(T.DoubleType()))
+    field = T.StructField("__difference", T.DoubleType())
     return add_columns(df, [text], T.StructType([field]), factory)
 
 
@@ -194,9 +210,10 @@ def score(
             if model is None:
                 scores = np.full(len(column), 0.5)
             else:
-                raw = np.array([features(t, sizes) for t in utf8(column)], float).reshape(-1, 4)
-                x = np.c_[np.ones(len(raw)), (raw - model.centre) / model.scale]
-                scores = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
+                raw = np.array([difference(t, sizes) for t in utf8(column)], float)
+                bias, weight = model.weights
+                z = bias + weight * (raw - model.centre) / model.scale
+                scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             return [scores.tolist(), (scores >= threshold).astype(int).tolist()]
         return compute
 
