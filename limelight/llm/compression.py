@@ -1,9 +1,11 @@
 """A quality classifier of compressed sizes.
 
-Two zstandard dictionaries are trained, from pieces of good and of bad labelled texts: as many
-pieces of either, so that the dictionaries are of one kind and size. A text like the good
-ones compresses better with the first. The difference of its two sizes, divided by the
+Zstandard dictionaries are trained in pairs, from pieces of good and of bad labelled texts: as
+many pieces of either, so that both are of one kind and size. A text like the good ones
+compresses better with the first of a pair. The difference of its two sizes, divided by the
 larger, goes through a logistic calibration fitted on labelled texts; nothing else does.
+The labelled texts are halved, each half trains a pair, and the calibration sees every text
+with the pair that did not; new texts are compressed with both.
 """
 
 from __future__ import annotations
@@ -19,67 +21,76 @@ from pyspark.sql import types as T
 
 from .common import add_columns, labelled_ids, labelled_sample, map_batches, quoted, utf8
 
-PIECE = 2048  # bytes: a dictionary helps most at the start of what is compressed
-SAMPLE = 512  # bytes of a piece that dictionaries are trained from
-LEVEL = 3
+PIECE = 512  # bytes: a dictionary helps most at the start of what is compressed
+LEVEL = 1
 
 
 @dataclass
 class Model:
-    """Dictionaries, and the weights of the calibration (bias first)."""
+    """Pairs of dictionaries (good, bad), and the weights of the calibration (bias first)."""
 
-    good: bytes
-    bad: bytes
+    pairs: tuple[tuple[bytes, bytes], ...]
     weights: tuple[float, float]
     centre: float
     scale: float
 
 
 class Sizes:
-    """Compressed sizes of a text with each dictionary."""
+    """Compressed sizes of a text with good and with bad dictionaries."""
 
-    def __init__(self, good: bytes, bad: bytes) -> None:
+    def __init__(self, pairs: tuple[tuple[bytes, bytes], ...]) -> None:
         self.each = []
-        for data in (good, bad):
-            shared = zstandard.ZstdCompressionDict(data)
-            shared.precompute_compress(level=LEVEL)
-            self.each.append(zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False
-            ))
+        for pair in pairs:
+            for kind, data in enumerate(pair):
+                shared = zstandard.ZstdCompressionDict(data)
+                shared.precompute_compress(level=LEVEL)
+                self.each.append((kind, zstandard.ZstdCompressor(
+                    level=LEVEL, dict_data=shared, write_content_size=False, write_dict_id=False
+                )))
 
     def __call__(self, text: bytes) -> tuple[int, int]:
-        """Sums over all pieces of the whole text."""
+        """Sums over all pieces of the whole text and all pairs."""
         totals = [0, 0]
         for start in range(0, len(text), PIECE):
             piece = text[start:start + PIECE]
-            for k, c in enumerate(self.each):
-                totals[k] += len(c.compress(piece))
+            for kind, c in self.each:
+                totals[kind] += len(c.compress(piece))
         return tuple(totals)
 
 
 def difference(text: bytes, sizes: Sizes) -> float:
-    """How much larger the text is with the bad dictionary, of the larger size; 0 if empty."""
+    """How much larger the text is with bad dictionaries, of the larger size; 0 if empty."""
     if not text:
         return 0.0
     good, bad = sizes(text)
     return (bad - good) / max(good, bad)
 
 
-def pieces_of(df: DataFrame, text: str, label: str) -> DataFrame:
-    """(label, piece) for every ``SAMPLE`` bytes of every whole text."""
+def pieces_of(df: DataFrame) -> DataFrame:
+    """(id, half, label, place, piece) for every ``PIECE`` bytes of every whole text.
+
+    A piece that a text repeats comes once, so no text of repetitions fills a dictionary.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, parts = [], []
-            for value, body in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                for start in range(0, len(body), SAMPLE):
-                    labels.append(value)
-                    parts.append(body[start:start + SAMPLE])
+            row, places, parts = [], [], []
+            for i, body in enumerate(utf8(batch.column(3))):
+                first = {}
+                for start in range(0, len(body), PIECE):
+                    first.setdefault(body[start:start + PIECE], start)
+                row += [i] * len(first)
+                places += first.values()
+                parts += first
+            taken = [batch.column(k).take(pa.array(row, pa.int64())) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), pa.array(parts, pa.binary())], names=["label", "piece"]
+                [*taken, pa.array(places, pa.int64()), pa.array(parts, pa.binary())],
+                names=["id", "half", "label", "place", "piece"],
             )
 
-    rows = df.select(quoted(label).cast("int").alias("label"), quoted(text).alias("text"))
-    return map_batches(rows, run, "label int, piece binary")
+    rows = df.select("id", "half", "label", "text")
+    return map_batches(
+        rows, run, f"id {rows.schema['id'].dataType.simpleString()}, half int, label int, place bigint, piece binary"
+    )
 
 
 def train_dictionaries(good: list[bytes], bad: list[bytes], size: int) -> tuple[bytes, bytes] | None:
@@ -126,43 +137,48 @@ def logistic(
 def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label",
     id_col: str = "doc_id", documents: int = 3000, pieces: int = 8000,
-    dictionary_bytes: int = 64 << 10,
+    dictionary_bytes: int = 112 << 10,
 ) -> Model | None:
     """Fit on a bounded sample of labelled rows; None if a class is missing in either half,
-    or has too little text for a dictionary (a few pieces of ``SAMPLE`` bytes).
+    or has too little text for a dictionary (a few pieces of ``PIECE`` bytes).
 
     At most ``documents`` of either label are used, those with the smallest hashes of their
-    ids, halved by another hash between dictionaries and calibration. ``pieces`` bounds the
-    pieces of each class that a dictionary is built from: those with the smallest hashes, so
-    they come from all over the texts. The sample is the same in every run.
+    ids, halved by another hash. ``pieces`` bounds the pieces of each half and class that a
+    dictionary is built from: those whose id and place have the smallest hashes, so they
+    come from all over the texts. The sample is the same in every run.
 
     The calibration counts each sampled text as the documents of its label that it stands
     for, so scores keep to the labels' true shares when only one of them is cut to
     ``documents``, or both are.
     """
-    rows = labelled_sample(docs, labels, documents, True, text, label, id_col)
-    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
-    cut = pieces_of(rows.where(half == 0), "text", "label")
-    samples = {}
-    for value in (0, 1):
-        picked = (
-            cut.where(F.col("label") == value)
-            .orderBy(F.xxhash64("piece"), "piece").limit(pieces).collect()
-        )
-        samples[value] = [bytes(r["piece"]) for r in picked]
-    made = train_dictionaries(samples[1], samples[0], dictionary_bytes)
-    if made is None:
-        return None
-    seen = with_difference(rows.where(half == 1), *made).select(
-        "id", F.col("label").alias("y"), "__difference"
-    ).orderBy("id", "__difference").collect()  # two numbers of each sampled text
-    y = np.array([r["y"] for r in seen], float)
-    if len(set(y)) < 2:
-        return None
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)).cast("int")
+    rows = labelled_sample(docs, labels, documents, True, text, label, id_col).withColumn("half", half)
+    cut = pieces_of(rows)
+    order = F.xxhash64("id", "place")
+    pairs = []
+    for number in (0, 1):
+        samples = {}
+        for value in (0, 1):
+            picked = (
+                cut.where((F.col("half") == number) & (F.col("label") == value))
+                .orderBy(order, "id", "place").limit(pieces).select("piece").collect()
+            )
+            samples[value] = [bytes(r["piece"]) for r in picked]
+        made = train_dictionaries(samples[1], samples[0], dictionary_bytes)
+        if made is None:
+            return None
+        pairs.append(made)
+    seen = []  # two numbers of each sampled text
+    for number, pair in enumerate(pairs):
+        others = rows.where(F.col("half") != number)
+        seen += with_difference(others, (pair,)).select(
+            F.col("label").alias("y"), "__difference"
+        ).orderBy("id", "__difference").collect()
     known = labelled_ids(docs, labels, text, label, id_col).groupBy("label").count().collect()
     stands_for = {r["label"]: max(1.0, r["count"] / documents) for r in known}
     raw = np.array([r["__difference"] for r in seen])
-    return Model(*made, *calibrated(raw, y, np.array([stands_for[r["y"]] for r in seen])))
+    y = np.array([r["y"] for r in seen], float)
+    return Model(tuple(pairs), *calibrated(raw, y, np.array([stands_for[r["y"]] for r in seen])))
 
 
 def calibrated(
@@ -176,10 +192,12 @@ def calibrated(
     return (float(bias), float(weight)), centre, scale
 
 
-def with_difference(df: DataFrame, good: bytes, bad: bytes, text: str = "text") -> DataFrame:
+def with_difference(
+    df: DataFrame, pairs: tuple[tuple[bytes, bytes], ...], text: str = "text"
+) -> DataFrame:
     """``df`` with the normalised size difference of every whole text in __difference."""
     def factory():
-        sizes = Sizes(good, bad)
+        sizes = Sizes(pairs)
 
         def compute(column: pa.Array):
             return [[difference(t, sizes) for t in utf8(column)]]
@@ -204,7 +222,7 @@ def score(
     ])
 
     def factory():
-        sizes = Sizes(model.good, model.bad) if model else None
+        sizes = Sizes(model.pairs) if model else None
 
         def compute(column: pa.Array):
             if model is None:
