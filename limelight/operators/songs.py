@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schemas
 from ..config import RELEASE_POSTS, RELEASE_WINDOW_DAYS, TOP_TRACKS
@@ -79,16 +79,86 @@ def _recent_posts_by_handle(posts: DataFrame, newest: int) -> DataFrame:
     return ranked.groupBy("handle").agg(F.array_sort(F.collect_list(entry)).alias("recent"))
 
 
+#: Bin of posts without a date, before all others.
+UNDATED = -(1 << 31)
+
+
+def _binned_posts(posts: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Posts with their bin of ``width`` days and their rank among all of the handle's, newest
+    first; and the bins of each handle.
+
+    Ranks are counted within bins, after the posts of the handle's later bins, so a handle
+    with very many posts is not one group.
+    """
+    day = F.unix_date("post_date")
+    binned = posts.select(
+        "handle", "shortcode", "post_date", "likes", "comments", "caption"
+    ).withColumn("_bin", F.coalesce(F.floor(day / width), F.lit(UNDATED)).cast("bigint"))
+    sizes = binned.groupBy("handle", "_bin").agg(F.count("*").alias("_size"))
+    later = Window.partitionBy("handle").orderBy(F.desc("_bin"))
+    bins = sizes.select(
+        "handle", "_bin", (F.sum("_size").over(later) - F.col("_size")).alias("_newer")
+    )
+    within = F.row_number().over(
+        Window.partitionBy("handle", "_bin").orderBy(F.desc("post_date"), F.asc("shortcode"))
+    )
+    ranked = binned.withColumn("_within", within).join(bins, ["handle", "_bin"]).withColumn(
+        "post_rank", (F.col("_newer") + F.col("_within")).cast("int")
+    )
+    return ranked.drop("_within", "_newer"), bins.select("handle", "_bin")
+
+
+def _release_posts_of_all(tracks: DataFrame, posts: DataFrame, window_days: int) -> DataFrame:
+    """``release_posts`` over all posts of a profile, by an interval join.
+
+    A release's days lie in at most two bins as wide as the window, a post in one, so every
+    pair is met once, in the post's bin; a track without a date visits all bins of its
+    handle. What matches is reduced to the newest post per track before it is shuffled.
+    """
+    width = 2 * window_days + 1
+    ranked, bins = _binned_posts(posts, width)
+    wanted = tracks.where(F.col("instagram_handle").isNotNull()).select(
+        "track_id", F.col("instagram_handle").alias("handle"),
+        F.lower("track_name").alias("_title"), text.caption_words(F.col("track_name")).alias("_words"),
+        F.unix_date("release_date").alias("_day"),
+    )
+    edge = lambda days: F.floor((F.col("_day") + days) / width).cast("bigint")
+    dated = wanted.where("_day IS NOT NULL").withColumn(
+        "_bin", F.explode(F.sequence(edge(-window_days), edge(window_days)))
+    )
+    undated = wanted.where("_day IS NULL").join(bins, "handle").select(*dated.columns)
+    near = F.col("_day").isNull() | (F.abs(F.unix_date("post_date") - F.col("_day")) <= window_days)
+    fits = text.caption_has(
+        F.lower(F.coalesce("caption", F.lit(""))), F.col("_title"), F.col("_words")
+    )
+    t, p = dated.unionByName(undated).alias("t"), ranked.alias("p")
+    found = t.join(
+        p, (F.col("t.handle") == F.col("p.handle")) & (F.col("t._bin") == F.col("p._bin")) & near & fits
+    ).groupBy("track_id").agg(F.min(F.struct(
+        F.col("post_rank").alias("instagram_post_rank"),
+        F.col("shortcode").alias("instagram_post_id"),
+        F.col("post_date").alias("instagram_post_date"), F.col("likes").alias("instagram_likes"),
+        F.col("comments").alias("instagram_comments"),
+        text.caption_excerpt(F.col("caption")).alias("instagram_caption"),
+    )).alias("_post"))
+    return tracks.join(found, "track_id", "left").select(*tracks.columns, "_post.*").withColumn(
+        "instagram_url", text.post_url(F.col("instagram_post_id"))
+    ).select(*tracks.columns, *POST_FIELDS)
+
+
 def release_posts(
-    tracks: DataFrame, posts: DataFrame, newest: int = RELEASE_POSTS,
+    tracks: DataFrame, posts: DataFrame, newest: int | None = RELEASE_POSTS,
     window_days: int = RELEASE_WINDOW_DAYS,
 ) -> DataFrame:
     """Each track with the newest matching post of its artist, NULL when none matches.
 
     Only the newest posts of a profile are searched. They are folded into one short array
     per handle, so every track meets one row in an equi-join and no track/post pairs are
-    produced. A track without a release date is matched on the caption alone.
+    produced. A track without a release date is matched on the caption alone. With
+    ``newest=None`` all posts are searched; tracks then need distinct ids.
     """
+    if newest is None:
+        return _release_posts_of_all(tracks, posts, window_days)
     by_handle = _recent_posts_by_handle(posts, newest)
     keyed = tracks.withColumns({
         "_handle": spread_nulls(F.col("instagram_handle"), F.col("track_id")),

@@ -211,16 +211,41 @@ def quota_estimate(artists: DataFrame) -> DataFrame:
     )
 
 
+def _spent_in_ranges(costed: DataFrame) -> DataFrame:
+    """``spent``, the units of a day up to each attempt, for days of any length.
+
+    Attempts are sorted into ranges by day and order, which Spark samples so that they are
+    of like size, and stored with their range. A day's units before a range are the sums of
+    its earlier ranges, a few rows a day; a window adds those within the range.
+    """
+    ranged = stored_once(
+        costed.repartitionByRange("collection_date", "attempt_ord")
+        .withColumn("_range", F.spark_partition_id()), "quota-ranges",
+    )
+    by_day = Window.partitionBy("collection_date").orderBy("_range")
+    before = ranged.groupBy("collection_date", "_range").agg(F.sum("units").alias("_units")).select(
+        "collection_date", "_range", (F.sum("_units").over(by_day) - F.col("_units")).alias("_before")
+    )
+    within = F.sum("units").over(
+        Window.partitionBy("collection_date", "_range").orderBy("attempt_ord")
+    )
+    return ranged.withColumn("_within", within).join(
+        before, ["collection_date", "_range"]
+    ).withColumn("spent", F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")
+
+
 def quota_prefix(
-    attempts: DataFrame, stop: int = config.QUOTA_STOP, search: int = config.QUOTA_SEARCH
+    attempts: DataFrame, stop: int = config.QUOTA_STOP, search: int = config.QUOTA_SEARCH,
+    in_one_task: int = 100_000,
 ) -> DataFrame:
     """Attempts that run before each day's request budget stops the collection.
 
     ``attempts`` holds (collection_date, attempt_ord, artist_id, matched, accepted). Each
     attempt costs at least one search, so the budget is crossed within the first
-    ``stop / search + 1`` attempts and only those enter the running sum, however many a
-    day holds. The collection stops at the first attempt from there on whose channel was
-    not rejected, since rejected channels skip the check.
+    ``stop / search + 1`` attempts of a day. Up to ``in_one_task`` of them are cut off and
+    summed up in one task; a larger budget is summed up in ranges. The collection stops at
+    the first attempt from there on whose channel was not rejected, since rejected channels
+    skip the check.
     """
     cost = (
         F.lit(search)
@@ -228,13 +253,17 @@ def quota_prefix(
         + F.when(F.col("matched") & F.col("accepted"), config.QUOTA_VIDEOS).otherwise(0)
     )
     costed = attempts.withColumn("units", cost.cast("bigint"))
-    early = first_n_per_group(
-        costed, ["collection_date"], [F.asc("attempt_ord")], stop // search + 1
-    )
-    running = F.sum("units").over(Window.partitionBy("collection_date").orderBy("attempt_ord"))
+    needed = stop // search + 1
+    if needed <= in_one_task:
+        running = F.sum("units").over(Window.partitionBy("collection_date").orderBy("attempt_ord"))
+        spent = first_n_per_group(
+            costed, ["collection_date"], [F.asc("attempt_ord")], needed
+        ).withColumn("spent", running)
+    else:
+        spent = _spent_in_ranges(costed)
     # one row per calendar day, so both broadcasts are bounded by the calendar
     crossing = (
-        early.withColumn("spent", running).where(F.col("spent") > stop)
+        spent.where(F.col("spent") > stop)
         .groupBy("collection_date").agg(F.min("attempt_ord").alias("crossed_at"))
     )
     rejected = F.col("matched") & ~F.col("accepted")

@@ -329,6 +329,16 @@ CTES: dict[str, str] = {
       WHERE (release_date IS NULL OR abs(date_diff('day', release_date, post_date)) <= 30)
         AND {_caption_match('caption', 'track_name')}
       QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY post_rank) = 1""",
+    "fx_release_post_all": f"""
+      SELECT track_id, post_rank AS instagram_post_rank, shortcode AS instagram_post_id,
+        CAST(post_date AS VARCHAR) AS instagram_post_date, likes AS instagram_likes,
+        comments AS instagram_comments, left(caption, 200) AS instagram_caption,
+        'https://www.instagram.com/p/' || shortcode || '/' AS instagram_url
+      FROM fx_chart JOIN (SELECT *, row_number() OVER ({NEWEST_POST}) AS post_rank FROM fx_post)
+        ON instagram_handle = handle
+      WHERE (release_date IS NULL OR abs(date_diff('day', release_date, post_date)) <= 30)
+        AND {_caption_match('caption', 'track_name')}
+      QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY post_rank) = 1""",
     "fx_song": f"""
       WITH dated AS MATERIALIZED (
         SELECT c.artist_name, c.track_name, c.lastfm_playcount, c.lastfm_listeners, c.lastfm_url,
@@ -711,6 +721,8 @@ BODIES: dict[str, str] = {
       FROM fx_chart c LEFT JOIN fx_track_video v USING (track_id)""",
     "release_posts": f"""
       SELECT track_id, track_name, {RELEASE_COLS} FROM fx_chart LEFT JOIN fx_release_post USING (track_id)""",
+    "release_posts_all": f"""
+      SELECT track_id, track_name, {RELEASE_COLS} FROM fx_chart LEFT JOIN fx_release_post_all USING (track_id)""",
     "song_records": "SELECT * FROM fx_song",
     "genre_summary": """
       SELECT primary_genre, count(*) AS artist_count, round(avg(priority_score), 6) AS avg_priority_score,
@@ -814,6 +826,21 @@ BODIES: dict[str, str] = {
       SELECT {LISTED} FROM fx_scored
       ORDER BY (instagram_followers IS NOT NULL AND youtube_subscribers IS NOT NULL) DESC, {BY_SCORE} LIMIT 1""",
     "top_tracks": "SELECT artist_id, track_id, lastfm_rank FROM fx_track",
+    "payload_account": """
+      WITH a AS (SELECT count(*) AS n, count(*) FILTER (balance < 0 AND segment = 'MACHINERY') AS unreadable,
+          count(*) FILTER (balance < 0 AND segment = 'FURNITURE') AS broken FROM fx_artist),
+      c AS (SELECT count(*) AS n, count(*) FILTER (bad) AS broken
+            FROM (SELECT artist_id, bool_or(views % 97 = 0) AS bad FROM fx_channel GROUP BY artist_id)),
+      v AS (SELECT count(*) AS n, count(*) FILTER (views % 89 = 0) AS broken FROM fx_channel_video)
+      SELECT 'artist_info' AS kind, n AS payloads, n - unreadable - broken AS accepted, unreadable,
+        0::BIGINT AS incomplete, broken FROM a
+      UNION ALL SELECT 'channels', n, n - broken, 0, 0, broken FROM c
+      UNION ALL SELECT 'videos', n, n - broken, 0, 0, broken FROM v""",
+    "payload_rejects": """
+      SELECT query_name, 'accepted' AS fate FROM fx_info
+      UNION ALL
+      SELECT artist_name, CASE segment WHEN 'MACHINERY' THEN 'unreadable' ELSE 'broken number' END
+      FROM fx_artist WHERE balance < 0 AND segment IN ('MACHINERY', 'FURNITURE')""",
     "quota_prefix": """
       WITH s AS (SELECT *, sum(units) OVER (PARTITION BY collection_date ORDER BY attempt_ord) AS spent FROM fx_attempt),
       stop AS (SELECT collection_date, min(attempt_ord) AS stopped_at FROM s
@@ -907,6 +934,9 @@ def _needed(body: str) -> list[str]:
     return ordered
 
 
+BODIES["quota_prefix_ranges"] = BODIES["quota_prefix"]
+
+
 def statement(body: str) -> str:
     relations = ",\n".join(f"{name} AS ({CTES[name]})" for name in _needed(body))
     return f"WITH {relations}\nSELECT * FROM ({body})" if relations else body

@@ -149,6 +149,29 @@ def read_log(fx: Fixture) -> DataFrame:
     return logs.log_events(logs.read_log(fx.spark, path)).drop("line_ord")
 
 
+def _rejects(fx: Fixture, kind: str) -> tuple[DataFrame, DataFrame, dict]:
+    bodies = {"artist_info": fx.info_payloads, "channels": fx.channel_payloads, "videos": fx.video_payloads}
+    return payloads.split_rejects(bodies[kind], kind, scratch_dir(fx.spark, kind))
+
+
+def payload_account(fx: Fixture) -> DataFrame:
+    """Payloads accepted and rejected by cause, observed while they are written."""
+    rows = []
+    for kind in ("artist_info", "channels", "videos"):
+        _, _, counts = _rejects(fx, kind)
+        rows.append((kind, *[counts[c] for c in ("payloads", "accepted", "unreadable", "incomplete", "broken_number")]))
+    return fx.spark.createDataFrame(
+        rows, "kind string, payloads bigint, accepted bigint, unreadable bigint, incomplete bigint, broken bigint"
+    )
+
+
+def payload_rejects(fx: Fixture) -> DataFrame:
+    """Artists whose payloads were rejected, and how many rows the accepted ones give."""
+    accepted, rejected, _ = _rejects(fx, "artist_info")
+    parsed = payloads.parse_artist_info(accepted).select("query_name", F.lit("accepted").alias("fate"))
+    return parsed.unionByName(rejected.select("query_name", F.col("fault").alias("fate")))
+
+
 # --- incremental ---------------------------------------------------------------------
 
 
@@ -383,6 +406,8 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
         fx.chart.select("track_id", "artist_id"), fx.video_search, fx.videos),
     "release_posts": lambda fx: songs.release_posts(fx.chart, fx.posts).select(
         "track_id", "track_name", *songs.POST_FIELDS),
+    "release_posts_all": lambda fx: songs.release_posts(fx.chart, fx.posts, newest=None).select(
+        "track_id", "track_name", *songs.POST_FIELDS),
     "song_records": lambda fx: songs.song_records(
         fx.tracks, fx.video_search, fx.videos, fx.posts, BATCH_DATE),
     # aggregations
@@ -432,6 +457,9 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "top_tracks": lambda fx: songs.top_tracks(fx.chart).select(
         "artist_id", "track_id", "lastfm_rank"),
     "quota_prefix": lambda fx: reports.quota_prefix(fx.attempts),
+    "quota_prefix_ranges": lambda fx: reports.quota_prefix(fx.attempts, in_one_task=0),
+    "payload_account": payload_account,
+    "payload_rejects": payload_rejects,
     "first_matching_post": lambda fx: songs.first_matching_post(fx.tracks, fx.posts).select(
         "track_id", "instagram_post_rank", "instagram_post_id"),
     # top-k, limits, sets

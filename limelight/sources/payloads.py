@@ -10,7 +10,8 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import SEARCH_TAGS, TOP_TRACKS
@@ -43,6 +44,127 @@ def _parsed(payloads: DataFrame, schema: str) -> DataFrame:
     return payloads.select(*others, F.explode(body).alias("p"))
 
 
+#: Why a payload gives no row; the first that applies.
+UNREADABLE, INCOMPLETE, BROKEN = "unreadable", "incomplete", "broken number"
+
+
+def artist_info_fault(p: Column) -> Column:
+    """Why a parsed artist payload is rejected, or NULL."""
+    artist = p["artist"]
+    numbers = (_listed(artist["stats"], "listeners"), _listed(artist["stats"], "playcount"))
+    return (
+        F.when(artist.isNull(), UNREADABLE)
+        .when(artist["name"].isNull() | _unnamed_tag(artist), INCOMPLETE)
+        .when(reduce(or_, [n.isNull() for n in numbers]), BROKEN)
+    )
+
+
+def top_tracks_fault(p: Column) -> Column:
+    """Why a parsed track chart is rejected, or NULL."""
+    track = p["toptracks"]["track"]
+    return (
+        F.when(track.isNull(), UNREADABLE)
+        .when(F.exists(track, lambda t: t["name"].isNull()), INCOMPLETE)
+        .when(F.exists(track, lambda t: (
+            _count(t["playcount"]).isNull() | _count(t["listeners"]).isNull()
+            | _count(t["@attr"]["rank"]).isNull()
+        )), BROKEN)
+    )
+
+
+def channels_fault(p: Column) -> Column:
+    """Why a parsed channel response is rejected, or NULL."""
+    return (
+        F.when(p["items"].isNull(), UNREADABLE)
+        .when(F.exists(p["items"], lambda i: i["snippet"]["title"].isNull()), INCOMPLETE)
+        .when(F.exists(p["items"], _broken("subscriberCount", "viewCount", "videoCount")), BROKEN)
+    )
+
+
+def videos_fault(p: Column) -> Column:
+    """Why a parsed video response is rejected, or NULL."""
+    return F.when(p["items"].isNull(), UNREADABLE).when(
+        F.exists(p["items"], _broken("viewCount", "likeCount", "commentCount")), BROKEN
+    )
+
+
+def hits_fault(p: Column) -> Column:
+    """Why a parsed search result is rejected, or NULL."""
+    return F.when(p["topartists"]["artist"].isNull(), UNREADABLE)
+
+
+#: Payload schema and fault of every kind of payload.
+KINDS = {
+    "tag_hits": (schemas.HITS_PAYLOAD, hits_fault),
+    "geo_hits": (schemas.HITS_PAYLOAD, hits_fault),
+    "artist_info": (schemas.ARTIST_PAYLOAD, artist_info_fault),
+    "top_tracks": (schemas.TRACKS_PAYLOAD, top_tracks_fault),
+    "channels": (schemas.CHANNELS_PAYLOAD, channels_fault),
+    "videos": (schemas.VIDEOS_PAYLOAD, videos_fault),
+}
+
+
+def _unnamed_tag(artist: Column) -> Column:
+    names = F.transform(_tags(artist), lambda t: t["name"])
+    return F.coalesce(F.exists(metrics.genre_tags(names), F.isnull), F.lit(False))
+
+
+def _tags(artist: Column) -> Column:
+    """The tag list, NULL where it is none."""
+    tag_text = artist["tags"]["tag"]
+    return F.when(
+        F.startswith(F.ltrim(tag_text), F.lit("[")), F.from_json(tag_text, schemas.TAG_LIST)
+    )
+
+
+def with_fault(payloads: DataFrame, kind: str) -> DataFrame:
+    """Payloads with ``fault``: why their parser gives no row for them, NULL where it does.
+
+    The body is parsed once, also when later steps filter on the fault.
+    """
+    schema, fault = KINDS[kind]
+    parsed = F.array(F.from_json("body", schema))
+    return payloads.select("*", F.explode(parsed).alias("_p")).select(
+        *payloads.columns, F.explode(F.array(fault(F.col("_p")))).alias("fault")
+    )
+
+
+def accounted(payloads: DataFrame, kind: str, observation: Observation) -> DataFrame:
+    """``payloads`` with their ``fault``, counted per cause as they pass.
+
+    ``observation`` has ``payloads``, ``accepted`` and a count per cause once a job over the
+    result has run: no pass of its own. One written table serves both ways: rows without a
+    fault go on to the parser (``accepted``), the others are the rejects.
+    """
+    judged = with_fault(payloads, kind)
+    counts = {UNREADABLE: "unreadable", INCOMPLETE: "incomplete", BROKEN: "broken_number"}
+    return judged.observe(
+        observation, F.count(F.lit(1)).alias("payloads"),
+        F.count_if(F.col("fault").isNull()).alias("accepted"),
+        *[F.count_if(F.col("fault") == cause).alias(name) for cause, name in counts.items()],
+    )
+
+
+def split_rejects(payloads: DataFrame, kind: str, path: str) -> tuple[DataFrame, DataFrame, dict]:
+    """(accepted payloads, rejected ones with their fault, counts), from one pass.
+
+    The judged payloads are written below ``path`` by whether they have a fault, so either
+    part is read without the other.
+    """
+    spark, seen = payloads.sparkSession, Observation()
+    accounted(payloads, kind, seen).withColumn("rejected", F.col("fault").isNotNull()).write.mode(
+        "overwrite"
+    ).partitionBy("rejected").parquet(path)
+    judged = spark.read.schema(
+        T.StructType([*payloads.schema.fields, T.StructField("fault", T.StringType()),
+                      T.StructField("rejected", T.BooleanType())])
+    ).parquet(path)
+    return (
+        judged.where("NOT rejected").drop("fault", "rejected"),
+        judged.where("rejected").drop("rejected"), seen.get,
+    )
+
+
 def _hits(payloads: DataFrame, source: Column, search_ord: Column) -> DataFrame:
     return (
         _parsed(payloads, schemas.HITS_PAYLOAD).select(
@@ -82,11 +204,7 @@ def parse_artist_info(payloads: DataFrame) -> DataFrame:
     row; an absent number counts 0. A tag list that is not a list counts as empty.
     """
     artist = F.col("p.artist")
-    tag_text = artist["tags"]["tag"]
-    tag_names = F.when(
-        F.startswith(F.ltrim(tag_text), F.lit("[")),
-        F.transform(F.from_json(tag_text, schemas.TAG_LIST), lambda t: t["name"]),
-    )
+    tag_names = F.transform(_tags(artist), lambda t: t["name"])
     fields = F.struct(
         artist["name"].alias("artist_name"),
         _listed(artist["stats"], "listeners").alias("lastfm_listeners"),

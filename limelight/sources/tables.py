@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from .records import read_records
 
 def _number(text: Column, kind: T.DataType) -> Column:
     """Exact number from text; a whole-valued decimal such as 50000.0 is an integer.
@@ -51,17 +52,18 @@ def read_source(
     are often written as decimals (``50000.0``), keep their values, and a value that does
     not fit its column fails the job unless ``strict`` is off.
 
-    ``multi_line`` admits line breaks inside CSV fields, at the price of reading each
-    file in one task; leave it off unless the data needs it.
+    ``multi_line`` admits line breaks inside CSV fields. Files are still read in splits; what
+    it costs is to count quotes first and to shuffle the lines by their splits.
     """
     if format != "csv":
         return spark.read.schema(schema).format(format).load(path)
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    # quotes are doubled inside quoted fields
-    reader = spark.read.schema(as_text).options(
-        header=True, quote='"', escape='"', multiLine=multi_line
-    )
-    return reader.csv(path).select(*[typed(F.col(f"`{f.name}`"), f, strict) for f in schema.fields])
+    if multi_line:
+        text = read_records(spark, path, schema.fieldNames())
+    else:
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        # quotes are doubled inside quoted fields
+        text = spark.read.schema(as_text).options(header=True, quote='"', escape='"').csv(path)
+    return text.select(*[typed(F.col(f"`{f.name}`"), f, strict) for f in schema.fields])
 
 
 def empty_source(spark: SparkSession, schema: T.StructType) -> DataFrame:

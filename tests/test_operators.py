@@ -431,12 +431,70 @@ def test_quota_prefix_equals_the_loop(rows, seed, matched_share, accepted_share)
     assert len(out) == len(expected)
 
 
+@pytest.mark.parametrize("seed", [7, 8])
+def test_any_budget_is_summed_up_in_ranges(rows, spark, seed):
+    """One day with far more attempts than a range, and a budget that lies deep in it."""
+    rng = random.Random(seed)
+    data, expected = [], set()
+    for d, n, stride in ((day(0), 60_000, 1), (day(1), 300, 7), (day(2), 1, 1)):
+        tried = [(i * stride - 50, rng.random() < 0.6, rng.random() < 0.4) for i in range(n)]
+        tried = [(i, m, m and a) for i, m, a in tried]
+        data += [(d, i, f"a{i}", m, a) for i, m, a in tried]
+        expected |= {(d, i) for i in budget_loop(tried, 4_000_000)}
+    rng.shuffle(data)
+    df = rows("collection_date DATE, attempt_ord BIGINT, artist_id STRING, matched BOOLEAN, "
+              "accepted BOOLEAN", *data)
+    out = reports.quota_prefix(df, 4_000_000, in_one_task=1000).collect()
+    assert {(r.collection_date, r.attempt_ord) for r in out} == expected and len(out) == len(expected)
+    assert 300 < len(expected) < len(data)
+
+
 def test_exact_budget_continues(rows):
     df = rows("collection_date DATE, attempt_ord BIGINT, artist_id STRING, matched BOOLEAN, "
               "accepted BOOLEAN", *[(day(0), i, "a", False, False) for i in range(120)])
     assert reports.quota_prefix(df).count() == 91
 
 
+def test_release_posts_among_all_posts(rows):
+    """A hot handle with more posts than the bounded form looks at, old matches included."""
+    rng = random.Random(5)
+    words = ["night", "river", "stone", "ash", "go"]
+    feed, tracks = [], []
+    for i in range(900):
+        handle = "hot" if i % 3 else f"h{i % 4}"
+        date = None if i % 50 == 0 else day(rng.randrange(900))
+        caption = rng.choice([None, " ".join(rng.choices(words, k=2)), "nothing"])
+        feed.append((handle, f"s{i:04}", date, i, i, caption))
+    for i in range(120):
+        release = None if i % 5 == 0 else day(rng.randrange(900))
+        handle = rng.choice(["hot", "hot", "h0", "h3", "absent", None])
+        tracks.append((f"t{i}", "a", "A", " ".join(rng.choices(words, k=2)).title(), release, handle))
+    by_handle = {}
+    for p in feed:
+        by_handle.setdefault(p[0], []).append(p)
+    want = []
+    for track_id, _, _, title, release, handle in tracks:
+        hit = (None, None)
+        newest = sorted(by_handle.get(handle, []), key=lambda p: (
+            p[2] is None, -(p[2] or day(0)).toordinal(), p[1]))
+        for place, p in enumerate(newest, 1):
+            caption = (p[5] or "").lower()
+            said = title.lower() in caption or any(
+                w in caption for w in title.lower().split() if len(w) > 3)
+            near = release is None or p[2] is not None and abs((p[2] - release).days) <= 30
+            if said and near:
+                hit = (place, p[1])
+                break
+        want.append((track_id, *hit))
+    posts = rows("handle STRING, shortcode STRING, post_date DATE, likes BIGINT, comments BIGINT, "
+                 "caption STRING", *feed)
+    charted = rows("track_id STRING, artist_id STRING, artist_name STRING, track_name STRING, "
+                   "release_date DATE, instagram_handle STRING", *tracks)
+    out = songs.release_posts(charted, posts, newest=None)
+    assert values(out, "track_id", "instagram_post_rank", "instagram_post_id") == sorted(want, key=str)
+    assert any(rank and rank > 50 for _, rank, _ in want)
+
+
 def test_source_row_counts(rows):
     df = rows("source STRING, batch INT", ("s", 1), ("s", 1), ("s", 3), ("v", 3))
     assert values(reports.source_row_counts(df)) == [

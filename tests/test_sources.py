@@ -309,6 +309,110 @@ def test_three_sources_in_one_call(spark, tmp_path):
     assert values(spark.table("one_raw"), "artist_name") == ["A"]
 
 
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "70")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+AWKWARD = [
+    ("plain", "1"), ("two\nlines", "2"), ('say ""no""'.replace('""', '"'), "3"), ("a,b", "4"), ("", "5"),
+    ("x\n\n\ny", "6"), ('"', "7"), ('\n"\n', "8"), ("long " * 60, "9"), ("lines\n" * 40, "10"),
+    ('"quoted"\n"again"', "11"), ("é\n√", "12"), ("end", "13"),
+]
+
+
+def write_csv(path, records):
+    import csv
+
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        out = csv.writer(f, lineterminator="\n")
+        out.writerow(["artist_name", "youtube_subscribers"])
+        out.writerows(records)
+
+
+def test_fields_with_line_breaks_from_many_splits(spark, tmp_path, small_splits):
+    from pyspark.sql import types as T
+
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write_csv(folder / "a.csv", AWKWARD * 3)
+    write_csv(folder / "b.csv", AWKWARD[::-1])
+    write_csv(folder / "empty.csv", [])
+    schema = T.StructType([T.StructField("artist_name", T.StringType()),
+                           T.StructField("youtube_subscribers", T.LongType())])
+    assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+    got = tables.read_source(spark, str(folder), schema, multi_line=True)
+    whole = spark.read.schema("artist_name STRING, youtube_subscribers STRING").options(
+        header=True, quote='"', escape='"', multiLine=True).csv(str(folder))
+    assert values(got) == values(whole.withColumn("youtube_subscribers", F.col("youtube_subscribers").cast("long")))
+    want = sorted([(name or None, int(n)) for name, n in AWKWARD * 4], key=str)
+    assert values(got) == want
+
+
+def test_a_field_without_an_end_fails(spark, tmp_path, small_splits):
+    path = tmp_path / "open.csv"
+    path.write_text('artist_name,youtube_subscribers\n"open,1\nmore,2\n' * 3)
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("artist_name", T.StringType())])
+    with pytest.raises(Exception, match="a quoted field does not end"):
+        tables.read_source(spark, str(path), schema, multi_line=True).collect()
+
+
+def test_records_end_in_two_characters(spark, tmp_path, small_splits):
+    from limelight.sources import records
+
+    path = tmp_path / "crlf.csv"
+    path.write_bytes(b'a,b\r\n"x\ny",1\r\n\r\nz,2\r\n')
+    assert values(records.read_records(spark, str(path), ["a", "b"])) == [("x\ny", "1"), ("z", "2")]
+
+
+def test_an_account_of_rejected_payloads(spark, rows, tmp_path):
+    info = '{"artist": {"name": "%s", "stats": {"listeners": "%s", "playcount": "3"}%s}}'
+    bodies = {
+        "good": info % ("A", "9", ""), "unreadable": "{", "null": None, "other": '{"error": 6}',
+        "unnamed": '{"artist": {"stats": {"listeners": "1"}}}', "broken": info % ("A", "n/a", ""),
+        "tagless": info % ("A", "9", ', "tags": {"tag": [{"x": 1}]}'), "absent": '{"artist": {"name": "B"}}',
+    }
+    landed = rows("query_name STRING, source STRING, body STRING", *[(k, "s", v) for k, v in bodies.items()])
+    accepted, rejected, counts = payloads.split_rejects(landed, "artist_info", str(tmp_path / "judged"))
+    assert counts == {"payloads": 8, "accepted": 2, "unreadable": 3, "incomplete": 2, "broken_number": 1}
+    assert values(rejected, "query_name", "fault") == [
+        ("broken", "broken number"), ("null", "unreadable"), ("other", "unreadable"),
+        ("tagless", "incomplete"), ("unnamed", "incomplete"), ("unreadable", "unreadable")]
+    # the account agrees with the parser, payload by payload
+    assert values(payloads.parse_artist_info(accepted), "query_name") == ["absent", "good"]
+    assert values(payloads.parse_artist_info(landed), "query_name") == ["absent", "good"]
+    assert payloads.parse_artist_info(rejected.drop("fault")).isEmpty()
+
+
+@pytest.mark.parametrize("kind, column, good, faults, parse", [
+    ("channels", "artist_id", '{"items": [{"id": "c", "snippet": {"title": "T"}, "statistics": {}}]}', {
+        "incomplete": '{"items": [{"id": "c", "snippet": {}, "statistics": {}}]}',
+        "broken number": '{"items": [{"id": "c", "snippet": {"title": "T"}, "statistics": {"viewCount": "x"}}]}',
+        "unreadable": "[]"}, payloads.parse_channels),
+    ("videos", "channel_id", '{"items": [{"id": "v", "snippet": {"title": "T"}, "statistics": {}}]}', {
+        "broken number": '{"items": [{"id": "v", "snippet": {}, "statistics": {"likeCount": "1.5"}}]}',
+        "unreadable": "nothing"}, payloads.parse_videos),
+    ("top_tracks", "artist_id", '{"toptracks": {"track": [{"name": "N", "playcount": "1"}]}}', {
+        "incomplete": '{"toptracks": {"track": [{"playcount": "1"}]}}',
+        "broken number": '{"toptracks": {"track": [{"name": "N", "listeners": "?"}]}}',
+        "unreadable": '{"toptracks": {}}'}, payloads.parse_top_tracks),
+    ("tag_hits", "tag", '{"topartists": {"artist": [{"name": "N"}]}}', {"unreadable": '{"message": "no"}'},
+     lambda df: payloads.parse_tag_hits(df.withColumn("query_ord", F.lit(0)))),
+])
+def test_faults_agree_with_the_parsers(rows, kind, column, good, faults, parse):
+    landed = rows(f"{column} STRING, body STRING", ("good", good), *faults.items())
+    assert values(payloads.with_fault(landed, kind), column, "fault") == sorted(
+        [("good", None), *[(f, f) for f in faults]], key=str)
+    assert parse(landed.where(f"{column} = 'good'")).count() == 1
+    assert parse(landed.where(f"{column} <> 'good'")).isEmpty()
+
+
 @pytest.mark.parametrize("text, value", [
     ("50000.0", 50_000), ("5e4", 50_000), ("-7.000", -7), ("50000e-1", 5000), ("1.25e2", 125),
     ("5.0000000004", None), ("0.0000000000001", None), ("12.5", None), ("1.25e1", None), ("0e9", 0),
