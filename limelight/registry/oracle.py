@@ -568,6 +568,15 @@ BODIES: dict[str, str] = {
       FROM fx_scored WHERE growth_potential = 'High' ORDER BY {BY_SCORE} LIMIT 30""",
     "compact": LATEST,
     "refresh_merged": "SELECT * FROM fx_raw",
+    "source_counts_by_time": """
+      SELECT source, CAST(batch AS VARCHAR) AS day, count(*) AS n FROM fx_batch
+      WHERE batch + INTERVAL 1 DAY <= (SELECT max(collection_timestamp) FROM fx_batch) - INTERVAL 2 DAY
+      GROUP BY ALL""",
+    "newest_by_state": LATEST,
+    "clustered_top": f"SELECT {TOP_COLS} FROM fx_scored ORDER BY {BY_SCORE} LIMIT 50",
+    "clustered_rank": f"""
+      SELECT row_number() OVER (ORDER BY {BY_SCORE}) AS rank, artist_id, artist_name, priority_score
+      FROM fx_scored""",
     "refresh_changes": "SELECT * FROM fx_kept_raw",
     "kept_scores": "SELECT * FROM fx_kept_scored",
     "kept_genre_summary": """

@@ -17,8 +17,8 @@ from ..operators.discovery import discover
 from ..plans import enrichment, reports, scoring
 from ..plans.view import ArtistView
 from ..session import scratch_dir
-from ..sources import logs, payloads, sinks, tables
-from ..streaming import changes, upsert
+from ..sources import clustered, logs, payloads, sinks, tables
+from ..streaming import changes, event_time, upsert
 from .fixture import BATCH_TIME, Fixture
 
 BATCH_DATE = BATCH_TIME.date()
@@ -242,6 +242,42 @@ def resume(fx: Fixture) -> DataFrame:
     )
 
 
+def _landed_twice(fx: Fixture, label: str, start) -> str:
+    """Run a stream over the early events, land the late ones and run it again; its target."""
+    base = scratch_dir(fx.spark, label)
+    late = F.col("batch") >= F.lit(SPLIT_DAY).cast("date")
+    for part in (~late, late):
+        fx.batches.where(part).write.mode("append").parquet(f"{base}/landing")
+        start(f"{base}/landing", f"{base}/target", f"{base}/checkpoint").awaitTermination()
+    return f"{base}/target"
+
+
+def source_counts_by_time(fx: Fixture) -> DataFrame:
+    """Counts of the days that are over, two days after them."""
+    target = _landed_twice(fx, "counts", lambda landing, target, checkpoint: (
+        event_time.stream_source_counts(
+            fx.spark, landing, fx.batches.schema, target, checkpoint, ["event_id"], late="2 days")
+    ))
+    return fx.spark.read.parquet(target).select("source", F.col("start").cast("date").alias("day"), "n")
+
+
+def newest_by_state(fx: Fixture) -> DataFrame:
+    order = ("collection_timestamp", "event_id")
+    target = _landed_twice(fx, "newest", lambda landing, target, checkpoint: (
+        event_time.stream_newest(
+            fx.spark, landing, fx.batches.schema, target, checkpoint, order=order, late="3650 days")
+    ))
+    return upsert.current(
+        fx.spark, target, fx.batches.schema, ["artist_id"], order
+    ).select("artist_id", "event_id", "source", "value")
+
+
+def _clustered(fx: Fixture) -> str:
+    path = scratch_dir(fx.spark, "clustered")
+    clustered.write_clustered(scored(fx), path, file_rows=max(1, scored(fx).count() // 8))
+    return path
+
+
 def kept_store(fx: Fixture) -> changes.MergedStore:
     """The merged store after all arrivals, batch by batch."""
     store = changes.MergedStore(fx.spark, scratch_dir(fx.spark, "kept"), buckets=16)
@@ -485,6 +521,12 @@ QUERIES: dict[str, Callable[[Fixture], DataFrame]] = {
     "resume": resume,
     "compact": compact,
     "refresh_merged": refresh_merged,
+    "source_counts_by_time": source_counts_by_time,
+    "newest_by_state": newest_by_state,
+    "clustered_top": lambda fx: clustered.read_top(fx.spark, _clustered(fx), 50).select(
+        *reports.TOP_COLUMNS),
+    "clustered_rank": lambda fx: clustered.read_ranked(fx.spark, _clustered(fx)).select(
+        "rank", "artist_id", "artist_name", "priority_score"),
     "refresh_changes": lambda fx: kept_store(fx).merged(),
     "kept_scores": lambda fx: kept_store(fx).scored(),
     "kept_genre_summary": lambda fx: rounded(changes.kept_genre_summary(kept_store(fx).summary())),
