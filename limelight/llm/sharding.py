@@ -1,7 +1,7 @@
 """Shards of nearly equal bytes by a histogram sort. DataFrame functions only.
 
 Rows are ordered by a key of two 64-bit numbers: a hash of the text, so that equal texts
-lie together, and the id, which orders within a text. The boundaries between shards are
+lie together, and a hash of the id, which orders within a text. The boundaries between shards are
 found without sorting: evenly spaced probe keys are laid into the cell of every boundary
 that is still open, one aggregation counts the exact bytes and rows between them, and the
 cell shrinks to the two probes around the boundary's target, until a probe meets the
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import quoted, stored, without
 
@@ -70,7 +70,7 @@ def keyed(df: DataFrame, text: str, id_col: str) -> DataFrame:
     chars = quoted(text)
     return df.select(
         "*", F.xxhash64(chars).alias("__hash"),
-        F.coalesce(quoted(id_col).cast("bigint"), F.lit(LOW)).alias("__id"),
+        F.when(quoted(id_col).isNull(), F.lit(LOW)).otherwise(F.xxhash64(quoted(id_col))).alias("__id"),
         (F.coalesce(F.octet_length(chars), F.lit(0)).cast("bigint") + 8).alias("__size"),
     )
 
@@ -141,41 +141,73 @@ def _search(cuts: list[tuple[int, int]]):
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def _cells(keyed_: DataFrame, bits: int) -> DataFrame:
+    """Keys with the cell of their hash: its first ``bits`` bits."""
+    return keyed_.withColumn("__cell", F.shiftright("__hash", 64 - bits) if bits else F.lit(0).cast("bigint"))
+
+
+def _part() -> Column:
+    """The part of a cell: the first ``__bits`` bits of the id's hash."""
+    bits = F.coalesce("__bits", F.lit(0))
+    return F.when(bits > 0, F.call_function("shiftright", F.col("__id"), 64 - bits)).otherwise(
+        F.lit(0).cast("bigint")
+    )
+
+
 def shard(
     spark: SparkSession, docs: DataFrame, shards: int = 24, id_col: str = "doc_id",
-    text_col: str = "text", piece_bytes: int = 64 << 20, max_pieces: int = 4096,
-    tolerance: float = 0.002, probes: int = 1 << 16,
+    text_col: str = "text", piece_rows: int = 20_000, tolerance: float = 0.002,
+    probes: int = 1 << 16,
 ) -> DataFrame:
     """``docs`` with size, shard (0 to ``shards`` - 1) and slot (gapless from 0 per shard).
 
     Law: the shards' bytes are nearly equal, each boundary within ``tolerance`` of a
     shard's share or at the nearest row. size is the UTF-8 bytes of the text plus 8 (null
-    text: 8). Shards hold ranges of (hash of the text, id): equal texts lie together and
-    share a shard unless a boundary falls between them. Rows that repeat a text and an id
-    stay together; they are alike, and so is the order of their slots. A null id sorts
-    first. Empty table: empty result. Columns named like an output are replaced, others
-    (nulls too) pass through, and only those that are read later are exchanged.
-
-    A shard is exchanged as one or more pieces of about ``piece_bytes``, whose rows before
-    them are known from the counts, so no task numbers a whole shard; beyond
-    ``max_pieces`` the pieces grow instead of their number.
+    text: 8). Shards hold ranges of (hash of the text, hash of the id): equal texts lie
+    together and share a shard unless a boundary falls between them. Ids are of any type.
+    Rows that repeat a text and an id stay together; they are alike, and so is the order of
+    their slots. A null id sorts first. Empty table: empty result. Columns named like an
+    output are replaced, others (nulls too) pass through, and only those that are read later
+    are exchanged.
+
+    Rows are exchanged once, in pieces of about ``piece_rows`` rows: cells of a shard's
+    hashes, and parts of a cell that one text fills, by the hashes of its ids. A table of
+    the pieces, counted on the keys alone, tells the rows of the shard before each, so no
+    task numbers a whole shard and nothing but the shards' boundaries comes to the driver.
     """
     named = without(docs, ("size", "shard", "slot", "__hash", "__id", "__size"))
     rows = keyed(named, text_col, id_col)
     keys = stored(spark, rows.select("__hash", "__id", "__size"), "shard-keys")
-    total = keys.agg(F.sum("__size")).first()[0] or 0
-    per_shard = max(1, min(-(-total // (shards * piece_bytes)), max_pieces // shards))
-    found = boundaries(keys, shards * per_shard, total, tolerance / per_shard, probes)
-    cuts = [b.found for b in found if b.found[0] < HIGH]  # those behind all keys come last
-    rows_below = [0, *[b.rows_below for b in found]]
-    starts = [rows_below[p] - rows_below[p - p % per_shard] for p in range(len(rows_below))]
-    placed = rows.withColumn("__piece", _search(cuts))
-    order = Window.partitionBy("__piece").orderBy("__hash", "__id")
-    before = F.get(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("__piece"))
-    return placed.select(
+    counted = keys.agg(F.sum("__size").alias("bytes"), F.count("*").alias("rows")).first()
+    found = boundaries(keys, shards, counted["bytes"] or 0, tolerance, probes)
+    place = _search([b.found for b in found if b.found[0] < HIGH])  # those behind all keys come last
+    bits = min(48, (counted["rows"] // piece_rows).bit_length())
+    placed = _cells(keys, bits).withColumn("__shard", place)
+    # cells that hold more than a few pieces' rows: a text with very many rows
+    cell_rows = placed.groupBy("__cell").agg(F.count("*").alias("__n")).where(F.col("__n") > 4 * piece_rows)
+    crowded = stored(spark, cell_rows.select(
+        F.col("__cell").alias("__crowded"),
+        (F.length(F.bin(F.floor(F.col("__n") / piece_rows)))).cast("int").alias("__bits"),
+    ), "shard-crowded")
+    if crowded.isEmpty():
+        parted = lambda df: df.withColumn("__part", F.lit(0).cast("bigint"))
+    else:
+        def parted(df: DataFrame) -> DataFrame:
+            return df.join(crowded, F.col("__cell") == F.col("__crowded"), "left").withColumn(
+                "__part", _part()
+            ).drop("__crowded", "__bits")
+    piece = ["__shard", "__cell", "__part"]
+    sizes = parted(placed).groupBy(*piece).agg(F.count("*").alias("__rows"))
+    in_shard = Window.partitionBy("__shard").orderBy("__cell", "__part")
+    pieces = stored(spark, sizes.select(
+        *piece, (F.sum("__rows").over(in_shard) - F.col("__rows")).alias("__before")
+    ), "shard-pieces")
+    exchanged = parted(_cells(rows, bits).withColumn("__shard", place)).join(pieces, piece)
+    order = Window.partitionBy(*piece).orderBy("__hash", "__id")
+    return exchanged.select(
         *[quoted(c) for c in named.columns], F.col("__size").alias("size"),
-        F.floor(F.col("__piece") / per_shard).cast("int").alias("shard"),
-        (F.row_number().over(order) - 1 + before).cast("bigint").alias("slot"),
+        F.col("__shard").cast("int").alias("shard"),
+        (F.row_number().over(order) - 1 + F.col("__before")).cast("bigint").alias("slot"),
     )
 
 

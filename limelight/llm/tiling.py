@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from .common import add_columns, map_batches, quoted, stored, without, words_pattern
@@ -216,11 +216,15 @@ def with_hits(
     evidence and are never held; null and empty texts hold nothing; items that repeat a
     text are found each; of items that repeat an id one is compared (the smallest text).
     Repeated rows get equal hits; a column named ``out`` is replaced, others pass through;
-    an empty table on either side gives no hits.
+    an empty table on either side gives no hits. Item ids are integers; a benchmark with
+    others is refused.
 
     A benchmark whose texts have at most ``broadcast_bytes`` in all is sent to every task,
     and documents are not moved. A larger one is joined by seed: see ``_joined_hits``.
     """
+    ids = benchmark.select(quoted(item_id)).schema[0].dataType
+    if not isinstance(ids, (T.IntegralType, T.NullType)):
+        raise ValueError(f"item ids must be integers; {item_id} is {ids.simpleString()}")
     items = benchmark.select(
         quoted(item_id).cast("bigint").alias("item_id"), quoted(item_text).alias("item_text")
     ).where("item_id IS NOT NULL AND item_text IS NOT NULL").groupBy("item_id").agg(
@@ -241,13 +245,15 @@ def with_hits(
     return add_columns(docs, [text], T.StructType([T.StructField(out, HITS)]), factory)
 
 
-def _seeds(rows: DataFrame, width: int, kind: str) -> DataFrame:
-    """(key, seed): the distinct seeds of every row of (key, text)."""
+def _seeds(rows: DataFrame, width: int, kind: str, each: bool = False) -> DataFrame:
+    """(key, seed): the distinct seeds of every row of (key, text); ``each``: of every window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), 256):
                 part = batch.slice(first, 256)
-                made = [np.unique(window_hashes(codes_of(v.as_py()), width)) for v in part.column(1)]
+                made = [window_hashes(codes_of(v.as_py()), width) for v in part.column(1)]
+                if not each:
+                    made = [np.unique(m) for m in made]
                 take = np.repeat(np.arange(len(made)), [len(m) for m in made])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(take)), pa.array(np.concatenate(made).view(np.int64))],
@@ -257,6 +263,40 @@ def _seeds(rows: DataFrame, width: int, kind: str) -> DataFrame:
     return map_batches(rows, run, f"key {kind}, seed bigint")
 
 
+def _candidate_pairs(
+    spark: SparkSession, texts: DataFrame, items: DataFrame, width: int, min_coverage: float
+) -> DataFrame:
+    """(key, item_id): texts (key, text) that may hold an item (item_id, item_text), once each.
+
+    A tile of n words covers n - width + 1 windows of the item, and tiles have ``width`` words
+    at least, so tiles of m words cover m / width windows or more. A text without that many
+    of the item's windows can't reach the coverage. So an item is looked up by its rarest
+    seeds only: its most frequent ones may stay out as long as their windows are fewer than
+    it needs, since a text that shares none of the others has too few. A seed that is hot
+    in texts and items meets no pair but those it could decide alone.
+    """
+    item_seeds = stored(spark, _seeds(
+        items.select(F.col("item_id").alias("key"), "item_text"), width, "bigint", each=True
+    ), "tiling-item-seeds")
+    asked = item_seeds.select("seed").distinct()
+    shared = stored(spark, _seeds(
+        texts.select("key", "text"), width, "string"
+    ).join(asked, "seed", "left_semi"), "tiling-shared")
+    frequency = shared.groupBy("seed").agg(F.count("*").alias("texts"))
+    windows = F.sum("windows").over(Window.partitionBy("key"))
+    hottest = Window.partitionBy("key").orderBy(F.desc("texts"), "seed")
+    weighed = item_seeds.groupBy("key", "seed").agg(F.count("*").alias("windows")).join(
+        frequency, "seed"
+    ).withColumn("so_far", F.sum("windows").over(hottest))
+    sizes = item_seeds.groupBy("key").agg((F.count("*") + width - 1).alias("words"))
+    # a word of slack for the rounding of the coverage
+    needed = F.ceil((F.col("words") * F.lit(min_coverage) - 1) / width)
+    probes = weighed.join(sizes, "key").withColumn("in_texts", windows).where(
+        (F.col("in_texts") >= needed) & ((F.col("so_far") >= needed) | (needed <= 1))
+    ).select(F.col("key").alias("item_id"), "seed")
+    return shared.join(probes, "seed").select("key", "item_id").distinct()
+
+
 def _joined_hits(
     spark: SparkSession, docs: DataFrame, items: DataFrame, text: str, width: int,
     min_coverage: float, out: str,
@@ -264,7 +304,7 @@ def _joined_hits(
     """The same for a benchmark of any size: seeds are joined, then candidates compared.
 
     Texts are compared once each, by a 128-bit hash, so copies don't multiply pairs; every
-    text meets only the items it shares a seed with, one row per pair.
+    text meets only the items that its seeds could cover (``_candidate_pairs``).
     """
     key = F.concat_ws(
         "-", F.xxhash64(quoted(text)).cast("string"), F.xxhash64(F.reverse(quoted(text)), F.lit(1)).cast("string")
@@ -274,12 +314,7 @@ def _joined_hits(
         .groupBy("key").agg(F.first("text").alias("text")), "tiling-texts",
     )
     items = stored(spark, items, "tiling-items")
-    item_seeds = _seeds(items.select(F.col("item_id").alias("key"), "item_text"), width, "bigint")
-    pairs = (
-        _seeds(texts.select("key", "text"), width, "string").join(
-            item_seeds.withColumnRenamed("key", "item_id"), "seed"
-        ).select("key", "item_id").distinct()
-    )
+    pairs = _candidate_pairs(spark, texts, items, width, min_coverage)
     compared = pairs.join(items, "item_id").join(texts, "key")
 
     def factory():

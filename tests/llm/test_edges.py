@@ -503,7 +503,7 @@ def test_sequences_hold_the_ids_in_order(spark, docs):
 # --- sharding --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("options", [{}, {"probes": 64}, {"piece_bytes": 2000}, {"piece_bytes": 1, "max_pieces": 400}])
+@pytest.mark.parametrize("options", [{}, {"probes": 64}, {"piece_rows": 90}, {"piece_rows": 1}])
 def test_shards_are_even_with_a_hot_text(spark, docs, options):
     rng = random.Random(8)
     texts = ["hot text " * 5] * 700 + ["x" * rng.randrange(200) for _ in range(1300)] + [None] * 50
@@ -524,6 +524,28 @@ def test_rows_of_one_key_stay_together(spark, docs):
         assert sorted(rows["slot"]) == list(range(len(rows)))
 
 
+def test_ids_of_any_type_are_sharded(spark):
+    rows = [(f"id-{i}", "same text") for i in range(300)] + [(None, "x" * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    made = sharding.shard(spark, df, 4, piece_rows=10).toPandas()
+    loads = made.groupby("shard")["size"].sum()
+    assert len(made) == 340 and len(loads) == 4 and loads.max() - loads.min() <= 3 * made["size"].max()
+    for _, rows in made.groupby("shard"):
+        assert sorted(rows["slot"]) == list(range(len(rows)))
+
+
+def test_pieces_stay_small_however_many(spark, docs):
+    """Also where one text holds most rows: its piece is parted by the ids."""
+    made = sharding.shard(spark, docs(*["hot"] * 3000, *[f"t{i}" for i in range(500)]), 3, piece_rows=20)
+    assert made.count() == 3500
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cell" in plan and "__part" in plan and "Window" in plan
+    keys = sharding._cells(sharding.keyed(docs(*["hot"] * 3000), "text", "doc_id"), 5)
+    parts = keys.withColumn("__bits", F.lit(8)).select("__cell", sharding._part().alias("p")).groupBy(
+        "__cell", "p").count()
+    assert parts.agg(F.max("count")).first()[0] < 60  # of 3000 rows of one text
+
+
 def test_sharding_runs_no_python(spark, docs):
     made = sharding.shard(spark, docs("a", "b", "c"), 2)
     plan = made._jdf.queryExecution().executedPlan().toString()
@@ -604,6 +626,49 @@ def test_reordered_passages_are_caught(spark, docs, budget):
         (100, 20, 20), (220, 0, 20)]
 
 
+def test_a_hot_seed_makes_no_product(spark, docs):
+    rng = random.Random(2)
+    common = "we hold these truths to be self evident"
+    fresh = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    bodies = [f"{fresh(30)} {common} {fresh(30)}" for _ in range(60)]
+    items = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "item_id long, text string")
+    texts = [f"{fresh(20)} {common} {fresh(20)}" for _ in range(120)] + [fresh(9) + " " + bodies[7]]
+    keyed = docs(*texts).select(F.col("doc_id").cast("string").alias("key"), "text")
+    pairs = tiling._candidate_pairs(
+        spark, keyed, items.select("item_id", F.col("text").alias("item_text")), 5, 0.8)
+    assert [tuple(r) for r in pairs.collect()] == [("120", 7)]  # of 121 x 60
+    made = tiling.with_hits(spark, docs(*texts), items, broadcast_bytes=-1).where(F.size("hits") > 0).collect()
+    assert [(r["doc_id"], [h["item_id"] for h in r["hits"]]) for r in made] == [(120, [7])]
+
+
+def test_joined_hits_equal_broadcast_ones(spark, docs):
+    rng = random.Random(4)
+    words = [f"v{i}" for i in range(30)]
+    passage = lambda n: [rng.choice(words) for _ in range(n)]
+    shared = [passage(n) for n in (5, 6, 8, 12, 20) for _ in range(3)]
+    items = [(i, " ".join(p + (passage(rng.randrange(4)) if i % 2 else []))) for i, p in enumerate(shared)]
+    texts = []
+    for _ in range(60):
+        parts = [passage(rng.randrange(20))]
+        for p in rng.sample(shared, 2):
+            cut = rng.randrange(len(p) + 1)
+            parts += [p[cut:], passage(3), p[:cut]] if rng.random() < 0.5 else [p, passage(4)]
+        texts.append(" ".join(w for part in parts for w in part))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    both = [
+        sorted((r["doc_id"], str(r["hits"])) for r in tiling.with_hits(
+            spark, docs(*texts), benchmark, broadcast_bytes=budget).collect())
+        for budget in (32 << 20, -1)
+    ]
+    assert both[0] == both[1] and any(h != "[]" for _, h in both[0])
+
+
+def test_item_ids_are_integers(spark, docs):
+    items = spark.createDataFrame([("a", "one two three four five")], "item_id string, text string")
+    with pytest.raises(ValueError, match="item ids must be integers"):
+        tiling.with_hits(spark, docs("x"), items)
+
+
 # --- token counts ----------------------------------------------------------------------
 
 
