@@ -2,9 +2,11 @@
 
 A document of a full window or more fills windows of its own; what is left is routed to
 the smallest tier that holds it. Windows are closed from the longest tier down: a piece
-opens a window of its tier, the gap is filled with the longest pieces of shorter tiers that
-fit, and a last gap by cutting a piece, whose rest is routed anew. Every window is full, so
-nothing is padded; what remains at the end is cut into windows of powers of two.
+opens a window of its tier, and the gap is filled with the longest pieces of shorter tiers
+that fit. Where none fits, a piece is cut if both its parts stay of a stated length, and its
+rest is routed anew; else a window grows to the next tier, and one of the longest tier is
+closed a few places short, the only ones that are padded. What remains at the end is cut
+into windows of powers of two.
 
 Packing is local to a task and streams: about ``buffer`` tokens are held, no shuffle.
 """
@@ -130,13 +132,18 @@ class Piece:
 
 
 class TierPacker:
-    """Packs pieces into full windows of the tiers' lengths."""
+    """Packs pieces into windows of the tiers' lengths.
+
+    Pieces are cut only into parts of at least ``least`` ids, a 64th of the longest tier, but
+    for the last windows; windows of the longest tier may stay as many places short.
+    """
 
     def __init__(self, tiers: tuple[int, ...]) -> None:
         if any(t & (t - 1) for t in tiers):
             raise ValueError("tiers are powers of two")
         self.tiers = tuple(sorted(tiers))
         self.longest = self.tiers[-1]
+        self.least = max(1, self.longest // 64)
         self.waiting: list[tuple[int, int]] = []  # (length, number), sorted
         self.pieces: dict[int, Piece] = {}
         self.number = 0
@@ -164,6 +171,23 @@ class TierPacker:
     def _tier(self, size: int) -> int:
         return self.tiers[bisect_left(self.tiers, size)]
 
+    def _part(self, gap: int) -> Piece | None:
+        """What a window with this gap gets next: the longest piece that fits, or a cut one."""
+        place = bisect_right(self.waiting, (gap, self.number)) - 1
+        if place >= 0:
+            return self._take(place)
+        if gap < self.least:
+            return None
+        place = bisect_left(self.waiting, (gap + self.least, -1))
+        if place == len(self.waiting):  # none leaves enough: take less than the gap
+            place -= 1
+            gap = self.waiting[place][0] - self.least
+        if gap < self.least:
+            return None
+        part, rest = self._take(place).cut(gap)
+        self._wait(rest)
+        return part
+
     def drain(self, leave: int = 0) -> Iterator[list[Piece]]:
         """Close windows until at most ``leave`` tokens, or less than a window, wait."""
         while self.waiting and self.tokens > leave:
@@ -172,15 +196,21 @@ class TierPacker:
                 break
             window = [self._take(len(self.waiting) - 1)]
             gap = tier - len(window[0])
-            while gap:
-                place = bisect_right(self.waiting, (gap, self.number)) - 1
-                if place >= 0:  # the longest piece that fits
-                    piece = self._take(place)
-                else:  # none fits: cut the shortest
-                    piece, rest = self._take(0).cut(gap)
-                    self._wait(rest)
-                window.append(piece)
-                gap -= len(piece)
+            while gap and self.waiting:
+                part = self._part(gap)
+                if part is not None:
+                    window.append(part)
+                    gap -= len(part)
+                elif tier < self.longest:
+                    gap -= tier
+                    tier = self._tier(tier + 1)
+                    gap += tier
+                else:
+                    break
+            if gap and not self.waiting:  # too little is left for this window
+                for piece in window:
+                    self._wait(piece)
+                return
             yield window
 
     def finish(self) -> Iterator[list[Piece]]:
@@ -221,8 +251,9 @@ def pack(
 
     Columns: ``id_col`` as in the input, start and length (the stretch in its document),
     ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset, sequence_length
-    (a tier, or a smaller power of two for the last windows of a task), step_group (windows
-    that are trained on together; about ``step_tokens`` tokens each).
+    (a tier, or a smaller power of two for the last windows of a task; one of the longest
+    tier may hold fewer ids and is padded), step_group (windows that are trained on together;
+    about ``step_tokens`` tokens each).
 
     Every document's ids end in ``end_id``, so a null or empty text is that id alone. Null
     ids are carried; repeated rows are packed as often as they occur; other columns are
@@ -252,7 +283,9 @@ def pack(
 
         def rows(windows: list[list[Piece]]) -> pa.RecordBatch:
             nonlocal sequences, steps
-            sizes = [sum(map(len, w)) for w in windows]
+            tokens = [sum(map(len, w)) for w in windows]
+            # what is no power of two is padded to the longest tier
+            sizes = [packer.longest if n & (n - 1) else n for n in tokens]
             groups = balanced(sizes, step_tokens)
             out: list[list] = [[] for _ in range(9)]
             for window, size, group in zip(windows, sizes, groups):

@@ -199,14 +199,18 @@ def test_op6_packs_every_id_once(result, texts):
             assert start == at
             at += length
         assert at == len(ids[doc])
+    padded = 0
     for _, window in frame.sort_values("offset").groupby("sequence_id"):
         at = 0
         for offset, length in zip(window["offset"], window["length"]):
             assert offset == at
             at += length
-        assert at == window["sequence_length"].iloc[0] <= 4096
-        assert at & (at - 1) == 0  # nothing is padded
+        length = window["sequence_length"].iloc[0]
+        # full, or a window of the longest tier that is a few places short
+        assert at == length <= 4096 or length == 4096 and at > 4096 - 128
+        padded += length - at
         assert window["step_group"].nunique() == 1
+    assert padded <= 0.02 * frame["length"].sum()
 
 
 def test_op7_shards(result, texts):

@@ -469,8 +469,11 @@ def test_packer_fills_windows_whatever_the_lengths():
         short = 0
         for window in windows:
             total = sum(map(len, window))
-            assert total & (total - 1) == 0 and total <= tiers[-1]
-            short += total not in tiers
+            if total & (total - 1):  # of the longest tier, a few places short
+                assert tiers[-1] - max(2, tiers[-1] // 32) < total < tiers[-1]
+            else:
+                assert total <= tiers[-1]
+                short += total not in tiers
             for piece in window:
                 where[piece.doc].append((piece.start, len(piece)))
         assert short <= 12
@@ -482,6 +485,32 @@ def test_packer_fills_windows_whatever_the_lengths():
             assert at == size
 
 
+def test_pieces_are_not_shredded():
+    """Texts of ordinary lengths: few that fit a window are cut, none into slivers but at the end."""
+    rng = random.Random(11)
+    sizes = [min(30_000, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(6000)]
+    packer = packing.TierPacker((256, 512, 1024, 2048, 4096))
+    windows = []
+    for doc, size in enumerate(sizes):
+        windows += packer.add(packing.Piece(doc, 0, bytes(4 * size)))
+        if packer.tokens > 1 << 18:
+            windows += packer.drain(leave=1 << 16)
+    windows += packer.drain()
+    ends = len(windows)
+    windows += packer.finish()
+    parts = defaultdict(list)
+    for number, window in enumerate(windows):
+        for piece in window:
+            parts[piece.doc].append((len(piece), number))
+    cut = [doc for doc, size in enumerate(sizes) if size < 4096 and len(parts[doc]) > 1]
+    slivers = [n for doc, size in enumerate(sizes) if len(parts[doc]) > 1
+               for n, number in parts[doc] if n < 16 and number < ends]
+    whole_rest = sum(size % 4096 < 16 for size in sizes if size >= 4096)
+    assert len(cut) < 0.05 * len(sizes) and len(slivers) <= whole_rest
+    padded = sum(4096 - t for w in windows if (t := sum(map(len, w))) & (t - 1))
+    assert padded < 0.02 * sum(sizes)
+
+
 def test_steps_are_balanced():
     sizes = [4096] * 40 + [1024] * 37 + [256] * 100
     steps = packing.balanced(sizes, 1 << 15)
