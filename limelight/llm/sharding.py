@@ -141,9 +141,15 @@ def _search(cuts: list[tuple[int, int]]):
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-def _cells(keyed_: DataFrame, bits: int) -> DataFrame:
-    """Keys with the cell of their hash: its first ``bits`` bits."""
-    return keyed_.withColumn("__cell", F.shiftright("__hash", 64 - bits) if bits else F.lit(0).cast("bigint"))
+def _cells(keyed_: DataFrame, bits: int, place: Column) -> DataFrame:
+    """Keys with their shard and the cell of their hash: its first ``bits`` bits.
+
+    The generator computes both once, and keeps the search out of join conditions.
+    """
+    cell = F.shiftright("__hash", 64 - bits) if bits else F.lit(0).cast("bigint")
+    return keyed_.select("*", F.inline(F.array(F.struct(
+        place.cast("int").alias("__shard"), cell.alias("__cell")
+    ))))
 
 
 def _part() -> Column:
@@ -182,7 +188,7 @@ def shard(
     found = boundaries(keys, shards, counted["bytes"] or 0, tolerance, probes)
     place = _search([b.found for b in found if b.found[0] < HIGH])  # those behind all keys come last
     bits = min(48, (counted["rows"] // piece_rows).bit_length())
-    placed = _cells(keys, bits).withColumn("__shard", place)
+    placed = _cells(keys, bits, place)
     # cells that hold more than a few pieces' rows: a text with very many rows
     cell_rows = placed.groupBy("__cell").agg(F.count("*").alias("__n")).where(F.col("__n") > 4 * piece_rows)
     crowded = stored(spark, cell_rows.select(
@@ -202,11 +208,11 @@ def shard(
     pieces = stored(spark, sizes.select(
         *piece, (F.sum("__rows").over(in_shard) - F.col("__rows")).alias("__before")
     ), "shard-pieces")
-    exchanged = parted(_cells(rows, bits).withColumn("__shard", place)).join(pieces, piece)
+    exchanged = parted(_cells(rows, bits, place)).join(pieces, piece)
     order = Window.partitionBy(*piece).orderBy("__hash", "__id")
     return exchanged.select(
         *[quoted(c) for c in named.columns], F.col("__size").alias("size"),
-        F.col("__shard").cast("int").alias("shard"),
+        F.col("__shard").alias("shard"),
         (F.row_number().over(order) - 1 + F.col("__before")).cast("bigint").alias("slot"),
     )
 

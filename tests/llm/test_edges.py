@@ -569,7 +569,7 @@ def test_pieces_stay_small_however_many(spark, docs):
     assert made.count() == 3500
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "__cell" in plan and "__part" in plan and "Window" in plan
-    keys = sharding._cells(sharding.keyed(docs(*["hot"] * 3000), "text", "doc_id"), 5)
+    keys = sharding._cells(sharding.keyed(docs(*["hot"] * 3000), "text", "doc_id"), 5, F.lit(0))
     parts = keys.withColumn("__bits", F.lit(8)).select("__cell", sharding._part().alias("p")).groupBy(
         "__cell", "p").count()
     assert parts.agg(F.max("count")).first()[0] < 60  # of 3000 rows of one text
