@@ -181,8 +181,11 @@ def shard(
     the pieces, counted on the keys alone, tells the rows of the shard before each, so no
     task numbers a whole shard and nothing but the shards' boundaries comes to the driver.
     """
-    named = without(docs, ("size", "shard", "slot", "__hash", "__id", "__size"))
-    rows = keyed(named, text_col, id_col)
+    named = without(docs, ("size", "shard", "slot"))
+    # by place, so that no column clashes with those used in between
+    place_of = {c.lower(): f"c{i}" for i, c in enumerate(named.columns)}
+    plain = named.toDF(*[f"c{i}" for i in range(len(named.columns))])
+    rows = keyed(plain, place_of[text_col.lower()], place_of[id_col.lower()])
     keys = stored(spark, rows.select("__hash", "__id", "__size"), "shard-keys")
     counted = keys.agg(F.sum("__size").alias("bytes"), F.count("*").alias("rows")).first()
     found = boundaries(keys, shards, counted["bytes"] or 0, tolerance, probes)
@@ -211,7 +214,7 @@ def shard(
     exchanged = parted(_cells(rows, bits, place)).join(pieces, piece)
     order = Window.partitionBy(*piece).orderBy("__hash", "__id")
     return exchanged.select(
-        *[quoted(c) for c in named.columns], F.col("__size").alias("size"),
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(named.columns)], F.col("__size").alias("size"),
         F.col("__shard").alias("shard"),
         (F.row_number().over(order) - 1 + F.col("__before")).cast("bigint").alias("slot"),
     )
