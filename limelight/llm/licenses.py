@@ -2,9 +2,10 @@
 
 A text becomes its words (ASCII letters lowered, other ASCII punctuation as separators)
 joined by single spaces, in UTF-8. A rule is a regular expression over that form with a
-label, a priority and keywords; it runs only on texts that hold one of its keywords. Of
-detections that lie within another's interval the weaker one goes: the lower priority,
-then the shorter, then the later rule.
+label, a priority and keywords; it runs only on texts that hold one of its keywords, which
+one pass of an Aho-Corasick automaton over the text finds. Of detections that lie within
+another's interval the weaker one goes: the lower priority, then the shorter, then the
+later rule.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import add_columns, utf8
+from .license_wordings import WORDINGS
 
 #: A-Z lowered, every ASCII character but 0-9 and a-z a space, the rest unchanged.
 WORD_BYTES = bytes(
@@ -85,7 +88,7 @@ def _versions(label: str, names: Iterable[str], versions: Iterable[str], keyword
 
 @lru_cache(maxsize=1)
 def signature_rules() -> tuple[Rule, ...]:
-    """All rules, in order: the base phrases, license families, identifiers, texts, notices."""
+    """All rules, in order: base phrases, license families, identifiers, single wordings."""
     rules = [
         Rule(f"base-{label}", label, phrase, (phrase,), 30, 0.7, base=True)
         for phrase, label in BASE_PHRASES
@@ -170,28 +173,52 @@ def signature_rules() -> tuple[Rule, ...]:
         Rule(f"spdx-{name}", name, r"spdx license identifier " + re.sub(r"[-.]", " ", name), ("spdx",), 100, 1.0)
         for name in identifiers
     ]
+    rules += [
+        Rule(name, label, pattern, (keyword,), priority, weight)
+        for name, label, priority, weight, keyword, pattern, _ in WORDINGS
+    ]
     return tuple(rules)
 
 
+def _letters(body: bytes) -> str:
+    """One letter per byte, as the automaton reads strings."""
+    return body.decode("latin-1")
+
+
 class Scanner:
-    """Compiled rules, grouped by keyword so that a text is asked once per keyword."""
+    """Compiled rules behind one automaton of all keywords; an empty keyword is in every text."""
 
     def __init__(self, rules: tuple[Rule, ...]) -> None:
         self.compiled = [
             (rule, re.compile(rb"(?<![^ ])(?:" + rule.pattern.encode() + rb")(?![^ ])")) for rule in rules
         ]
-        self.by_keyword: dict[bytes, list[int]] = {}
+        self.always = {i for i, rule in enumerate(rules) if "" in rule.keywords}
+        by_keyword: dict[str, set[int]] = {}
         for i, rule in enumerate(rules):
-            for keyword in rule.keywords:
-                self.by_keyword.setdefault(keyword.encode(), []).append(i)
+            for keyword in filter(None, rule.keywords):
+                by_keyword.setdefault(_letters(keyword.encode()), set()).add(i)
+        self.gate = ahocorasick.Automaton()
+        for keyword, asked in by_keyword.items():
+            self.gate.add_word(keyword, (keyword, asked))
+        if by_keyword:
+            self.gate.make_automaton()
+
+    def asked(self, body: bytes) -> list[int]:
+        """The rules that one of their keywords opens for a text in normal form."""
+        opened, seen = set(self.always), set()
+        if len(self.gate):
+            for _, (keyword, rules) in self.gate.iter(_letters(body)):
+                if keyword not in seen:
+                    seen.add(keyword)
+                    opened |= rules
+        return sorted(opened)
 
     def scan(self, text: bytes) -> tuple[int, list[Detection]]:
         """Number of words, and all detections of all rules before suppression."""
         words = text.translate(WORD_BYTES).split()
         body = b" ".join(words)
-        asked = sorted({i for k, rules in self.by_keyword.items() if k in body for i in rules})
         found, starts = [], None
-        for i in asked:
+        for i in self.asked(body):
             rule, pattern = self.compiled[i]
             at = 0
             while m := pattern.search(body, at):

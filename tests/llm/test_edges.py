@@ -17,6 +17,7 @@ from limelight.llm import (
 )
 from limelight.llm.common import labelled_sample
 from limelight.llm.components import components, forest
+from limelight.llm.license_wordings import WORDINGS
 
 P = pytest.importorskip("public_tokenizers")
 LONG = ("word%d " * 60_000) % tuple(range(60_000))
@@ -156,7 +157,7 @@ def test_lines_between_many_neighbours_are_shared_but_not_lines_of_copies():
 
 def test_rules_are_hundreds_with_unique_names():
     rules = licenses.signature_rules()
-    assert len(rules) >= 200 and len({r.name for r in rules}) == len(rules)
+    assert len(rules) >= 600 and len(WORDINGS) >= 200 and len({r.name for r in rules}) == len(rules)
 
 
 @pytest.mark.parametrize("text, labels", [
@@ -201,6 +202,78 @@ def test_keywords_never_hide_a_rule():
         assert found == want
 
 
+def found_by(scanner, text):
+    _, found = scanner.scan(text.encode())
+    return {d.rule.label for d in licenses.suppress(found)}
+
+
+def test_every_wording_has_an_example_that_only_it_labels():
+    rules = licenses.signature_rules()
+    every = licenses.Scanner(rules)
+    for name, label, _, _, keyword, _, example in WORDINGS:
+        _, found = every.scan(example.encode())
+        assert label in {d.rule.label for d in licenses.suppress(found)}, name
+        assert {d.rule.name for d in found if d.rule.label == label} == {name}, name
+        assert keyword.isascii() and keyword == keyword.lower()
+
+
+def test_wordings_leave_prose_alone():
+    scanner = licenses.Scanner(tuple(r for r in licenses.signature_rules() if not r.base))
+    for text in (
+        "The driver showed a valid license to the officer, who granted permission to go on.",
+        "A public library lends books free of charge; copies may be reserved in person.",
+        "Redistribution of wealth was debated, and the source of the data in binary was unclear.",
+        "They use commercial software, share an open source project and train models on it.",
+    ):
+        assert found_by(scanner, text) == set(), text
+
+
+def slow_scan(text, rules):
+    """Words, places of base phrases, labels and spans: no gate, every pair of detections compared."""
+    words = [w for w in re.split(rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.encode().lower()) if w]
+    body = b" ".join(words)
+    begins, place = {0: 0}, 0
+    for i, word in enumerate(words):
+        place += len(word) + 1
+        begins[place] = i + 1
+    ends = {at - 1: i for at, i in begins.items()}
+    found = []
+    for order, rule in enumerate(rules):
+        pattern, at = re.compile(rb"(?:^|(?<= ))(?:" + rule.pattern.encode() + rb")(?= |$)"), 0
+        while m := pattern.search(body, at):
+            first = begins[m.start()]
+            found.append((rule, order, first, ends[m.end()]))
+            at = m.start() + len(words[first]) + 1
+
+    def stronger(a, b):
+        return (-a[0].priority, a[2] - a[3], a[1]) < (-b[0].priority, b[2] - b[3], b[1])
+
+    kept = [
+        d for d in found
+        if not any(o is not d and o[2] <= d[2] and d[3] <= o[3] and stronger(o, d) for o in found)
+    ]
+    labels = {d[0].label for d in kept} | {d[0].label for d in found if d[0].base}
+    places = sorted(d[2] for d in found if d[0].base)
+    spans = sorted((d[0].name, d[2], d[3]) for d in kept)
+    return len(words), places, sorted(labels), spans, max((d[0].weight for d in kept), default=0.0)
+
+
+def test_scan_equals_a_slow_one_over_a_table(spark, data_dir):
+    rules = licenses.signature_rules()
+    texts = [r["text"] for r in spark.read.parquet(f"{data_dir}/documents.parquet").select("text").collect()]
+    rng = random.Random(5)
+    examples = [row[-1] for row in WORDINGS]
+    texts = texts[:40] + [
+        " ".join([rng.choice(texts)[:80], *rng.sample(examples, 3), "GNU General Public License v2"])
+        for _ in range(40)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for row in licenses.scan_licenses(df).collect():
+        spans = sorted((d["rule"], d["start"], d["end"]) for d in row["detections"])
+        got = (row["n_words"], row["places"], row["labels"], spans, row["score"])
+        assert got == slow_scan(texts[row["doc_id"]], rules)
+
+
 def phrases(pattern):
     """Texts for every branch and every optional part of a pattern, repeats once."""
     from itertools import product
