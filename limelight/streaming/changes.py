@@ -24,7 +24,7 @@ from ..functions.numeric import array_round
 from ..operators.groups import latest_per_key
 from ..operators.merge import SOCIAL_COLUMNS, VIDEO_COLUMNS, stamp_collection
 from ..plans.scoring import score
-from ..session import folder_names, path_exists, remove_path
+from ..session import folder_names, path_exists, remove_path, stored_once
 from ..sources.tables import empty_source
 
 STAMPS = ("collection_date", "last_updated")
@@ -178,6 +178,8 @@ class MergedStore:
         artists in the batch are read and written.
         """
         at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        # counted, folded and taken account of: each would compute the arrived rows again
+        batches = {source: stored_once(batch, f"batch-{source}") for source, batch in batches.items()}
         previous = self._last(before=batch_id)
         places, _ = self._manifest(previous)
         keys = None
