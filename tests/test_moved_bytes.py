@@ -6,10 +6,11 @@ import datetime as dt
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan
 from limelight import schemas
-from limelight.operators import songs
+from limelight.operators import matching, songs
 from limelight.registry import queries
 from limelight.registry.fixture import Fixture
 from limelight.streaming.changes import MergedStore
@@ -141,3 +142,17 @@ def test_stored_tables_and_handles_give_the_same_rows(small):
         assert sorted(map(str, getattr(stored, name).collect())) == sorted(map(str, getattr(small, name).collect()))
     handles = small.social.select("artist_id", "instagram_handle")
     assert sorted(map(str, small.social_handles.collect())) == sorted(map(str, handles.collect()))
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_that_no_social_row_needs_end_at_the_first_join(small):
+    text = optimized(small.social)
+    assert "LeftSemi" in text
+    ranked = text[text.index("Window"):]
+    assert "l_extendedprice" not in ranked[:ranked.index("Join Inner")]
+    assert {r["instagram_handle"] for r in small.social.collect()} == {"artist1", "artist2"}
+    totals = optimized(small.video)
+    assert "floor" in totals.lower()[totals.lower().rindex("join"):]  # below the join
