@@ -156,3 +156,25 @@ def test_lines_that_no_social_row_needs_end_at_the_first_join(small):
     assert {r["instagram_handle"] for r in small.social.collect()} == {"artist1", "artist2"}
     totals = optimized(small.video)
     assert "floor" in totals.lower()[totals.lower().rindex("join"):]  # below the join
+
+
+def test_sums_move_without_a_join_with_the_batch(spark, tmp_path, monkeypatch):
+    at = dt.datetime(2024, 1, 31)
+    more = {"instagram_followers": 30_000, "instagram_engagement_rate": 3.0, "instagram_reels_count": 0}
+    social = of_schema(spark, schemas.SOCIAL, *[{"artist_id": f"a{i}", **more} for i in range(6)])
+    listening = [artist(i) for i in range(6)]
+    store = MergedStore(spark, str(tmp_path / "store"), buckets=2)
+    plans, facts = [], MergedStore._facts
+    monkeypatch.setattr(MergedStore, "_facts", lambda s, rows, sign: (
+        plans.append(plan(rows)), facts(s, rows, sign))[1])
+    store.refresh(0, {
+        "listening": of_schema(spark, schemas.LISTENING, *listening),
+        "social": social.withColumn("collection_timestamp", F.lit(at))}, at)
+    # one artist changes, its bucket's others do not
+    store.refresh(1, {"listening": of_schema(spark, schemas.LISTENING, artist(0, primary_genre="soul"))}, at)
+    counts = {r["key"]: r["rows"] for r in store.summary().where("kind = 'genre'").collect()}
+    want = {r["primary_genre"]: r["count"] for r in store.scored().groupBy("primary_genre").count().collect()}
+    assert counts == want == {"jazz": 5, "soul": 1}
+    sums = store.summary().where("kind = 'growth'").groupBy().sum("sum_lastfm_listeners").first()[0]
+    assert sums == sum(20_000 + i for i in range(6))
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
