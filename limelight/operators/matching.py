@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import HANDLE_VIDEOS, MIN_CHANNEL_MATCH, MIN_PROFILE_FOLLOWERS, SEARCH_RESULTS
 from ..functions import text
+from ..session import stored_once
 from .filters import channel_candidates_filter
 from .groups import first_n_per_group, lookup_join, spread_nulls
 from .videos import recent_videos
@@ -95,16 +96,18 @@ def handle_candidates(
 
     The channel's own text comes first, then its ``newest`` videos (the collection step
     reads five, the default), then guesses made from the name. Each artist carries its few
-    texts in one row, so every input is read and shuffled once.
+    texts in one row, so every input is read and shuffled once. The chosen channels are
+    stored, and only their texts go on from the ranking of the videos.
     """
-    channel = largest_channel(
+    channel = stored_once(largest_channel(
         search, channels.select("channel_id", "description", "subscribers")
-    ).select("artist_id", "channel_id", "description")
+    ).select("artist_id", "channel_id", "description"), "channels")
+    chosen = channel.select("channel_id").distinct()
     # at most `newest` texts per channel
     video_texts = recent_videos(
         videos.select("channel_id", "video_id", "published_at", "description"),
         newest, rank="source_ord",
-    ).groupBy("channel_id").agg(
+    ).join(chosen, "channel_id", "left_semi").groupBy("channel_id").agg(
         F.collect_list(F.struct("source_ord", "description")).alias("texts")
     )
 

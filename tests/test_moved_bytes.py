@@ -178,3 +178,25 @@ def test_sums_move_without_a_join_with_the_batch(spark, tmp_path, monkeypatch):
     sums = store.summary().where("kind = 'growth'").groupBy().sum("sum_lastfm_listeners").first()[0]
     assert sums == sum(20_000 + i for i in range(6))
     assert len(plans) == 4 and not any("Join" in p for p in plans)
+
+
+def test_handles_are_sought_with_the_amounts_that_are_read(small):
+    slim, full = small.kept(amounts=["views"]), small.kept()
+    assert not {"l_extendedprice", "l_quantity", "likes"} & set(slim.lines.columns)
+    assert "likes" not in slim.videos.columns and "views" in slim.videos.columns
+    for name in ("channels", "channel_search"):
+        assert sorted(map(str, getattr(slim, name).collect())) == sorted(map(str, getattr(full, name).collect()))
+
+
+def test_only_texts_of_chosen_channels_are_grouped(rows):
+    artists = rows("artist_id string, artist_name string", ("a", "One"), ("b", "Two"))
+    search = rows("artist_id string, channel_id string, search_rank long",
+                  ("a", "c1", 1), ("a", "c2", 2), ("b", None, 1))
+    channels = rows("channel_id string, description string, subscribers long", ("c1", "x", 5), ("c2", "y", 9))
+    videos = rows("channel_id string, video_id string, published_at string, description string",
+                  ("c1", "v1", "2024", "ig: handle_of_c1"), ("c2", "v2", "2024", "ig: handle_of_c2"),
+                  (None, "v3", "2024", "ig: handle_of_none"))
+    found = matching.handle_candidates(artists, search, channels, videos)
+    assert "LeftSemi" in optimized(found)
+    got = {(r["artist_id"], r["handle"]) for r in found.where("source_ord = 1").collect()}
+    assert got == {("a", "handle_of_c2")}
