@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from conftest import plan
 from limelight import schemas
-from limelight.operators import matching, songs
+from limelight.operators import groups, matching, songs
 from limelight.registry import queries
-from limelight.registry.fixture import Fixture
+from limelight.registry.fixture import AMOUNTS, Fixture
 from limelight.streaming.changes import MergedStore
 
 
@@ -200,3 +200,51 @@ def test_only_texts_of_chosen_channels_are_grouped(rows):
     assert "LeftSemi" in optimized(found)
     got = {(r["artist_id"], r["handle"]) for r in found.where("source_ord = 1").collect()}
     assert got == {("a", "handle_of_c2")}
+
+
+def test_more_keys_than_are_broadcast_are_met_by_a_filter(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") > 0, F.concat(F.lit("k"), "id")).alias("key"), "id")
+    wanted = spark.range(4_000).select(F.when(F.col("id") > 9, F.concat(F.lit("k"), F.col("id") % 2000)).alias("w"))
+    left = groups.only_wanted(df, wanted, "key", "w", most=100)
+    assert left.columns == df.columns
+    got = {r["id"] for r in left.collect()}
+    assert set(range(1, 2000)) <= got and 0 not in got
+    assert len(got) < 1999 + 0.1 * 18_000
+    assert groups.only_wanted(df, wanted, "key", "w", most=100, most_filtered=200).count() == 20_000
+    assert groups.only_wanted(df, wanted, "key", "w").count() == 1999
+
+
+def test_titles_of_kept_lines_are_joined_once(small):
+    kept = small.kept(cluster=False, amounts=AMOUNTS, titled=True)
+    for name in ("posts", "videos", "video_search", "social_handles"):
+        now = getattr(kept, name)
+        was = getattr(small, name).select(*now.columns)
+        assert sorted(map(str, now.collect())) == sorted(map(str, was.collect())), name
+    assert any(r["title"] is None for r in small.videos.collect())
+    assert "Join" not in optimized(kept.posts) and "Join" not in optimized(kept.videos)
+    assert not {"l_returnflag", "l_linestatus", "l_extendedprice"} & set(kept.lines.columns)
+
+
+def test_only_posts_near_a_release_are_folded(rows):
+    day = dt.date(2024, 3, 1)
+    posts = rows(POSTS, *[("h", f"p{i}", day - dt.timedelta(days=i), 1, 2, "song") for i in range(6)],
+                 ("h", "undated", None, 1, 2, "song"), ("other", "p9", day, 1, 2, "song"))
+    tracks = rows("track_id string, track_name string, instagram_handle string, release_date date",
+                  ("t1", "song", "h", day - dt.timedelta(days=3)), ("t2", "song", "h", day - dt.timedelta(days=3)),
+                  ("t3", "song", None, None))
+    kept = songs._recent_posts_by_handle(posts, 5, tracks, 1).collect()
+    assert {r["handle"]: [(p["instagram_post_rank"], p["instagram_post_id"]) for p in r["recent"]] for r in kept} == {
+        "h": [(3, "p2"), (4, "p3"), (5, "p4")]}
+    found = songs.release_posts(tracks, posts, 5, 1, dated=True).collect()
+    assert {r["track_id"]: r["instagram_post_id"] for r in found} == {"t1": "p2", "t2": "p2", "t3": None}
+
+
+def test_videos_that_no_track_found_are_not_moved(rows, monkeypatch):
+    most = groups.only_wanted
+    monkeypatch.setattr(songs, "only_wanted", lambda *a: most(*a, most=0))
+    videos = rows("video_id string, title string, views long, likes long, comments long, published_at string",
+                  *[(f"v{i}", "t", i, 0, 0, "2024-01-02") for i in range(50)], (None, "t", 0, 0, 0, None))
+    out = songs.track_video(rows("track_id string", ("a",), ("b",), (None,)), rows(
+        "track_id string, video_id string, search_rank int", ("a", "v3", 1), ("a", "v4", 2), ("b", None, 1)), videos)
+    assert {r["track_id"]: r["youtube_views"] for r in out.collect()} == {"a": 3, "b": None, None: None}
+    assert "LeftSemi" in optimized(out)
