@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from conftest import plan
 from limelight import schemas
 from limelight.operators import groups, matching, songs
-from limelight.registry import queries
+from limelight.plans import enrichment
+from limelight.registry import fixture, queries
 from limelight.registry.fixture import AMOUNTS, Fixture
 from limelight.streaming.changes import MergedStore
 
@@ -248,3 +249,15 @@ def test_videos_that_no_track_found_are_not_moved(rows, monkeypatch):
         "track_id string, video_id string, search_rank int", ("a", "v3", 1), ("a", "v4", 2), ("b", None, 1)), videos)
     assert {r["track_id"]: r["youtube_views"] for r in out.collect()} == {"a": 3, "b": None, None: None}
     assert "LeftSemi" in optimized(out)
+
+
+def test_the_catalogue_reads_titled_lines(small, monkeypatch):
+    stored, keep = {}, fixture.stored_once
+    monkeypatch.setattr(fixture, "stored_once", lambda df, label, *more: (
+        stored.update({label: df.columns}), keep(df, label, *more))[1])
+    got = queries.song_catalogue(small)
+    want = enrichment.song_catalogue(
+        small.listening, small.social_handles, small.chart.drop("artist_name", "instagram_handle"),
+        small.video_search, small.videos, small.posts, queries.BATCH_DATE)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
+    assert "parts" in stored["lines"] and "l_returnflag" not in stored["lines"]
