@@ -261,3 +261,34 @@ def test_the_catalogue_reads_titled_lines(small, monkeypatch):
         small.video_search, small.videos, small.posts, queries.BATCH_DATE)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
     assert "parts" in stored["lines"] and "l_returnflag" not in stored["lines"]
+
+
+@pytest.mark.parametrize("most", [1, 3, 2000])
+def test_all_posts_of_handles_of_any_size_are_searched(rows, most):
+    day = dt.date(2024, 3, 1)
+    some = [(h, f"p{i % 7}{i}", day - dt.timedelta(days=11 * i) if i % 5 else None, i, 2, f"song{i % 4} x" if i % 6 else None)
+            for h, n in (("a", 30), ("b", 3), ("c", 1), (None, 4)) for i in range(n)]
+    posts = rows(POSTS, *some, some[1])
+    asked = [(f"t{h}{i}{j}", f"song{i}", h, d) for h in ("a", "b", "c", "none", None) for i in range(5)
+             for j, d in enumerate((None, day, day - dt.timedelta(days=200)))]
+    tracks = rows("track_id string, track_name string, instagram_handle string, release_date date", *asked)
+    got = {r["track_id"]: (r["instagram_post_rank"], r["instagram_post_id"])
+           for r in songs._release_posts_of_all(tracks, posts, 30, most).collect()}
+    want = {}
+    for track, title, handle, release in asked:
+        mine = sorted((p for p in [*some, some[1]] if handle and p[0] == handle),
+                      key=lambda p: (-(p[2] or dt.date.min).toordinal(), p[1]))
+        fits = [(n, p[1]) for n, p in enumerate(mine, 1) if title in (p[5] or "") and (
+            release is None or p[2] is not None and abs((p[2] - release).days) <= 30)]
+        want[track] = fits[0] if fits else (None, None)
+    assert got == want
+
+
+def test_tracks_visit_no_bins_of_handles_with_few_posts(rows):
+    day = dt.date(2024, 1, 2)
+    posts = rows(POSTS, *[("h", f"p{i}", day - dt.timedelta(days=90 * i), 1, 2, "song") for i in range(4)])
+    tracks = rows("track_id string, track_name string, instagram_handle string, release_date date",
+                  ("t1", "song", "h", day), ("t2", "song", "h", None))
+    out = songs.release_posts(tracks, posts, newest=None)
+    assert {r["track_id"]: r["instagram_post_rank"] for r in out.collect()} == {"t1": 1, "t2": 1}
+    assert "explode" not in optimized(out) and "Union" not in optimized(out)
